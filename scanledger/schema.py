@@ -9,9 +9,9 @@ INVENTORY = (
     f"granules array<{GRANULE_ENTRY}>"
 )
 
-# one row per axis position; ref_version names the version that wrote the slot's references
+# one row per axis position; ref_stage names the write that holds the slot's references
 SLOTS = (
-    "collection string, slot int, time double, granule_ur string, granule_url string, ref_version long"
+    "collection string, slot int, time double, granule_ur string, granule_url string, ref_stage string"
 )
 PENDING = "collection string, granule_ur string, url string, time double, seq long"
 STORE_META = (
