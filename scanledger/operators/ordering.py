@@ -173,6 +173,26 @@ def ordered_running_max(
     return out.withColumn(name, F.greatest(name, "_carry")).drop("_carry", "_value", _RANGE)
 
 
+def ordered_running_sum(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str = "running_sum",
+    target_rows: int | None = None,
+) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the earlier rows of (group, order), 0 for the first."""
+    rows, parts, split = _ranged(df, group, order, target_rows)
+    frame = _window(parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumn(name, F.coalesce(F.sum(value).over(frame), F.lit(0)))
+    if not split:
+        return out
+    edges = rows.groupBy(*parts).agg(F.sum(value).alias("_n"))
+    before = F.sum("_n").over(_window(group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
+    out = _with_carry(out, edges, group, before, "_carry")
+    return out.withColumn(name, F.col(name) + F.coalesce("_carry", F.lit(0))).drop("_carry", _RANGE)
+
+
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int
 ) -> DataFrame:

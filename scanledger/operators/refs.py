@@ -22,18 +22,18 @@ def reference_totals(refs: DataFrame, by: Sequence[str]) -> DataFrame:
 def expected_references(template: DataFrame, lengths: DataFrame, append_dim: str = "time") -> DataFrame:
     """Chunks each array along the append dimension must reference, per collection.
 
-    ``lengths(collection, n_slots)`` gives the axis length; the axis and the owner arrays are
-    compared by value elsewhere.
+    ``template`` carries a ``collection`` column and ``lengths(collection, n_slots)`` gives the axis
+    lengths; the axis and the owner arrays are compared by value elsewhere.
     """
     arrays = template.filter(
         (F.col("node_type") == "array")
-        & F.array_contains(F.coalesce("dims", F.array().cast("array<string>")), append_dim)
+        & F.array_contains("dims", append_dim)
         & ~F.ltrim(F.col("path"), F.lit("/")).isin(append_dim, *OWNER_ARRAYS)
-    ).select(F.ltrim(F.col("path"), F.lit("/")).alias("variable"), "dims", "shape", "chunk_shape")
-    # a template has one row per array of a file: the product below is arrays x collections
-    per_slot = arrays.withColumn("_k", F.lit(1)).join(lengths.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    ).select("collection", F.ltrim(F.col("path"), F.lit("/")).alias("variable"), "dims", "shape", "chunk_shape")
     shape = x.resized_shape("dims", "shape", {append_dim: F.col("n_slots")})
-    return per_slot.select("collection", "variable", x.expected_chunks(shape, "chunk_shape").alias("expected"))
+    return arrays.join(lengths.select("collection", "n_slots"), "collection").select(
+        "collection", "variable", x.expected_chunks(shape, "chunk_shape").alias("expected")
+    )
 
 
 def missing_references(
