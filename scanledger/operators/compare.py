@@ -243,7 +243,7 @@ def nearest_granule(
     A record that begins inside the window beats any that merely reaches into it, so the first step
     looks at begin times only. Slots it leaves open take the latest-beginning record that still
     lasts at ``time - window``: of records covering a whole cell of the time line only the latest
-    counts, and those that end inside the cell are reduced by a running maximum.
+    counts, and those that begin or end inside the cell are reduced by running maxima.
     """
     w = F.lit(float(window_seconds))
     left = slots.select("collection", F.col("slot").cast("long").alias("id"), F.col("time").alias("at"))
@@ -272,18 +272,32 @@ def _still_lasting(
         .groupBy("collection", "cell")
         .agg(F.max("p").alias("covering"))
     )
-    # records ending inside the cell: descending by end, everything seen so far lasts at least as long
+    end_cell = F.floor(F.col("end") / cell)
+    begin_cell = F.floor(F.col("begin") / cell)
+
+    def seen_before(rows: DataFrame, key: Column, name: str) -> DataFrame:
+        """Per asked slot the best record among those whose key comes first in the slot's cell."""
+        asking = asked.select(
+            "collection", "cell", key.alias("key"), F.lit(1).alias("side"), F.col("id").alias("tie"), "id", "at"
+        )
+        stream = rows.unionByName(asking, allowMissingColumns=True)
+        out = ordered_running_max(
+            stream, ["collection", "cell"], ["key", "side", "tie"], "p", name, target_rows=target_rows
+        )
+        return out.filter(F.col("side") == 1).select("collection", "cell", "id", "at", name)
+
+    # ending inside the cell: in descending order of end, all before the slot last at least as long
     ending = lasting.select(
-        "collection", F.floor(F.col("end") / cell).alias("cell"), (-F.col("end")).alias("key"),
-        F.lit(0).alias("side"), F.col("rank").alias("tie"), "p",
+        "collection", end_cell.alias("cell"), (-F.col("end")).alias("key"), F.lit(0).alias("side"), F.col("rank").alias("tie"), "p"
     )
-    asking = asked.select(
-        "collection", "cell", (-F.col("q")).alias("key"), F.lit(1).alias("side"), F.col("id").alias("tie"), "id", "at"
+    # beginning inside the cell and outlasting it: all that begin before the slot
+    starting = lasting.filter(end_cell > begin_cell).select(
+        "collection", begin_cell.alias("cell"), F.col("begin").alias("key"), F.lit(0).alias("side"), F.col("rank").alias("tie"), "p"
     )
-    stream = ending.unionByName(asking, allowMissingColumns=True)
-    seen = ordered_running_max(stream, ["collection", "cell"], ["key", "side", "tie"], "p", "ending", target_rows=target_rows)
-    answers = seen.filter(F.col("side") == 1).join(covers, ["collection", "cell"], "left")
-    best = F.greatest("ending", "covering")
+    by_end = seen_before(ending, -F.col("q"), "ending")
+    by_begin = seen_before(starting, F.col("q"), "starting").drop("at")
+    answers = by_end.join(by_begin, ["collection", "cell", "id"]).join(covers, ["collection", "cell"], "left")
+    best = F.greatest("ending", "starting", "covering")
     return answers.withColumn("b", best).select(
         "collection", "id", "at",
         F.when(F.col("b").isNotNull(), F.struct(F.col("b.url").alias("url"), F.col("b.granule_ur").alias("granule_ur"))).alias("best"),
