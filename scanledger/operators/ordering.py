@@ -1,9 +1,10 @@
 """Ordered operators that do not put a whole collection into one task.
 
 A plain ``Window.partitionBy(collection).orderBy(...)`` sorts every row of a collection in one task,
-and a third of all rows may belong to one collection. Above ``TARGET_ROWS`` rows the operators here
-cut the order into ranges first: a small sample gives range bounds, the bounds become one literal,
-and each row finds its range by binary search. Windows then run per (group, range), and what a range
+and a third of all rows may belong to one collection. Inputs of more than ``TARGET_ROWS`` rows (those
+of a few megabytes are not even counted) are therefore cut into ranges of their order first: a small
+sample gives range bounds, the bounds become one literal, and each row finds its range by binary
+search. Windows then run per (group, range), and what a range
 needs from the ranges before it (last row, row count, maximum) comes from a table with one row per
 (group, range). Any bounds give the right result; they only decide the balance, and as literals they
 cannot change when a lost executor makes a task run again.
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TARGET_ROWS = 2_000_000
+# Inputs below this many bytes are fewer than one scan task reads by default (128 MB): no count is needed.
+SMALL_BYTES = 32 * 1024 * 1024
 MAX_RANGES = 10_000
 SAMPLES_PER_RANGE = 20
 
@@ -34,12 +37,19 @@ class Ranges:
     count: int
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a plan; joins and unknown sources make it large, not small."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def plan_ranges(
     df: DataFrame, keys: Sequence[str], target_rows: int | None = None
 ) -> Ranges | None:
     """Range bounds for ``keys``, or None when all rows fit one task comfortably."""
-    target = target_rows or TARGET_ROWS
     slim = df.select(*keys)
+    if target_rows is None and estimated_bytes(slim) <= SMALL_BYTES:
+        return None
+    target = target_rows or TARGET_ROWS
     total = slim.count()
     if total <= target:
         return None
@@ -77,10 +87,18 @@ def range_index(keys: Sequence[str], ranges: Ranges | None) -> Column:
 
 
 def _ranged(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], target_rows: int | None
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    target_rows: int | None,
+    sized_by: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str], bool]:
+    """Rows with their range, the window partition, and whether there is more than one range.
+
+    ``sized_by`` has the same keys as ``df`` but is cheaper to read; ranges are planned from it.
+    """
     keys = [*group, *order]
-    ranges = plan_ranges(df, keys, target_rows)
+    ranges = plan_ranges(df if sized_by is None else sized_by, keys, target_rows)
     if ranges is None:
         return df, list(group), False
     return df.withColumn(_RANGE, range_index(keys, ranges)), [*group, _RANGE], True
@@ -131,9 +149,10 @@ def ordered_position(
     order: Sequence[str],
     name: str = "slot",
     target_rows: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``: the 0-based position in (group, order), as a long."""
-    rows, parts, split = _ranged(df, group, order, target_rows)
+    rows, parts, split = _ranged(df, group, order, target_rows, sized_by)
     out = rows.withColumn(
         name, F.row_number().over(_window(parts).orderBy(*order)).cast("long") - 1
     )
@@ -153,13 +172,14 @@ def ordered_running_max(
     name: str = "running_max",
     inclusive: bool = False,
     target_rows: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``: the maximum of ``value`` over the earlier rows of (group, order).
 
     Rows whose value is null do not take part; ``inclusive`` counts the row itself too.
     """
     value = F.col(value) if isinstance(value, str) else value
-    rows, parts, split = _ranged(df.withColumn("_value", value), group, order, target_rows)
+    rows, parts, split = _ranged(df.withColumn("_value", value), group, order, target_rows, sized_by)
     frame = _window(parts).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1
     )

@@ -35,11 +35,14 @@ WRITTEN, DEFERRED, REJECTED = "written", "deferred", "rejected"
 def _appended(candidates: DataFrame, order: Sequence[str], target_rows: int | None) -> DataFrame:
     """The candidates that are appended, as (collection, granule_ur, time, _ord)."""
     keys = ["collection", "granule_ur"]
-    rows = candidates.select(*keys, "time", *order).withColumn("_ord", F.struct(*order))
+    # read several times below, and the outcome of joins with the axis: written once
+    rows = pin(candidates.select(*keys, "time", *order).withColumn("_ord", F.struct(*order)))
     firsts = rows.groupBy(*keys).agg(F.min("_ord").alias("_first"))
     marked = rows.join(firsts, keys)
     first_time = F.when(F.col("_ord") == F.col("_first"), F.col("time"))
-    low = ordered_running_max(marked, ["collection"], order, first_time, "_low", target_rows=target_rows)
+    low = ordered_running_max(
+        marked, ["collection"], order, first_time, "_low", target_rows=target_rows, sized_by=rows
+    )
     contenders = pin(
         low.filter(F.col("_low").isNull() | (F.col("time") > F.col("_low"))).select(
             *keys, "time", *order, "_ord", F.lit(False).alias("_blocked")
@@ -144,11 +147,11 @@ def sync_slots(
         )
     )
     kept = slots.select("collection", "time", "granule_ur", "granule_url", "ref_stage")
-    out = kept.unionByName(added).join(written, ["collection", "granule_ur"], "left")
-    out = out.withColumn(
+    entries = kept.unionByName(added)
+    out = entries.join(written, ["collection", "granule_ur"], "left").withColumn(
         "ref_stage", F.when(F.col("_url").isNotNull(), F.lit(stage)).otherwise(F.col("ref_stage"))
     ).withColumn("granule_url", F.coalesce("_url", "granule_url"))
-    return assign_slots(out.drop("_url"), target_rows).select(
+    return assign_slots(out.drop("_url"), target_rows, entries).select(
         "collection", "slot", "time", "granule_ur", "granule_url", "ref_stage"
     )
 

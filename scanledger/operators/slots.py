@@ -19,9 +19,11 @@ from scanledger.operators.ordering import (
 )
 
 
-def assign_slots(entries: DataFrame, target_rows: int | None = None) -> DataFrame:
+def assign_slots(
+    entries: DataFrame, target_rows: int | None = None, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Add ``slot``: 0-based position by time inside the collection (UR breaks ties)."""
-    out = ordered_position(entries, ["collection"], ["time", "granule_ur"], "slot", target_rows)
+    out = ordered_position(entries, ["collection"], ["time", "granule_ur"], "slot", target_rows, sized_by)
     return out.withColumn("slot", F.col("slot").cast("int"))
 
 

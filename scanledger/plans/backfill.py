@@ -96,7 +96,7 @@ def backfill(
 
     staged = store._table(stage, "slots", _slots_schema())
     gate_version(store, _of(staged, config.collection), entries, config, target_rows)
-    return store.publish(stage, pinned.number, "backfill")
+    return store.publish(stage, pinned, "backfill")
 
 
 def _slots_schema() -> str:

@@ -99,6 +99,6 @@ def resort(
     staged = _of(store._table(stage, "slots", schema.SLOTS), config.collection)
     entries = merged.select("collection", "granule_ur", F.col("granule_url").alias("url"), "time")
     gate_version(store, staged, entries, config, target_rows)
-    version = store.publish(stage, pinned.number, "resort")
+    version = store.publish(stage, pinned, "resort")
     inserted = min(waiting, max_fold)
     return ResortReport(True, inserted, waiting - inserted, shift.first_shift if shift else 0, version)

@@ -55,10 +55,12 @@ def create_exclusive(spark: SparkSession, text: str, content: str) -> bool:
 
 @dataclass(frozen=True)
 class Version:
+    """A published version; ``last_batch`` is the newest micro-batch it contains."""
+
     number: int
     stage: str
     kind: str
-    batch_id: int | None = None
+    last_batch: int = -1
 
 
 @dataclass(frozen=True)
@@ -70,19 +72,33 @@ class Store:
 
     # -- versions ---------------------------------------------------------------------------------
 
-    def versions(self) -> list[Version]:
-        """All published versions, oldest first (one tiny file each)."""
-        folder, fs = _path(self.spark, f"{self.base}/_versions")
-        if not fs.exists(folder):
-            return []
-        rows = self.spark.read.schema("number int, stage string, kind string, batch_id long").json(
-            f"{self.base}/_versions/*.json"
-        ).orderBy("number").collect()
-        return [Version(r.number, r.stage, r.kind, r.batch_id) for r in rows if r.number is not None]
+    def versions(self) -> DataFrame:
+        """All markers as rows (number, stage, kind, last_batch)."""
+        ddl = "number int, stage string, kind string, last_batch long"
+        if not path_exists(self.spark, f"{self.base}/_versions"):
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).json(f"{self.base}/_versions/*.json")
+
+    def newest(self, n: int) -> list[Version]:
+        """The ``n`` newest versions, oldest of them first."""
+        rows = self.versions().filter(F.col("number").isNotNull()).orderBy(F.desc("number")).limit(n).collect()
+        return [Version(r.number, r.stage, r.kind, r.last_batch) for r in reversed(rows)]
 
     def current(self) -> Version | None:
-        found = self.versions()
-        return found[-1] if found else None
+        """The highest marker; only its file is read."""
+        folder, fs = _path(self.spark, f"{self.base}/_versions")
+        if not fs.exists(folder):
+            return None
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        numbered = sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
+        if not numbered:
+            return None
+        row = (
+            self.spark.read.schema("number int, stage string, kind string, last_batch long")
+            .json(f"{self.base}/_versions/{numbered[-1]}")
+            .first()
+        )
+        return Version(row.number, row.stage, row.kind, row.last_batch)
 
     def require_initialized(self) -> Version:
         """The current version; an archive nobody initialized refuses work."""
@@ -91,16 +107,16 @@ class Store:
             raise InvalidData("archive is not initialized; run initialize_store or a backfill first")
         return version
 
-    def publish(self, stage: str, expected: int, kind: str, batch_id: int | None = None) -> Version:
+    def publish(self, stage: str, expected: Version | None, kind: str, batch_id: int | None = None) -> Version:
         """Make ``stage`` current if the current version is still ``expected``; write nothing after it."""
-        number = expected + 1
-        current = self.current()
-        if (current.number if current else 0) != expected:
-            raise VersionMoved(f"expected version {expected} is no longer current")
-        text = json.dumps({"number": number, "stage": stage, "kind": kind, "batch_id": batch_id})
+        if self.current() != expected:
+            raise VersionMoved(f"{expected} is no longer the current version")
+        number = expected.number + 1 if expected else 1
+        last = batch_id if batch_id is not None else (expected.last_batch if expected else -1)
+        text = json.dumps({"number": number, "stage": stage, "kind": kind, "last_batch": last})
         if not create_exclusive(self.spark, f"{self.base}/_versions/{number:012d}.json", text):
             raise VersionMoved(f"version {number} was published by another job")
-        return Version(number, stage, kind, batch_id)
+        return Version(number, stage, kind, last)
 
     @staticmethod
     def new_stage() -> str:
@@ -127,8 +143,8 @@ class Store:
         ddl = schema.MESSAGES + ", reason string, stage string"
         if not path_exists(self.spark, f"{self.base}/dead"):
             return self.spark.createDataFrame([], ddl)
-        stages = [v.stage for v in self.versions()]
-        return self.spark.read.schema(ddl).parquet(f"{self.base}/dead").filter(F.col("stage").isin(*stages))
+        published = self.versions().select("stage")
+        return self.spark.read.schema(ddl).parquet(f"{self.base}/dead").join(published, "stage", "left_semi")
 
     def granule_refs(self) -> DataFrame:
         """References of every write, published or not; join on ``ref_stage`` picks the valid ones."""
@@ -189,7 +205,7 @@ class Store:
             self.spark.createDataFrame([], schema.PENDING),
             meta,
         )
-        return self.publish(stage, 0, "initialize")
+        return self.publish(stage, None, "initialize")
 
     def expired_files(self, older_than, keep_versions: int = 1) -> DataFrame:
         """Files last changed before ``older_than`` that no kept version needs.
@@ -197,8 +213,7 @@ class Store:
         Kept are the newest ``keep_versions`` versions: their stage folders, and the reference
         stages their slots name.
         """
-        versions = self.versions()
-        kept = versions[-keep_versions:]
+        kept = self.newest(keep_versions)
         files = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)

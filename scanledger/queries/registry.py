@@ -218,34 +218,24 @@ cells AS (
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as catalogue documents: built as JSON text and parsed with the catalogue schema."""
-    from scanledger import schema
-
+    """events as catalogue documents, nested the way a listing is."""
     name = F.concat(F.lit("E"), F.col("event_id").cast("string"))
-    begin = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    end = F.date_format(
-        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.round(F.col("value") * 100).cast("long") * 10_000),
-        "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
-    )
+    pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+    at = F.col("ts").cast("timestamp")
+    begin = F.date_format(at, pattern)
+    length = F.round(F.col("value") * 100).cast("long") * 10_000
+    end = F.date_format(F.timestamp_micros(F.unix_micros(at) + length), pattern)
     direct = F.struct(
         F.lit(x.DIRECT_ACCESS).alias("Type"), F.concat(F.lit("s3://archive/"), name, F.lit(".nc")).alias("URL")
     )
     web = F.struct(F.lit("GET DATA").alias("Type"), F.concat(F.lit("https://host/"), name, F.lit(".nc")).alias("URL"))
     links = F.when(F.col("event_type") == "error", F.array(web)).otherwise(F.array(web, direct))
-    doc = F.to_json(
-        F.struct(
-            F.struct(
-                F.col("event_type").alias("concept-id"), F.col("user_id").cast("string").alias("revision-id"),
-                begin.alias("revision-date"),
-            ).alias("meta"),
-            F.struct(
-                name.alias("GranuleUR"),
-                F.struct(F.struct(begin.alias("BeginningDateTime"), end.alias("EndingDateTime")).alias("RangeDateTime")).alias("TemporalExtent"),
-                links.alias("RelatedUrls"),
-            ).alias("umm"),
-        )
+    meta = F.struct(
+        F.col("event_type").alias("concept-id"), F.col("user_id").cast("string").alias("revision-id"),
+        begin.alias("revision-date"),
     )
-    parsed = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("position"), F.from_json(doc, schema.CATALOGUE_RECORD).alias("r")
+    span = F.struct(begin.alias("BeginningDateTime"), end.alias("EndingDateTime"))
+    umm = F.struct(
+        name.alias("GranuleUR"), F.struct(span.alias("RangeDateTime")).alias("TemporalExtent"), links.alias("RelatedUrls")
     )
-    return parsed.select("position", "r.meta", "r.umm")
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("position"), meta.alias("meta"), umm.alias("umm"))

@@ -20,6 +20,7 @@ from scanledger.queries.registry import (
 )
 from scanledger.queries.scalars import _MESSAGES_SQL, messages
 from scanledger.sources.catalogue import flatten_records
+from scanledger.session import pin
 from scanledger.sources.messages import read_messages
 
 
@@ -27,6 +28,11 @@ def routed(spark, sf):
     return ops.route_arrivals(arrivals(spark, sf), committed_slots(spark, sf), ["delivery"])
 
 
+def pinned_route(spark, sf):
+    """The routed arrivals for queries that read them more than once."""
+    return pin(routed(spark, sf))
+
+
 @query("route_arrivals", f"WITH RECURSIVE {ROUTE_SQL} SELECT collection, delivery, granule_ur, outcome, reason FROM routed")
 def route_arrivals(spark, sf):
     return routed(spark, sf).select("collection", "delivery", "granule_ur", "outcome", "reason")
@@ -44,7 +50,7 @@ def route_arrivals(spark, sf):
         FROM axis a LEFT JOIN writes w ON a.collection = w.collection AND a.granule_ur = w.granule_ur""",
 )
 def sync_slots(spark, sf):
-    return ops.sync_slots(committed_slots(spark, sf), routed(spark, sf), ["delivery"], "second")
+    return ops.sync_slots(committed_slots(spark, sf), pinned_route(spark, sf), ["delivery"], "second")
 
 
 @query(
@@ -91,7 +97,7 @@ def ledger_after(spark, sf):
           AND EXISTS (SELECT 1 FROM routed a WHERE a.appended AND a.collection = r.collection AND a.granule_ur = r.granule_ur)""",
 )
 def stuck_ledger(spark, sf):
-    all_routed = routed(spark, sf)
+    all_routed = pinned_route(spark, sf)
     ledger = ops.ledger_after(spark.createDataFrame([], schema.PENDING), all_routed, "delivery")
     axis = ops.sync_slots(committed_slots(spark, sf), all_routed, ["delivery"])
     return stuck_pending(ledger, axis).select("collection", "granule_ur")
@@ -150,8 +156,8 @@ def batch_result(spark, sf):
 )
 def redelivery(spark, sf):
     # what was written is delivered once more: slots are rewritten, none is added
-    first = routed(spark, sf)
-    axis = ops.sync_slots(committed_slots(spark, sf), first, ["delivery"])
+    first = pinned_route(spark, sf)
+    axis = pin(ops.sync_slots(committed_slots(spark, sf), first, ["delivery"]))
     again = axis.select("collection", "granule_ur", F.col("granule_url").alias("url"), "time", F.lit(True).alias("valid"), F.col("slot").alias("delivery"))
     second = ops.route_arrivals(again, axis, ["delivery"])
     return second.agg(

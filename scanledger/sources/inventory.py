@@ -40,12 +40,17 @@ def read_inventory_table(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
     return header, ordered_position(entries, ["collection"], ["time", "granule_ur"], "position")
 
 
-def write_inventory_document(entries: DataFrame, header: DataFrame, path: str) -> None:
+def write_inventory_document(
+    entries: DataFrame, header: DataFrame, path: str, max_granules: int = 200_000
+) -> None:
     """One JSON document per collection, for exchange with document readers.
 
-    The document format itself holds every granule in one array, so this suits collections of
-    document size (tens of thousands of granules); larger ones use ``write_inventory``.
+    The format holds every granule in one array, so the size is checked first; a larger collection
+    is refused and goes through ``write_inventory``.
     """
+    largest = entries.groupBy("collection").count().agg(F.max("count")).first()[0] or 0
+    if largest > max_granules:
+        raise ValueError(f"{largest} granules are too many for one document; use write_inventory")
     packed = entries.groupBy("collection").agg(
         F.array_sort(F.collect_list(F.struct("time", "url", "granule_ur"))).alias("g")
     )

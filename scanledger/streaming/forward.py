@@ -78,8 +78,7 @@ def process_batch(
     go to the dead letters.
     """
     pinned = store.require_initialized()
-    done = [v.batch_id for v in store.versions() if v.kind == "forward"]
-    if done and batch_id <= max(done):
+    if batch_id <= pinned.last_batch:
         return pinned
     template = _of(store.template(), config.collection).drop("collection")
     coordinates = _of(store.coordinates(), config.collection).drop("collection")
@@ -110,7 +109,7 @@ def process_batch(
         validate_inventory(staged.withColumnRenamed("granule_url", "url"), position="slot", target_rows=target_rows),
         "axis after the batch",
     )
-    return store.publish(stage, pinned.number, "forward", batch_id)
+    return store.publish(stage, pinned, "forward", batch_id)
 
 
 def read_message_stream(spark: SparkSession, path: str, files_per_batch: int = 10) -> DataFrame:
