@@ -19,7 +19,7 @@ _ARRAY = (
 
 def read_template(spark: SparkSession, path: str, depth: int = 4) -> DataFrame:
     """Template JSON document to one row per node; ``depth`` is how many group levels it may nest."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     level = text.select(F.lit("").alias("path"), F.from_json("value", _ARRAY).alias("n"))
     nodes = level
     for _ in range(depth):
