@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scanledger.config import OWNER_ARRAYS
 from scanledger.functions import expressions as x
+from scanledger.session import lookup
 
 
 def reference_totals(refs: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -69,10 +70,11 @@ def relocate_refs(refs: DataFrame, moves: DataFrame, shifts: DataFrame) -> DataF
 
     Slots below a collection's first shift stay; later ones move by ``moves``; a later slot without
     a move is cleared (it is stale or waits for an inserted granule). Collections without a shift
-    stay as they are.
+    stay as they are. One row of ``moves`` per granule is small next to the references: while it fits
+    a broadcast, references move without a shuffle.
     """
-    to = moves.select("collection", F.col("old_slot").alias("slot"), "new_slot")
-    out = refs.join(shifts, "collection", "left").join(to, ["collection", "slot"], "left")
+    to = lookup(moves.select("collection", F.col("old_slot").alias("slot"), "new_slot"))
+    out = refs.join(lookup(shifts), "collection", "left").join(to, ["collection", "slot"], "left")
     stays = F.col("first_shift").isNull() | (F.col("slot") < F.col("first_shift"))
     return (
         out.withColumn("_to", F.when(stays, F.col("slot")).otherwise(F.col("new_slot")))
@@ -95,7 +97,7 @@ def unmovable_arrays(template: DataFrame, append_dim: str = "time") -> DataFrame
 
 def write_region(refs: DataFrame, new_refs: DataFrame) -> DataFrame:
     """Replace every reference of the slots ``new_refs`` covers."""
-    covered = new_refs.select("collection", "slot").distinct()
+    covered = lookup(new_refs.select("collection", "slot").distinct())
     return refs.join(covered, ["collection", "slot"], "left_anti").unionByName(new_refs)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from scanledger.operators.ordering import ordered_running_max
 from scanledger.operators.slots import assign_slots, upsert_pending
-from scanledger.session import pin
+from scanledger.session import lookup, pin
 
 WRITTEN, DEFERRED, REJECTED = "written", "deferred", "rejected"
 
@@ -78,31 +78,37 @@ def route_arrivals(
     """
     order = list(order)
     ur, at = ["collection", "granule_ur"], ["collection", "time"]
-    at_slot = slots.select(*at, F.col("granule_ur").alias("_slot_ur"))
-    owned = slots.select(*ur).distinct().withColumn("_owned", F.lit(True))
-    ends = slots.groupBy("collection").agg(F.max("time").alias("_end"))
     usable = F.coalesce("valid", F.lit(False)) & F.col("time").isNotNull() & ~F.isnan("time")
-    known = (
-        arrivals.withColumn("_ok", usable)
-        .join(at_slot, at, "left")
-        .join(owned, ur, "left")
-        .join(ends, "collection", "left")
-    )
+    ends = lookup(slots.groupBy("collection").agg(F.max("time").alias("_end")))
+    # past the committed end no committed slot can match, so only the UR has to be looked up
     past_end = F.col("_end").isNull() | (F.col("time") > F.col("_end"))
-    candidates = known.filter(
-        F.col("_ok") & F.col("_slot_ur").isNull() & F.col("_owned").isNull() & past_end
+    candidates = (
+        arrivals.filter(usable)
+        .join(ends, "collection", "left")
+        .filter(past_end)
+        .join(slots.select(*ur), ur, "left_anti")
     )
     appended = pin(_appended(candidates, order, target_rows))
-    by_time = appended.select(*at, F.col("granule_ur").alias("_new_ur"), F.col("_ord").alias("_new_ord"))
-    by_ur = appended.select(*ur, F.col("_ord").alias("_ur_ord"))
-    seen = known.join(by_time, at, "left").join(by_ur, ur, "left").withColumn("_ord", F.struct(*order))
+    since = appended.schema["_ord"].dataType
+    committed = slots.select(*ur, "time", F.lit(None).cast(since).alias("_ord"))
+    axis = committed.unionByName(appended)
+    by_time = axis.select(*at, F.col("granule_ur").alias("_slot_ur"), F.col("_ord").alias("_slot_ord"))
+    by_ur = axis.groupBy(*ur).agg(
+        F.bool_or(F.col("_ord").isNull()).alias("_owned"), F.min("_ord").alias("_ur_ord")
+    )
+    seen = (
+        arrivals.withColumn("_ok", usable)
+        .join(by_time, at, "left")
+        .join(by_ur, ur, "left")
+        .withColumn("_ord", F.struct(*order))
+    )
 
     is_append = F.coalesce(
-        (F.col("_new_ord") == F.col("_ord")) & (F.col("_new_ur") == F.col("granule_ur")), F.lit(False)
+        (F.col("_slot_ord") == F.col("_ord")) & (F.col("_slot_ur") == F.col("granule_ur")), F.lit(False)
     )
-    earlier_at = F.col("_new_ord") < F.col("_ord")
-    slot_ur = F.coalesce("_slot_ur", F.when(earlier_at, F.col("_new_ur")))
-    ur_taken = F.coalesce("_owned", F.col("_ur_ord") < F.col("_ord"), F.lit(False))
+    holds = F.col("_slot_ord").isNull() | (F.col("_slot_ord") < F.col("_ord"))
+    slot_ur = F.when(holds, F.col("_slot_ur"))
+    ur_taken = F.coalesce("_owned", F.lit(False)) | F.coalesce(F.col("_ur_ord") < F.col("_ord"), F.lit(False))
 
     def verdict(outcome: str, action: str, reason: str | None) -> Column:
         return F.struct(

@@ -17,6 +17,7 @@ from scanledger.operators.ordering import (
     ordered_running_max,
     top_per_group,
 )
+from scanledger.session import lookup
 
 
 def assign_slots(
@@ -72,7 +73,7 @@ def running_axis_end(
     arrivals: DataFrame, slots: DataFrame, order: Sequence[str], target_rows: int | None = None
 ) -> DataFrame:
     """Add ``axis_end``: committed end and earlier arrivals of the batch, whichever is later."""
-    ends = slots.groupBy("collection").agg(F.max("time").alias("_end"))
+    ends = lookup(slots.groupBy("collection").agg(F.max("time").alias("_end")))
     out = ordered_running_max(arrivals, ["collection"], order, "time", "_running", target_rows=target_rows)
     out = out.join(ends, "collection", "left")
     return out.withColumn("axis_end", F.greatest("_running", "_end")).drop("_running", "_end")
@@ -126,7 +127,7 @@ def merge_pending(slots: DataFrame, folded: DataFrame, target_rows: int | None =
         "collection", F.col("granule_url").alias("url"), "granule_ur", "time", F.lit(False).alias("inserted")
     )
     new = folded.select("collection", "url", "granule_ur", "time", F.lit(True).alias("inserted"))
-    touched = folded.select("collection").distinct()
+    touched = lookup(folded.select("collection").distinct())
     merged = entries.join(touched, "collection", "left_semi").unionByName(new)
     return assign_slots(merged, target_rows).withColumnRenamed("url", "granule_url")
 

@@ -18,6 +18,7 @@ from scanledger.operators.slots import drain_pending, earliest_pending, first_sh
 from scanledger.operators.validate import validate_inventory
 from scanledger.plans.backfill import _of, gate_version, header_findings
 from scanledger.plans.store import Store, Version
+from scanledger.session import pin
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,8 @@ def resort(
     slots_all = store.slots(pinned)
     slots = _of(slots_all, config.collection)
 
-    merged = merge_pending(slots, fold, target_rows)
+    # one row per granule, read by every step below
+    merged = pin(merge_pending(slots, fold, target_rows))
     require_valid(
         validate_inventory(merged.withColumnRenamed("granule_url", "url"), position="slot", target_rows=target_rows),
         "merged axis",

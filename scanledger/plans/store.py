@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from scanledger import schema
 from scanledger.operators.findings import InvalidData
+from scanledger.session import lookup
 
 
 class VersionMoved(Exception):
@@ -156,7 +157,7 @@ class Store:
     def chunk_refs(self, slots: DataFrame) -> DataFrame:
         """References by slot, as the axis ``slots`` sees them."""
         owners = slots.select("collection", "granule_ur", F.col("ref_stage").alias("stage"), "slot")
-        joined = self.granule_refs().join(owners, ["collection", "granule_ur", "stage"])
+        joined = self.granule_refs().join(lookup(owners, pinned=False), ["collection", "granule_ur", "stage"])
         return joined.select(
             "collection", "variable", "slot", "cy", "cx", "url", "offset", "length", "last_updated_at"
         )

@@ -6,8 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from scanledger.functions import expressions as x
-from scanledger.operators.compare import completeness_diff  # noqa: F401  (same check, row form)
 from scanledger.operators.grid import ChunkShape
 from scanledger.plans.store import expired
 from scanledger.plans.verify import verify_completeness, verify_store
@@ -16,47 +14,50 @@ from scanledger.queries.registry import axis_slots, grid_chunks, query, table
 
 
 def _grid_slots(spark, sf):
+    """Vectors as slots: label = collection, one grid variable named like it."""
     vectors = table(spark, sf, "embeddings")
     url = F.concat(F.lit("s3://archive/v"), F.col("vec_id").cast("string"), F.lit(".nc"))
     return vectors.select(
-        F.lit("grid").alias("collection"), F.col("vec_id").cast("int").alias("slot"), (F.col("vec_id") * 3600.0).alias("time"),
-        F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("granule_ur"), url.alias("granule_url"),
+        F.concat(F.lit("v"), F.col("label").cast("string")).alias("collection"), F.col("vec_id").cast("int").alias("slot"),
+        (F.col("vec_id") * 3600.0).alias("time"), F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("granule_ur"),
+        url.alias("granule_url"),
     )
 
 
-def _audit(spark, sf, source_value, samples):
+def _audit(spark, sf, source_value):
+    """Audit of every slot against sources made from the stored chunks; some source times are off."""
     slots = _grid_slots(spark, sf)
-    stored = grid_chunks(spark, sf).withColumn("collection", F.lit("grid")).withColumn("variable", F.lit("column"))
-    headers = slots.select(F.col("granule_url").alias("url"), (F.col("time") + F.when(F.col("slot") % 7 == 0, 1.0).otherwise(0.0)).alias("time"))
-    source = stored.join(slots.select("slot", F.col("granule_url").alias("url")), "slot").select(
-        "url", "variable", "cy", "cx", source_value.alias("values")
+    stored = grid_chunks(spark, sf).withColumn("collection", F.col("variable"))
+    off = F.when(F.col("slot") % 7 == 0, 1.0).otherwise(0.0)
+    headers = slots.select(F.col("granule_url").alias("url"), (F.col("time") + off).alias("time"))
+    source = stored.select(
+        F.concat(F.lit("s3://archive/v"), F.col("slot").cast("string"), F.lit(".nc")).alias("url"), "variable", "cy", "cx",
+        source_value.alias("values"),
     )
-    variables = table(spark, sf, "embeddings").select(
-        F.lit("grid").alias("collection"), F.lit("column").alias("variable"), F.lit(8).alias("ny"), F.lit(8).alias("nx"), F.lit(-1e30).alias("fill")
+    variables = slots.select(
+        "collection", F.col("collection").alias("variable"), F.lit(8).alias("ny"), F.lit(8).alias("nx"), F.lit(-1e30).alias("fill")
     ).distinct()
-    return verify_store(slots, stored, headers, source, variables, ChunkShape(1, 8), samples=samples, window=5)
+    return verify_store(slots, stored, headers, source, variables, ChunkShape(1, 8), samples=slots.count(), window=5)
 
 
 @query(
     "verify_store",
-    """SELECT 'time' AS "check", 'grid/' || vec_id AS subject, 'source time differs: s3://archive/v' || vec_id || '.nc' AS detail, 'error' AS severity
+    """SELECT 'time' AS "check", 'v' || label || '/' || vec_id AS subject, 'source time differs: s3://archive/v' || vec_id || '.nc' AS detail, 'error' AS severity
        FROM embeddings WHERE vec_id % 7 = 0
        UNION ALL
-       SELECT 'values', 'grid/' || vec_id || '/column', 'raw values differ', 'error' FROM embeddings WHERE vec_id % 7 <> 0""",
+       SELECT 'values', 'v' || label || '/' || vec_id || '/v' || label, 'raw values differ', 'error' FROM embeddings WHERE vec_id % 7 <> 0""",
 )
 def verify_all(spark, sf):
     # every slot is sampled, so the choice of windows cannot matter: all source values are shifted
-    n = table(spark, sf, "embeddings").count()
-    return _audit(spark, sf, F.transform("values", lambda v: v + F.lit(1.0).cast("float")), n)
+    return _audit(spark, sf, F.transform("values", lambda v: v + F.lit(1.0).cast("float")))
 
 
 @query(
     "verify_clean",
-    """SELECT 'time' AS "check", 'grid/' || vec_id AS subject, 'error' AS severity FROM embeddings WHERE vec_id % 7 = 0""",
+    """SELECT 'time' AS "check", 'v' || label || '/' || vec_id AS subject, 'error' AS severity FROM embeddings WHERE vec_id % 7 = 0""",
 )
 def verify_clean(spark, sf):
-    n = table(spark, sf, "embeddings").count()
-    return _audit(spark, sf, F.col("values"), n).select("check", "subject", "severity")
+    return _audit(spark, sf, F.col("values")).select("check", "subject", "severity")
 
 
 @query(

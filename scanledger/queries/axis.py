@@ -16,6 +16,7 @@ from scanledger.queries.registry import (
     query,
     table,
 )
+from scanledger.session import pin
 
 _LOG_SQL = """
 log AS (
@@ -277,6 +278,12 @@ def merged_axis(spark, sf):
     return ops.merge_pending(old_axis(spark, sf), ops.earliest_pending(pending_ledger(spark, sf)))
 
 
+def pinned_axes(spark, sf):
+    """The axis and its merge, written once for queries that read them several times."""
+    old = pin(old_axis(spark, sf))
+    return old, pin(ops.merge_pending(old, ops.earliest_pending(pending_ledger(spark, sf))))
+
+
 @query("earliest_pending", f"WITH {_MERGE_SQL} SELECT * FROM fold")
 def earliest_pending(spark, sf):
     return ops.earliest_pending(pending_ledger(spark, sf))
@@ -289,12 +296,12 @@ def merge_pending(spark, sf):
 
 @query("first_shift", f"WITH {_MERGE_SQL} SELECT * FROM shifts")
 def first_shift(spark, sf):
-    return ops.first_shift(old_axis(spark, sf), merged_axis(spark, sf))
+    return ops.first_shift(*pinned_axes(spark, sf))
 
 
 @query("relocation_map", f"WITH {_MERGE_SQL} SELECT * FROM moves")
 def relocation_map(spark, sf):
-    return ops.relocation_map(old_axis(spark, sf), merged_axis(spark, sf))
+    return ops.relocation_map(*pinned_axes(spark, sf))
 
 
 @query(
@@ -325,9 +332,9 @@ def known_urs(spark, sf):
         FROM shifts s""",
 )
 def resort_report(spark, sf):
-    old, pending = old_axis(spark, sf), pending_ledger(spark, sf)
+    old, pending = pin(old_axis(spark, sf)), pin(pending_ledger(spark, sf))
     fold = ops.earliest_pending(pending)
-    merged = ops.merge_pending(old, fold)
+    merged = pin(ops.merge_pending(old, fold))
     shifts = ops.first_shift(old, merged)
     moved = ops.relocation_map(old, merged, shifts).groupBy("collection").agg(F.count(F.lit(1)).alias("moved"))
     inserted = merged.groupBy("collection").agg(F.count_if("inserted").alias("inserted"), F.max("time").alias("axis_end"))

@@ -10,6 +10,7 @@ from scanledger.operators import compare as ops, template as tmpl, validate
 from scanledger.queries.axis import _MERGE_SQL, merged_axis, old_axis, pending_ledger
 from scanledger.queries.registry import AXIS_SQL, axis_entries, axis_slots, query, table
 from scanledger.queries.scalars import granule_vars
+from scanledger.session import pin
 
 # -- nodes: the orders seen by finished lines against those seen by open lines --------------------
 
@@ -165,7 +166,7 @@ def build_template(spark, sf):
     variables = granule_vars(spark, sf).withColumn("data_type", F.lit("double")).withColumn("fill_value", F.lit(-1e30))
     # the root node of a granule carries one attribute shared by all, one of its own and a volatile one
     root = table(spark, sf, "part").select("p_brand").distinct().select(
-        F.col("p_brand").alias("url"), F.lit("").alias("path"),
+        F.col("p_brand").alias("url"), F.substring("p_brand", 1, 0).alias("path"),
         F.create_map(F.lit("project"), F.lit("1"), F.lit("title"), "p_brand", F.lit("history"), "p_brand").alias("attributes"),
     )
     out = tmpl.build_template(variables, root, "Brand#3", config)
@@ -234,19 +235,28 @@ def shared_grid_check(spark, sf):
     return ops.shared_grid_check(grid("F"), grid("O")).select("axis", "n_differing")
 
 
-@query(
-    "compare_axes",
-    """SELECT vec_id, 'embedding' AS axis, 'values' AS problem FROM embeddings
-       WHERE embedding <> (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1)""",
-)
-def compare_axes(spark, sf):
+_AXES_SQL = """
+named AS (SELECT vec_id, CASE WHEN label < 5 THEN 'latitude' ELSE 'longitude' END AS axis, embedding[1:8] AS v FROM embeddings),
+reference AS (SELECT axis, arg_min(v, vec_id) AS r FROM named GROUP BY 1),
+axis_diff AS (
+  SELECT vec_id, n.axis, 'values' AS problem FROM named n JOIN reference USING (axis) WHERE v <> r
+  UNION ALL
+  SELECT vec_id, r.axis, 'missing' FROM named n JOIN reference r ON n.axis <> r.axis
+)"""
+
+
+def _named_axes(spark, sf):
+    """Every vector is a granule carrying one of two axes; the first vector with it is the reference."""
     axes = table(spark, sf, "embeddings").select(
-        F.col("vec_id").cast("string").alias("url"), F.lit("embedding").alias("axis"), F.col("embedding").alias("values")
-    )
-    reference = table(spark, sf, "embeddings").agg(F.min_by("embedding", "vec_id").alias("values")).select(
-        F.lit("embedding").alias("axis"), "values"
+        F.col("vec_id").cast("string").alias("url"), "vec_id",
+        F.when(F.col("label") < 5, "latitude").otherwise("longitude").alias("axis"), F.slice("embedding", 1, 8).alias("values"),
     )
-    out = ops.compare_axes(reference, axes)
+    return axes.groupBy("axis").agg(F.min_by("values", "vec_id").alias("values")), axes.drop("vec_id")
+
+
+@query("compare_axes", f"WITH {_AXES_SQL} SELECT * FROM axis_diff")
+def compare_axes(spark, sf):
+    out = ops.compare_axes(*_named_axes(spark, sf))
     return out.select(F.col("url").cast("long").alias("vec_id"), "axis", "problem")
 
 
@@ -381,24 +391,16 @@ def granule_time_findings(spark, sf):
 
 @query(
     "granule_findings",
-    f"""WITH {_ATTRS_SQL}
+    f"""WITH {_ATTRS_SQL}, {_AXES_SQL}
         SELECT 'attributes' AS "check", CAST(url AS VARCHAR) AS subject, 'attribute ' || path || ' ' || key || ' ' || problem AS detail,
                CASE WHEN problem = 'extra' THEN 'warning' ELSE 'error' END AS severity
         FROM attr_diff WHERE problem IS NOT NULL
         UNION ALL
-        SELECT 'coordinates', CAST(vec_id AS VARCHAR), 'longitude missing', 'error' FROM embeddings
-        UNION ALL
-        SELECT 'coordinates', CAST(vec_id AS VARCHAR), 'latitude values', 'error' FROM embeddings
-        WHERE embedding[1:8] <> (SELECT embedding[1:8] FROM embeddings ORDER BY vec_id LIMIT 1)""",
+        SELECT 'coordinates', CAST(vec_id AS VARCHAR), axis || ' ' || problem, 'error' FROM axis_diff""",
 )
 def granule_findings(spark, sf):
-    axes = table(spark, sf, "embeddings").select(
-        F.col("vec_id").cast("string").alias("url"), F.lit("latitude").alias("axis"), F.slice("embedding", 1, 8).alias("values")
-    )
-    first = table(spark, sf, "embeddings").agg(F.min_by("embedding", "vec_id").alias("e"))
-    reference = first.select(F.explode(F.array(F.lit("latitude"), F.lit("longitude"))).alias("axis"), F.slice("e", 1, 8).alias("values"))
     nodes = granule_nodes(spark, sf).withColumn("url", F.col("url").cast("string"))
-    return validate.validate_granules(declared_attributes(spark, sf), nodes, reference, axes, {"history"})
+    return validate.validate_granules(declared_attributes(spark, sf), nodes, *_named_axes(spark, sf), {"history"})
 
 
 @query(
@@ -416,7 +418,7 @@ def granule_findings(spark, sf):
 def publish_gate(spark, sf):
     from scanledger.queries.references import axis_refs
 
-    merged = merged_axis(spark, sf)
+    merged = pin(merged_axis(spark, sf))
     in_time = axis_entries(spark, sf).filter(F.year(x.axis_timestamp("time")) < 2000)
     from scanledger.operators.slots import assign_slots
 

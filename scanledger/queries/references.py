@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scanledger.operators import refs as ops, slots as slot_ops
-from scanledger.queries.axis import _MERGE_SQL, merged_axis, old_axis
+from scanledger.queries.axis import _MERGE_SQL, pinned_axes
 from scanledger.queries.registry import REF_KEY, REFS_SQL, line_refs, query, table
 
 _MERGED_SQL = f"""{REFS_SQL},
@@ -135,7 +135,7 @@ def axis_refs(spark, sf, slots):
         LEFT JOIN moves m ON m.collection = r.collection AND m.old_slot = r.slot""",
 )
 def relocate_refs(spark, sf):
-    old, merged = old_axis(spark, sf), merged_axis(spark, sf)
+    old, merged = pinned_axes(spark, sf)
     shifts = slot_ops.first_shift(old, merged)
     return ops.relocate_refs(axis_refs(spark, sf, old), slot_ops.relocation_map(old, merged, shifts), shifts)
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers)
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Look-up tables up to this many rows (a few dozen bytes each) are broadcast; their size is counted first.
+BROADCAST_ROWS = 500_000
+
 
 def build_session(app: str = "scanledger", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume (UTC, adaptive execution)."""
@@ -44,3 +47,13 @@ def pin(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive executor loss and are never recomputed."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def lookup(df: DataFrame, pinned: bool = True, max_rows: int | None = None) -> DataFrame:
+    """A look-up side of a join: broadcast if counted small enough, else left to shuffle joins.
+
+    Saves the shuffle of the large side, which adaptive execution can only skip after writing it.
+    """
+    rows = pin(df) if pinned else df
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    return F.broadcast(rows) if rows.count() <= limit else rows
