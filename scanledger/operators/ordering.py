@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scanledger.session import lookup
+
 TARGET_ROWS = 2_000_000
 # Inputs below this many bytes are fewer than one scan task reads by default (128 MB): no count is needed.
 SMALL_BYTES = 32 * 1024 * 1024
@@ -107,9 +109,13 @@ def _ranged(
 def _with_carry(
     rows: DataFrame, edges: DataFrame, group: Sequence[str], carried: Column, name: str
 ) -> DataFrame:
-    """Attach to every row what the earlier ranges of its group add up to (one edge row per range)."""
+    """Attach to every row what the earlier ranges of its group add up to.
+
+    The edges have one row per (group, range) with rows in it, so they usually fit a broadcast and
+    the rows keep the partitioning of their window.
+    """
     keys = [*group, _RANGE]
-    earlier = edges.select(*[F.col(k).alias(f"_e_{k}") for k in keys], carried.alias(name))
+    earlier = lookup(edges.select(*[F.col(k).alias(f"_e_{k}") for k in keys], carried.alias(name)))
     same = [rows[k].eqNullSafe(earlier[f"_e_{k}"]) for k in keys]
     return rows.join(earlier, same, "left").drop(*[f"_e_{k}" for k in keys])
 

@@ -223,6 +223,19 @@ class Store:
         )
         return expired(files, self._needed_stages(kept), older_than)
 
+    def remove_expired(self, older_than, keep_versions: int = 1) -> int:
+        """Delete the folders all of whose files have expired; returns how many.
+
+        A folder is what one job wrote, so their number grows with the runs, not with the data.
+        """
+        files = self.expired_files(older_than, keep_versions)
+        folder = F.regexp_extract("path", r"^(.*/(?:stages/|refs/stage=)[^/]+)/", 1)
+        old = [r.folder for r in files.select(folder.alias("folder")).distinct().toLocalIterator()]
+        for name in old:
+            path, fs = _path(self.spark, name)
+            fs.delete(path, True)
+        return len(old)
+
     def _needed_stages(self, kept: list[Version]) -> DataFrame:
         own = self.spark.createDataFrame([(v.stage, "state") for v in kept], "stage string, kind string")
         for version in kept:
@@ -241,6 +254,7 @@ def expired(files: DataFrame, needed: DataFrame, older_than) -> DataFrame:
     keyed = files.withColumn("stage", F.when(state != "", state).otherwise(refs)).withColumn(
         "kind", F.when(state != "", "state").otherwise("refs")
     )
-    old = keyed.filter(F.col("modificationTime") < F.lit(older_than).cast("timestamp"))
-    return old.join(needed, ["stage", "kind"], "left_anti").select("path", "modificationTime", "length")
+    cutoff = F.lit(older_than).cast("timestamp")
+    unneeded = keyed.join(needed, ["stage", "kind"], "left_anti")
+    return unneeded.filter(F.col("modificationTime") < cutoff).select("path", "modificationTime", "length")
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # checkpoints of finished jobs go away with their DataFrames
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Look-up tables up to this many rows (a few dozen bytes each) are broadcast; their size is counted first.

@@ -30,7 +30,8 @@ from scanledger.plans.store import Store, Version
 from scanledger.session import pin
 from scanledger.sources.messages import read_messages
 
-ORDER = ["sort_url", "message_id"]
+# url order within a batch; id and body only make it total
+ORDER = ["sort_url", "message_id", "body"]
 
 
 def parse_batch(messages: DataFrame, headers: dict[str, DataFrame], template: DataFrame, coordinates: DataFrame, config: CollectionConfig) -> DataFrame:
@@ -83,7 +84,9 @@ def process_batch(
     template = _of(store.template(), config.collection).drop("collection")
     coordinates = _of(store.coordinates(), config.collection).drop("collection")
     again = store.retries(pinned).withColumn("attempts", F.col("attempts") + 1)
-    incoming = messages.select("message_id", "body", F.lit(1).alias("attempts")).unionByName(again)
+    delivered = messages.select("message_id", "body", F.lit(1).alias("attempts")).unionByName(again)
+    # a message delivered twice within one batch counts once
+    incoming = delivered.groupBy("message_id", "body").agg(F.max("attempts").alias("attempts"))
     arrivals = pin(parse_batch(incoming, headers, template, coordinates, config))
     slots, pending = store.slots(pinned), store.pending(pinned)
     routed = route_arrivals(arrivals, slots, ORDER, target_rows)

@@ -191,3 +191,17 @@ def test_windows_read_only_their_chunks(audit):
     windows = slots.select("collection", "slot", F.lit("column").alias("variable"), F.lit(1).alias("y0"), F.lit(2).alias("x0"))
     cells = sampled_windows(stored, shape, windows, 2, ["collection", "slot", "variable"])
     assert {(r.y, r.x, r.value) for r in cells.filter("slot = 0").collect()} == {(1, 2, 12.0), (1, 3, 13.0), (2, 2, 22.0), (2, 3, 23.0)}
+
+
+def test_references_move_alike_with_and_without_broadcast(spark, monkeypatch):
+    from scanledger import schema
+
+    now = datetime.datetime(2024, 1, 1)
+    held = spark.createDataFrame([("c", "v", s, 0, 0, f"g{s}", s, 1, now) for s in range(5)] + [("d", "v", 7, 0, 0, "h", 7, 1, now)], schema.CHUNK_REFS)
+    moves = spark.createDataFrame([("c", "g2", 2, 3), ("c", "g3", 3, 4)], "collection string, granule_ur string, old_slot int, new_slot int")
+    shifts = spark.createDataFrame([("c", 2)], "collection string, first_shift int")
+    want = {("c", 0, 0), ("c", 1, 1), ("c", 3, 2), ("c", 4, 3), ("d", 7, 7)}  # slot 4 had no move and is cleared
+    for limit in (500_000, 0):
+        monkeypatch.setattr("scanledger.session.BROADCAST_ROWS", limit)
+        out = refs.relocate_refs(held, moves, shifts)
+        assert {(r.collection, r.slot, r.offset) for r in out.collect()} == want

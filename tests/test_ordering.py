@@ -61,6 +61,12 @@ def test_running_max_and_sum(rows):
     assert same(got, rows.withColumn("s", F.coalesce(F.sum("id").over(before), F.lit(0))))
 
 
+def test_ranges_without_broadcast(rows, monkeypatch):
+    monkeypatch.setattr("scanledger.session.BROADCAST_ROWS", 0)
+    got = ordering.ordered_position(rows, ["g"], ["at", "id"], "n", 50)
+    assert same(got, rows.withColumn("n", F.row_number().over(W()).cast("long") - 1))
+
+
 def test_without_group(rows):
     got = ordering.ordered_position(rows, [], ["at", "id"], "n", 50)
     assert same(got, rows.withColumn("n", F.row_number().over(Window.orderBy("at", "id")).cast("long") - 1))

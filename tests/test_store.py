@@ -169,7 +169,10 @@ def test_moved_time_within_a_batch(filled):
 
 
 def test_batch_is_taken_in_url_order(filled):
-    feed(filled, [granule("b", TIMES[2] + 7200), granule("a", TIMES[2] + 3600)], 0)
+    twice = granule("b", TIMES[2] + 7200)
+    sent = tiny.messages(filled.spark, [twice, granule("a", TIMES[2] + 3600)])
+    headers = tiny.headers_of(filled.spark, [twice, granule("a", TIMES[2] + 3600)])
+    process_batch(filled, sent.unionAll(sent), headers, CONFIG, 0)  # every message delivered twice
     assert [a[1] for a in tiny.axis(filled)][-2:] == ["a", "b"]
 
 
@@ -261,4 +264,7 @@ def test_expired_files_spare_what_the_current_version_needs(filled):
     paths = [r.path for r in old.collect()]
     assert paths and not any(stage in p for p in paths) and not any(f"stage={s}/" in p for p in paths for s in kept_refs)
     past = datetime.datetime.now(datetime.timezone.utc) - datetime.timedelta(days=30)
-    assert filled.expired_files(past).count() == 0
+    assert filled.expired_files(past).count() == 0 and filled.remove_expired(past) == 0
+    before = filled.chunk_refs(filled.slots(filled.current())).collect()
+    assert filled.remove_expired(future) >= 2 and filled.expired_files(future).count() == 0
+    assert sorted(filled.chunk_refs(filled.slots(filled.current())).collect()) == sorted(before)
