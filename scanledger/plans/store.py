@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanledger import schema
-from scanledger.operators.findings import InvalidData
+from scanledger.operators.findings import InvalidData, require_valid
+from scanledger.operators.validate import validate_inventory
 from scanledger.session import lookup
 
 
@@ -131,6 +132,16 @@ class Store:
     def slots(self, version: Version) -> DataFrame:
         return self._table(version.stage, "slots", schema.SLOTS)
 
+    def read_inventory(self, version: Version, collection: str) -> DataFrame | None:
+        """The axis of a collection as inventory rows, checked on reading; None while it is empty."""
+        entries = self.slots(version).filter(F.col("collection") == collection).select(
+            "collection", F.col("granule_url").alias("url"), "granule_ur", "time", F.col("slot").cast("long").alias("position")
+        )
+        if entries.isEmpty():
+            return None
+        require_valid(validate_inventory(entries), f"axis of {collection}")
+        return entries
+
     def pending(self, version: Version) -> DataFrame:
         return self._table(version.stage, "pending", schema.PENDING)
 

@@ -9,6 +9,7 @@ from scanledger.operators.compare import completeness_diff, nearest_granule, url
 from scanledger.operators.findings import all_findings, as_findings
 from scanledger.operators.grid import ChunkShape, compare_windows, sampled_windows
 from scanledger.operators.slots import sample_slots, sample_windows
+from scanledger.session import lookup, pin
 
 
 def verify_store(
@@ -32,7 +33,8 @@ def verify_store(
     the grids. With catalogue ``records`` the source url comes from the catalogue, else from the slot.
     """
     label = F.concat_ws("/", "collection", F.col("slot").cast("string"))
-    picked = sample_slots(slots, samples, seed)
+    # the sample is small and steers every read below: drawn once, then looked up
+    picked = pin(sample_slots(slots, samples, seed))
     parts = []
     if records is not None:
         found = nearest_granule(picked, records, target_rows=target_rows)
@@ -58,12 +60,12 @@ def verify_store(
         )
     )
     good = heads.filter(F.col("_t").eqNullSafe(F.col("time")))
-    windows = sample_windows(good, variables.drop("fill"), window, seed).select(
-        "collection", "slot", "variable", "y0", "x0"
+    windows = lookup(
+        sample_windows(good, variables.drop("fill"), window, seed).select("collection", "slot", "variable", "y0", "x0")
     )
     keys = ["collection", "slot", "variable"]
     held = sampled_windows(stored, shape, windows, window, keys)
-    named = source.join(good.select("collection", "slot", F.col("granule_url").alias("url")), "url")
+    named = source.join(lookup(good.select("collection", "slot", F.col("granule_url").alias("url"))), "url")
     fills = variables.select("collection", "variable", F.col("fill").cast("double").alias("fill"))
     read = sampled_windows(named, shape, windows, window, keys).join(fills, ["collection", "variable"])
     masked = held.join(fills, ["collection", "variable"]).withColumn(

@@ -411,7 +411,8 @@ def collection_report(spark, sf):
             ).alias("umm"),
         )
     )
-    docs = kinds.select(F.from_json(doc, schema.COLLECTION_RECORD).alias("r")).select("r.*")
+    # one document per collection, parsed once
+    docs = pin(kinds.select(F.from_json(doc, schema.COLLECTION_RECORD).alias("r")).select("r.*"))
     report = catalogue.collection_report(docs, records)
     extents = catalogue.temporal_extent(docs).select("concept_id", F.col("end").alias("extent_end"))
     return report.join(extents, "concept_id").select(

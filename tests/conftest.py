@@ -13,7 +13,8 @@ def spark():
     session = build_session(
         "tests", "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

@@ -66,6 +66,16 @@ def test_template_of_the_tiny_collection(spark):
     assert expected == {"weight": 13611, **{v: 4 * 13611 for v in tiny.CHUNKED}}
 
 
+def test_reference_granules_must_agree(spark):
+    from scanledger.plans.template import derive_template
+
+    granules = [*tiny.first_granules(), tiny.granule("odd", tiny.TIMES[0], project='"OTHER"', latitude=[1.0, 2.0, 3.0, 4.0])]
+    _, grid, findings = derive_template(tiny.headers_of(spark, granules), tiny.url_of("granule_0"), tiny.CONFIG)
+    assert grid.exceptAll(tiny.coordinates(spark)).count() == 0 and grid.count() == 10
+    assert {(f.check, f.subject) for f in findings.collect()} == {
+        ("coordinates", tiny.url_of("odd")), ("attributes", tiny.url_of("odd")), ("varying_attributes", " project")}
+
+
 def test_resize_keeps_chunks_and_names_unknown_dims(spark):
     out = {r.path: r for r in tmpl.resize_dims(tiny.template(spark), {"time": 9}).collect()}
     assert out["/vertical_column"].shape == [9, 4, 6] and out["/vertical_column"].chunk_shape == [1, 2, 3] and out["/latitude"].shape == [4]

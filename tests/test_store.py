@@ -53,6 +53,7 @@ def test_initialize_is_idempotent_and_empty(spark, empty):
     store = empty
     assert store.current().number == 1
     assert tiny.new_store(spark, store.base).current().number == 1
+    assert store.read_inventory(store.current(), CONFIG.collection) is None
     assert tiny.axis(store) == [] and tiny.ledger(store) == []
     assert store.granule_refs().count() == 0
 
@@ -60,6 +61,8 @@ def test_initialize_is_idempotent_and_empty(spark, empty):
 def test_backfill_places_every_reference(filled):
     assert [a[1] for a in tiny.axis(filled)] == ["granule_0", "granule_1", "granule_2"]
     assert [a[2] for a in tiny.axis(filled)] == TIMES
+    inventory = filled.read_inventory(filled.current(), CONFIG.collection)
+    assert [r.url for r in inventory.orderBy("position").collect()] == [tiny.url_of(f"granule_{i}") for i in range(3)]
     refs = filled.chunk_refs(filled.slots(filled.current()))
     assert refs.count() == 3 * tiny.REFS_PER_GRANULE
     assert {r.url for r in refs.filter("slot = 1").collect()} == {tiny.url_of("granule_1")}
