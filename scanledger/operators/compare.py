@@ -258,6 +258,24 @@ def nearest_granule(
     ).select(slots.columns + [F.col("best.url").alias("found_url"), F.col("best.granule_ur").alias("found_ur")])
 
 
+# cells of the time line per wide cell: an extent of years stays a few thousand cells
+WIDE_CELL = 1024
+
+
+def _covered_cells(a: Column, b: Column) -> Column:
+    """Cells a..b as (level, cell) structs: whole wide cells once, single cells at both ends."""
+
+    def cells(x0: Column, x1: Column, level: int) -> Column:
+        made = F.transform(
+            F.sequence(x0, x1), lambda c: F.struct(F.lit(level).alias("level"), c.cast("long").alias("cell"))
+        )
+        return F.when(x1 >= x0, made).otherwise(F.array().cast("array<struct<level:int,cell:bigint>>"))
+
+    w0, w1 = F.ceil(a / WIDE_CELL), F.floor((b + 1) / WIDE_CELL) - 1
+    ends = F.concat(cells(a, w0 * WIDE_CELL - 1, 0), cells((w1 + 1) * WIDE_CELL, b, 0))
+    return F.when(w1 >= w0, F.concat(cells(w0, w1, 1), ends)).otherwise(cells(a, b, 0))
+
+
 def _still_lasting(
     open_slots: DataFrame, records: DataFrame, cell: float, w: Column, target_rows: int | None
 ) -> DataFrame:
@@ -266,12 +284,16 @@ def _still_lasting(
     asked = open_slots.withColumn("q", F.col("at") - w).withColumn("cell", F.floor(F.col("q") / cell))
     lasting = records.filter(F.col("end") > F.col("begin")).withColumn("p", packed)
     first, last = F.floor(F.col("begin") / cell) + 1, F.floor(F.col("end") / cell) - 1
+    spans = lasting.select("collection", "p", first.alias("a"), last.alias("b")).filter("b >= a")
     covers = (
-        lasting.filter(last >= first)
-        .select("collection", F.explode(F.sequence(first, last)).alias("cell"), "p")
-        .groupBy("collection", "cell")
+        spans.select("collection", F.explode(_covered_cells(F.col("a"), F.col("b"))).alias("c"), "p")
+        .groupBy("collection", "c.level", "c.cell")
         .agg(F.max("p").alias("covering"))
     )
+    fine = covers.filter("level = 0").select("collection", "cell", "covering")
+    coarse = covers.filter("level = 1").select(
+        "collection", F.col("cell").alias("wide"), F.col("covering").alias("covering_wide")
+    )
     end_cell = F.floor(F.col("end") / cell)
     begin_cell = F.floor(F.col("begin") / cell)
 
@@ -296,8 +318,13 @@ def _still_lasting(
     )
     by_end = seen_before(ending, -F.col("q"), "ending")
     by_begin = seen_before(starting, F.col("q"), "starting").drop("at")
-    answers = by_end.join(by_begin, ["collection", "cell", "id"]).join(covers, ["collection", "cell"], "left")
-    best = F.greatest("ending", "starting", "covering")
+    answers = (
+        by_end.join(by_begin, ["collection", "cell", "id"])
+        .join(fine, ["collection", "cell"], "left")
+        .withColumn("wide", F.floor(F.col("cell") / WIDE_CELL))
+        .join(coarse, ["collection", "wide"], "left")
+    )
+    best = F.greatest("ending", "starting", "covering", "covering_wide")
     return answers.withColumn("b", best).select(
         "collection", "id", "at",
         F.when(F.col("b").isNotNull(), F.struct(F.col("b.url").alias("url"), F.col("b.granule_ur").alias("granule_ur"))).alias("best"),

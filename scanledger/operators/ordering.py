@@ -26,6 +26,8 @@ TARGET_ROWS = 2_000_000
 SMALL_BYTES = 32 * 1024 * 1024
 MAX_RANGES = 10_000
 SAMPLES_PER_RANGE = 20
+# Spark's default for limiting a window per task (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
 
 _RANGE = "_range"
 
@@ -222,6 +224,14 @@ def ordered_running_sum(
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int
 ) -> DataFrame:
-    """First ``k`` rows of each group; Spark keeps at most ``k`` per task before it shuffles."""
-    w = _window(group).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
+    """First ``k`` rows of each group.
+
+    Up to ``GROUP_LIMIT`` rows Spark keeps at most ``k`` per task before it shuffles; more are ranked
+    over ranges, so that a huge group is not sorted in one task.
+    """
+    if k <= GROUP_LIMIT:
+        w = _window(group).orderBy(*order)
+        return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
+    names = [f"_o{i}" for i in range(len(order))]
+    ranked = ordered_position(df.withColumns(dict(zip(names, order))), group, names, "_rank")
+    return ranked.filter(F.col("_rank") < k).drop("_rank", *names)

@@ -101,8 +101,9 @@ def brute_nearest(slots, records, w):
     return found
 
 
-@pytest.mark.parametrize("seed, target", [(1, None), (2, 40), (3, 40)])
-def test_nearest_granule_is_exact(spark, seed, target):
+@pytest.mark.parametrize("seed, target, wide", [(1, None, 1024), (2, 40, 3), (3, None, 2)])
+def test_nearest_granule_is_exact(spark, monkeypatch, seed, target, wide):
+    monkeypatch.setattr("scanledger.operators.compare.WIDE_CELL", wide)
     rnd = random.Random(seed)
     starts = [rnd.choice([0, 600, 5000, rnd.uniform(0, 20000)]) for _ in range(60)]
     records = [(b, b + rnd.choice([0, 30, 700, 4000, 9000]), i) for i, b in enumerate(starts)]
@@ -115,6 +116,12 @@ def test_nearest_granule_is_exact(spark, seed, target):
     assert got == want
 
 
+def test_top_of_large_groups(rows, monkeypatch):
+    few = ordering.top_per_group(rows, ["g"], [F.col("at"), F.col("id")], 5)
+    monkeypatch.setattr(ordering, "GROUP_LIMIT", 2)
+    assert same(few, ordering.top_per_group(rows, ["g"], [F.col("at"), F.col("id")], 5))
+
+
 def test_nearest_in_time_prefers_the_first_listed(spark):
     left = spark.createDataFrame([("c", 1, 10.0)], "g string, id long, at double")
     right = spark.createDataFrame([("c", 8.0, 2, "x"), ("c", 12.0, 1, "y"), ("c", 12.0, 0, "z")], "g string, at double, rank long, p string")
