@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from scanledger import queries as registered
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in registered.queries()}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in registered.queries()}
 
 
 @pytest.fixture(scope="module")
