@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from scanledger.llm import quality
+from scanledger.llm import line_dedup, packing, quality
 from scanledger.llm.common import table
 
 QUERIES = {
+    "op3_line_dedup": lambda spark, sf_dir: line_dedup.query(table(spark, sf_dir, "documents")),
     "op6_quality_rules": lambda spark, sf_dir: quality.query(table(spark, sf_dir, "documents")),
+    "op8_best_fit_packing": lambda spark, sf_dir: packing.query(table(spark, sf_dir, "documents")),
 }
-ORACLES = {"op6_quality_rules": quality.ORACLE}
+ORACLES = {"op3_line_dedup": line_dedup.ORACLE, "op6_quality_rules": quality.ORACLE}
