@@ -129,7 +129,7 @@ def node_key(elements: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, bands) of every document; node is null without words."""
+    """(doc_id, print, node, n, bands) of every document; node is null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[bytes, list[int]] = {}
@@ -150,11 +150,14 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 nodes.append(node)
                 buckets.append(met[node])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(buckets, pa.list_(pa.int64()))],
-                ["doc_id", "node", "n", "bands"],
+                [
+                    batch.column(0), batch.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
+                    pa.array(buckets, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "print", "node", "n", "bands"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, node binary, n int, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, print long, node binary, n int, bands array<long>")
 
 
 def _shingled(docs: DataFrame) -> DataFrame:
@@ -242,9 +245,15 @@ def _links(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, class_key) of every row; class_key tells classes apart even where ids repeat, and is null without words."""
+    """(doc_id, class_id, class_key, print) of every row.
+
+    class_key tells classes apart even where ids repeat, and is null without words; print is ``xxhash64`` of the text.
+    """
     with_python(docs.sparkSession)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(text).cast("string")).alias("print"),
+    )
     sketched = written(_sketched(docs), "sketches")
     nodes = written(
         sketched.filter("node IS NOT NULL").groupBy("node")
@@ -263,24 +272,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rooted = nodes.select("node", "doc_id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     named = rooted.join(ids, "root").select("node", "class_id", F.hex("root").alias("class_key"))
-    return (
-        sketched.select("doc_id", "node").join(named, "node", "left")
-        .select("doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class_key")
-    )
+    class_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
+    return sketched.select("doc_id", "print", "node").join(named, "node", "left").select("doc_id", class_id, "class_key", "print")
 
 
 def dedup_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One document of each class: the one with the smallest id, and only one row of it. Texts without words all stay."""
-    own, class_id, class_key = (fresh(docs, x) for x in ("own_id_", "class_id_", "class_key_"))
-    named = near_duplicates(docs, text, doc_id).distinct()
-    stay = named.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias(own), F.col("class_id").alias(class_id), F.col("class_key").alias(class_key)
-    )
-    # ids that occur once in ``stay`` are the rule; where an id has several texts, all rows of it with a kept class stay
-    keyed = stay.groupBy(own).agg(F.count("*").alias(class_id), F.first(class_key).alias(class_key))
-    kept = docs.join(keyed, F.col(doc_id).cast("long").eqNullSafe(F.col(own)), "left_semi")
-    return kept.dropDuplicates([doc_id, text]).select(*docs.columns)
+    named = written(near_duplicates(docs, text, doc_id).filter("class_key IS NOT NULL"), "near-classes")
+    first = named.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "print")).alias("first"))
+    judged = named.groupBy("class_key", "doc_id", "print").agg(F.count("*").alias("rows")).join(first, "class_key")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("print") == F.col("first.print"))
+    own, mark = fresh(docs, "own_id_"), fresh(docs, "print_")
+    judged = judged.select(F.col("doc_id").alias(own), F.col("print").alias(mark), stays.alias("stays"), "rows")
+    gone, repeated = (written(judged.filter(x).drop("stays", "rows"), "near-rows") for x in ("NOT stays", "stays AND rows > 1"))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(F.col(text).cast("string")) == F.col(mark))
+    kept = docs.join(gone, same, "left_anti")
+    # rows that repeat a kept one are few as a rule, so texts need no shuffle to find them
+    once = kept.join(repeated, same, "left_semi").dropDuplicates([doc_id, text])
+    return kept.join(repeated, same, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs.select("doc_id", "text"))
+    return near_duplicates(docs.select("doc_id", "text")).drop("print")

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from scanledger.llm import line_dedup, near_dedup, packing, quality
+from scanledger.llm import decontaminate, line_dedup, near_dedup, packing, quality
 from scanledger.llm.common import table
 
 QUERIES = {
     "op3_line_dedup": lambda spark, sf_dir: line_dedup.query(table(spark, sf_dir, "documents")),
     "op6_quality_rules": lambda spark, sf_dir: quality.query(table(spark, sf_dir, "documents")),
     "op8_best_fit_packing": lambda spark, sf_dir: packing.query(table(spark, sf_dir, "documents")),
+    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.query(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ),
     "op10_minhash_near_dedup": lambda spark, sf_dir: near_dedup.query(table(spark, sf_dir, "documents")),
 }
-ORACLES = {"op3_line_dedup": line_dedup.ORACLE, "op6_quality_rules": quality.ORACLE}
+ORACLES = {
+    "op3_line_dedup": line_dedup.ORACLE,
+    "op6_quality_rules": quality.ORACLE,
+    "op9_benchmark_decontamination": decontaminate.ORACLE,
+}
