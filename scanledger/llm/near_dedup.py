@@ -15,8 +15,8 @@ their shingle sets is 0.8 or more; documents form classes by chains of links.
    copies costs a multiple of its size instead of its square.
 4. Links become classes by alternating stars, in rounds that grow with the logarithm of the longest chain.
 
-Defined results: a text that is null or has no words is a class of its own. The class id is the smallest doc_id in the class (null only if
-all are null). Rows with the same id and text are members each. An empty table gives no rows.
+Defined results: a null text is a class of its own; texts without words belong together only if they are equal. The class id is the
+smallest doc_id in the class (null only if all are null). Rows with the same id and text are members each. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -129,7 +129,7 @@ def node_key(elements: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, print, node, n, bands) of every document; node is null without words."""
+    """(doc_id, print, node, n, bands) of every document; node is null where the text is, and without words there are no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[bytes, list[int]] = {}
@@ -138,9 +138,10 @@ def _sketched(docs: DataFrame) -> DataFrame:
             for body in batch.column(1):
                 elements, counts = shingles(body.as_py())
                 sizes.append(len(elements))
-                if not len(elements):
-                    nodes.append(None)
-                    buckets.append(None)
+                if not len(elements):  # only equal texts belong together
+                    raw = body.as_py()
+                    nodes.append(None if raw is None else hashlib.md5(b"no words" + raw.encode(), usedforsecurity=False).digest())
+                    buckets.append([])
                     continue
                 node = node_key(elements, counts)
                 if node not in met:
@@ -247,7 +248,7 @@ def _links(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, class_key, print) of every row.
 
-    class_key tells classes apart even where ids repeat, and is null without words; print is ``xxhash64`` of the text.
+    class_key tells classes apart even where ids repeat, and is null for null texts; print is ``xxhash64`` of the text.
     """
     with_python(docs.sparkSession)
     docs = docs.select(
@@ -277,7 +278,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def dedup_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One document of each class: the one with the smallest id, and only one row of it. Texts without words all stay."""
+    """One document of each class: the one with the smallest id, and only one row of it. Null texts all stay."""
     named = written(near_duplicates(docs, text, doc_id).filter("class_key IS NOT NULL"), "near-classes")
     first = named.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "print")).alias("first"))
     judged = named.groupBy("class_key", "doc_id", "print").agg(F.count("*").alias("rows")).join(first, "class_key")
