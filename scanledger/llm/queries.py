@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scanledger.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality, token_counts
+from scanledger.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality, token_counts, toxicity
 from scanledger.llm.common import table
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": lambda spark, sf_dir: line_dedup.query(table(spark, sf_dir, "documents")),
     "op4_token_counts": lambda spark, sf_dir: token_counts.query(table(spark, sf_dir, "documents")),
     "op6_quality_rules": lambda spark, sf_dir: quality.query(table(spark, sf_dir, "documents")),
+    "op7_toxicity": lambda spark, sf_dir: toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op8_best_fit_packing": lambda spark, sf_dir: packing.query(table(spark, sf_dir, "documents")),
     "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.query(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
