@@ -13,8 +13,10 @@ Pieces that agree in all columns are interchangeable.
 
 from __future__ import annotations
 
+import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,8 @@ from scanledger.llm.common import with_python, written
 
 CAPACITY = 1024
 END_ID = 2
-CACHED_WORDS = 300_000  # per Python worker; the cache starts anew when full
+CACHED_WORDS = 400_000  # per Python worker, twice: the older half goes when the newer one is full
+GROUP_CHARS = 1_000_000
 RANK_BUCKET = 50_000  # pieces of one length that one task ranks, about
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -35,36 +38,81 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class WordTokenizer:
     """Token ids as bytes (unsigned 32 bit, little endian) of whole texts, remembering words it has met.
 
-    The tokenizer splits a text before each single blank that is followed by a non-blank, so a blank-led word always gets the same
-    ids; texts with runs of white space at a blank go through the tokenizer whole.
+    The tokenizer splits a text before each single blank that is followed by a non-blank, around single newlines, and between a letter
+    and the signs behind it, so such parts always get the same ids. Texts with other white space go through it whole.
     """
 
+    SIGNS = ".,;:!?"
+
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the work
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
+        encode = self.model.encode
+        return [np.asarray(encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() for text in texts]
+
+    def _learn(self, words: set[str]) -> None:
+        known, older = self.known, self.older
+        if len(known) + len(words) > CACHED_WORDS:
+            self.older, self.known = older, known = known, {}
+            words = set(words)
+        parts: dict[str, tuple[str, str]] = {}
+        new = []
+        for w in words:
+            core = w.rstrip(self.SIGNS)
+            if core is not w and core.lstrip(" ").isalpha():
+                parts[w] = core, w[len(core) :]
+        for w in words.difference(parts).union(*parts.values()).difference(known):
+            if (ids := older.get(w)) is None:
+                new.append(w)
+            else:
+                known[w] = ids
+        known.update(zip(new, self._raw(new), strict=True))
+        for w, (core, signs) in parts.items():
+            known[w] = known[core] + known[signs]
+
+    def _parts(self, text: str) -> list[str] | None:
+        """What the text may be cut into, None if it must go whole."""
+        if (
+            not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+            or not text.replace("\n", " ").isprintable()  # other white space isn't printable
+        ):
+            return None
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [self._parts(text) for text in texts]
+        met = set().union(*filter(None, cut))
+        if new := met.difference(self.known):
+            self._learn(met if len(self.known) + len(new) > CACHED_WORDS else new)
+        known = self.known
         return [
-            np.asarray(x.ids, dtype="<u4").tobytes()
-            for x in self.model.encode_batch(texts, add_special_tokens=False)
+            (self._raw([text])[0] if text else b"") if parts is None else b"".join([known[w] for w in parts])
+            for text, parts in zip(texts, cut, strict=True)
         ]
 
-    def encode(self, text: str) -> bytes:
-        words = text.split(" ")
-        # an empty part or white space next to a blank would change where the tokenizer splits
-        if any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-            return self._raw([text])[0] if text else b""
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        words[1:] = [" " + w for w in words[1:]]
-        new = list({w for w in words if w not in known})
-        if new:
-            known.update(zip(new, self._raw(new), strict=True))
-        return b"".join([known[w] for w in words])
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """In groups of about a million characters, so that new words go to the tokenizer together."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size > GROUP_CHARS:
+                yield from self.encode(group)
+                group, size = [], 0
+        yield from self.encode(group)
+
+
+@cache
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker, which serves many tasks."""
+    return WordTokenizer(path)
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int]]:
@@ -87,12 +135,13 @@ def token_pieces(
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words = word_tokenizer(tokenizer)
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), [[], [], [], [], []]
             tokens: list[list[int]] = []
-            for key, body in zip(ids, batch.column(1), strict=True):
-                encoded = words.encode(body.as_py() or "") + end
+            texts = (body.as_py() or "" for body in batch.column(1))
+            for key, own in zip(ids, words.encode_all(texts), strict=True):
+                encoded = own + end
                 for piece, (start, length) in enumerate(cut(encoded, capacity)):
                     part = encoded[4 * start : 4 * (start + length)]
                     for column, value in zip(rows, (key, piece, start, length, zlib.crc32(part)), strict=True):
