@@ -3,9 +3,9 @@
 Two zstandard dictionaries are trained on a bounded sample of labelled rows. The ordinary one comes from windows of ordinary texts. The
 toxic one has the same content and, behind it, what is trained on words that set toxic texts apart: words with a six-byte run that far
 more toxic than ordinary texts hold. As both share the ordinary content, the lengths of an ordinary window differ by a byte or two only. A
-text is cut into windows of eight words, whole; the gains in bytes (ordinary minus toxic length) give three numbers - the
-best, the mean of the best three, the sum above one - and a logistic curve, fitted on rows that the dictionaries have not seen and
-weighted to the true share of toxic rows, turns them into the score.
+text is cut into windows of eight words, whole. The gains in bytes (ordinary minus toxic length) are kept as a histogram, whose
+best values, sums and counts above thresholds feed a logistic curve. The curve is fitted on rows that the dictionaries have not seen,
+weighted to the true share of toxic rows, and gives the score.
 
 Bounds: ``SAMPLE_ROWS`` rows a class, ``SAMPLE_CHARS`` characters of each (a window at a hashed place); dictionaries of 18 KB.
 
@@ -34,7 +34,9 @@ SAMPLE_CHARS = 8_000
 WINDOW_WORDS = 8
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 2_048
 RUN = 6
-LEVEL = 3
+MIN_MATCH, SEARCH_LOG = 5, 8  # a binary-tree search, as windows are short and every byte counts
+GAIN_STEPS = (3, 5, 7, 9)
+MOST_GAIN = 63
 
 
 def words(text: str) -> list[str]:
@@ -90,31 +92,38 @@ class ToxicityModel:
     def __getstate__(self) -> dict:
         return {"ordinary": self.ordinary, "toxic": self.toxic, "curve": self.curve}
 
-    def _compressor(self, content: bytes) -> zstandard.ZstdCompressor:
+    @staticmethod
+    def _compressor(content: bytes) -> zstandard.ZstdCompressor:
         shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        shared.precompute_compress(level=LEVEL)
-        return zstandard.ZstdCompressor(
-            level=LEVEL, dict_data=shared, write_checksum=False, write_content_size=False, write_dict_id=False
+        settings = zstandard.ZstdCompressionParameters(
+            strategy=zstandard.STRATEGY_BTLAZY2, min_match=MIN_MATCH, search_log=SEARCH_LOG, window_log=17, hash_log=17, chain_log=16,
+            target_length=64, write_content_size=False, write_checksum=False,
         )
+        shared.precompute_compress(compression_params=settings)
+        return zstandard.ZstdCompressor(dict_data=shared, compression_params=settings)
 
     def gains(self, text: str | None) -> np.ndarray:
-        """Best gain, mean of the best three, sum above one."""
+        """What the curve takes, from the gains of all windows of the text."""
         if "pair" not in self.__dict__:
             self.pair = self._compressor(self.ordinary).compress, self._compressor(self.toxic).compress
         plain, hostile = self.pair
-        best, total = [0, 0, 0], 0
+        counts = [0] * (MOST_GAIN + 1)
         for window in windows(text or ""):
             gain = len(plain(window)) - len(hostile(window))
-            if gain > 1:
-                total += gain - 1
-            if gain > best[2]:
-                best = sorted((*best, gain), reverse=True)[:3]
-        return np.array([best[0], sum(best) / 3, np.log1p(total)])
+            counts[min(max(gain, 0), MOST_GAIN)] += 1
+        held = np.array(counts)
+        gain = np.arange(MOST_GAIN + 1)
+        n = max(1, int(held.sum()))
+        best = np.repeat(gain, np.minimum(held, 3))[::-1][:3]
+        return np.array([
+            best[0] if len(best) else 0, best.sum() / min(3, n), np.log1p((held * np.maximum(gain - 1, 0)).sum()),
+            *(np.log1p(held[step:].sum()) for step in GAIN_STEPS), np.log(n), (held * np.maximum(gain - 2, 0)).sum() / n,
+        ])
 
     def score(self, text: str | None) -> float:
         if not self.curve:
             return 0.0
-        return float(1 / (1 + np.exp(-np.clip(self.gains(text) @ np.array(self.curve[:3]) + self.curve[3], -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.gains(text) @ np.array(self.curve[:-1]) + self.curve[-1], -30, 30))))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
