@@ -9,10 +9,10 @@ their shingle sets is 0.8 or more; documents form classes by chains of links.
    rate of its weight, and a shingle stops once its next arrival is later than those at all registers. Two signatures agree at a
    register with the probability Jaccard similarity.
 2. 25 bands of five registers give buckets. A pair at 0.8 shares none with probability 5e-5.
-3. Within a bucket all nodes are verified against one centre, not against each other. Buckets whose nodes then lie in several classes
-   get more centres, four times as many each round, and a new centre meets only nodes of other classes. The loop ends when every
-   bucket is one class or each of its nodes has been a centre, so no candidate of the bands is left out, and a large group of near
-   copies costs a multiple of its size instead of its square.
+3. Within a bucket all nodes are verified against one centre, the node with most bucket mates, not against each other. Nodes of buckets
+   that then lie in several classes are compared across classes by prefix filtering, which is exact: two sets at the similarity share
+   a shingle among their rarest few. So no candidate of the bands is left out, and a large group of near copies costs a multiple of
+   its size instead of its square.
 4. Links become classes by alternating stars, in rounds that grow with the logarithm of the longest chain.
 
 Defined results: a null text is a class of its own; texts without words belong together only if they are equal. The class id is the
@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanledger.llm.common import fresh, with_python, written
+from scanledger.session import lookup
 
 SIMILARITY = 0.8
 WORDS = 5
 BANDS, BAND_SIZE = 25, 5
+SLOTS = 1 << 18  # counters of the shingle order, whatever the input
 CHUNK = 1 << 20  # bytes of one text that are hashed at a time
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -214,35 +216,74 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _links(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All links that the buckets (bucket, node, n) lead to, but those within what is already one class."""
-    centres = 1
-    ends = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("first"))
-    pairs = buckets.join(ends, "bucket").select(
-        F.col("first.node").alias("a"), F.col("node").alias("b"), F.col("first.n").alias("a_n"), F.col("n").alias("b_n")
+def _shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, node, n, pull) of the buckets with two or more nodes; pull counts a node's bucket mates over all its bands."""
+    members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    shared = written(members.join(lookup(sizes), "bucket"), "shared")
+    pulls = shared.groupBy("node").agg(F.sum("members").alias("pull"))
+    return written(shared.join(pulls, "node").select("bucket", "node", "n", "pull"), "buckets")
+
+
+def _prefix_pairs(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of ``mixed`` (node, root) with different roots that can reach the similarity, by prefix filtering.
+
+    With shingles in one order, rare ones first, two sets of that similarity share one among their first few; where it can stand depends
+    on both sizes. Any common order gives the same pairs in the end; this one counts shingles in a fixed number of slots.
+    """
+    own = written(mixed.join(sets, "node"), "mixed-shingles")
+    slot = F.pmod(F.col("s"), F.lit(SLOTS))
+    counted = own.select(F.explode("shingles").alias("s")).groupBy(slot.alias("slot")).agg(F.count("*").alias("n")).collect()
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    counts[[r["slot"] for r in counted]] = [r["n"] for r in counted]
+    sent = own.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, held in enumerate(batch.column("shingles")):
+                values = held.values.to_numpy(zero_copy_only=False)
+                first = len(values) - int(np.ceil(similarity * len(values) - 1e-9)) + 1
+                order = np.lexsort((values, sent.value[values % SLOTS]))[:first]
+                rows += [(int(s), at, i, len(values)) for at, s in enumerate(values[order])]
+            shingle, at, row, n = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [])
+            row = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shingle, pa.int64()), pa.array(at, pa.int32()), pa.array(n, pa.int32()),
+                 batch.column("node").take(row), batch.column("root").take(row)],
+                ["shingle", "at", "n", "node", "root"],
+            )
+
+    prefixes = written(
+        own.select("node", "root", "shingles").mapInArrow(run, "shingle long, at int, n int, node binary, root binary"), "prefixes"
+    )
+    a, b = prefixes.alias("a"), prefixes.alias("b")
+    least = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
+    meets = (
+        (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
+        & (F.col("a.at") <= F.col("a.n") - least) & (F.col("b.at") <= F.col("b.n") - least)
     )
-    links = None
-    while True:
-        likely = pairs.filter("a != b").filter(F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n"))
-        ordered = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = written(_verified(ordered, sets, similarity), "verified")
-        links = found if links is None else written(links.unionByName(found), "verified-all")
-        classes = written(components(links), "classes")
-        labelled = buckets.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = (
-            labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-            .filter((F.col("low") != F.col("high")) & (F.col("members") > centres + 1)).select("bucket")
-        )
-        rest = written(labelled.join(mixed, "bucket", "left_semi"), "mixed-buckets")
-        if rest.isEmpty():
-            return classes
-        # the next nodes of each bucket, in the same order each round; only these leave a task
-        last, centres = centres, 1 + 4 * centres
-        ranked = rest.selectExpr("*", "row_number() OVER (PARTITION BY bucket ORDER BY node) AS place").filter(f"place <= {centres}")
-        new = ranked.filter(f"place > {last}").select(
-            "bucket", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root")
-        )
-        pairs = rest.join(new, "bucket").filter("root != a_root").select("a", F.col("node").alias("b"), "a_n", F.col("n").alias("b_n"))
+    return a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
+def _classes(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of all nodes with a link."""
+    centre = buckets.groupBy("bucket").agg(F.max(F.struct("pull", "node", "n")).alias("c"), F.count("*").alias("members"))
+    near = buckets.join(centre, "bucket").filter(
+        (F.col("node") != F.col("c.node")) & (F.least("n", "c.n") >= similarity * F.greatest("n", "c.n"))
+    )
+    pairs = near.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+    links = written(_verified(pairs, sets, similarity), "links-centres")
+    classes = written(components(links), "classes")
+    labelled = buckets.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = labelled.groupBy("bucket").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
+    ).filter("low != high AND members > 2").select("bucket")
+    rest = written(labelled.join(lookup(mixed), "bucket", "left_semi").select("node", "root").distinct(), "mixed")
+    if rest.isEmpty():
+        return classes
+    more = _verified(_prefix_pairs(rest, sets, similarity), sets, similarity)
+    return written(components(links.unionByName(more)), "classes")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -261,15 +302,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")),
         "nodes",
     )
-    members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
-    buckets = written(members.join(shared, "bucket", "left_semi"), "buckets")
+    buckets = _shared_buckets(nodes)
     # the shingles of nodes that share a bucket, read from one document each
     involved = buckets.select("node").distinct()
     holders = nodes.join(involved, "node", "left_semi").select(F.col("doc_id").alias("holder")).distinct()
-    held = docs.join(holders, F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi")
+    held = docs.join(lookup(holders), F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi")
     sets = written(_shingled(held).groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
-    classes = _links(buckets, sets, similarity)
+    classes = _classes(buckets, sets, similarity)
     rooted = nodes.select("node", "doc_id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     named = rooted.join(ids, "root").select("node", "class_id", F.hex("root").alias("class_key"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from scanledger.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality, token_counts, toxicity
+from scanledger.llm import decontaminate, language_id, line_dedup, near_dedup, packing, quality, token_counts, toxicity, url_filter, warc
 from scanledger.llm.common import table
 
 QUERIES = {
     "op1_language_id": lambda spark, sf_dir: language_id.query(table(spark, sf_dir, "documents")),
+    "op2_warc": lambda spark, sf_dir: warc.query(table(spark, sf_dir, "pages")),
     "op3_line_dedup": lambda spark, sf_dir: line_dedup.query(table(spark, sf_dir, "documents")),
     "op4_token_counts": lambda spark, sf_dir: token_counts.query(table(spark, sf_dir, "documents")),
+    "op5_url_filter": lambda spark, sf_dir: url_filter.query(table(spark, sf_dir, "pages")),
     "op6_quality_rules": lambda spark, sf_dir: quality.query(table(spark, sf_dir, "documents")),
     "op7_toxicity": lambda spark, sf_dir: toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op8_best_fit_packing": lambda spark, sf_dir: packing.query(table(spark, sf_dir, "documents")),
@@ -18,6 +20,7 @@ QUERIES = {
     "op10_minhash_near_dedup": lambda spark, sf_dir: near_dedup.query(table(spark, sf_dir, "documents")),
 }
 ORACLES = {
+    "op2_warc": warc.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
     "op6_quality_rules": quality.ORACLE,
     "op9_benchmark_decontamination": decontaminate.ORACLE,
