@@ -141,19 +141,20 @@ class CuckooFilter:
 
     def delete(self, hashes: np.ndarray) -> None:
         """Take away one copy of each key; all of them must have been inserted."""
-        prints, bucket = self._where(hashes)
-        for at in (bucket, self._other(prints, bucket)):
+        if not len(hashes):
+            return
+        prints, at = self._where(hashes)
+        for _ in range(2):
             order = np.lexsort((prints, at))
             again = np.zeros(len(prints), dtype=np.int64)  # the how-many-eth equal (bucket, fingerprint) it is
-            if len(prints):
-                same = np.r_[False, (at[order][1:] == at[order][:-1]) & (prints[order][1:] == prints[order][:-1])]
-                start = np.maximum.accumulate(np.where(same, 0, np.arange(len(prints))))
-                again[order] = np.arange(len(prints)) - start
+            same = np.r_[False, (at[order][1:] == at[order][:-1]) & (prints[order][1:] == prints[order][:-1])]
+            places = np.arange(len(prints))
+            again[order] = places - np.maximum.accumulate(np.where(same, 0, places))
             equal = self.table[at] == prints[:, None]
             slot = np.where(equal & (equal.cumsum(axis=1) == again[:, None] + 1), np.arange(self.SLOTS), self.SLOTS).min(axis=1)
             found = slot < self.SLOTS
             self.table[at[found], slot[found]] = 0
-            prints, bucket = prints[~found], bucket[~found]
+            prints, at = prints[~found], self._other(prints[~found], at[~found])
             if not len(prints):
                 return
 
