@@ -182,35 +182,33 @@ def _shingled(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose exact similarity suffices."""
+    """The rows of ``pairs`` (nodes a and b) whose exact similarity suffices."""
     left, right = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set")) for x in ("a", "b"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("a_set", "b_set"))
-    return both.filter(common >= similarity * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
+    return both.filter(common >= similarity * (F.size("a_set") + F.size("b_set") - common)).drop("a_set", "b_set")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b): root is the smallest node it is connected to. Alternating stars."""
-    links = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "links")
-
-    def state(df: DataFrame) -> tuple:
-        row = df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return tuple(row)
-
-    known = state(links)
-    while known[0]:
+    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
+    links = written(links, "links")
+    known = None
+    while True:
+        row = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if tuple(row) == known or not row[0]:
+            break
+        known = tuple(row)
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         # every larger neighbour moves to the lowest node around
         large = both.join(lowest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        # then all smaller neighbours of a node, and the node, move to the lowest of them
         large = written(large, "links-large")
-        lowest = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(lowest, "a").filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        small = small.unionByName(lowest.select("a", F.col("low").alias("b"))).filter("a != b").distinct()
+        lowest = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        several = large.join(lowest.filter("n > 1"), "a").filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        small = several.unionByName(lowest.select("a", F.col("low").alias("b"))).filter("a != b").distinct()
         links = written(small, "links-small")
-        last, known = known, state(links)
-        if last == known:
-            break
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
@@ -219,8 +217,8 @@ def components(links: DataFrame) -> DataFrame:
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
     """(bucket, node, n, pull) of the buckets with two or more nodes; pull counts a node's bucket mates over all its bands."""
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = written(members.join(lookup(sizes), "bucket"), "shared")
+    sizes = written(members.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "bucket-sizes")
+    shared = written(members.join(lookup(sizes, pinned=False), "bucket"), "shared")
     pulls = shared.groupBy("node").agg(F.sum("members").alias("pull"))
     return written(shared.join(pulls, "node").select("bucket", "node", "n", "pull"), "buckets")
 
@@ -272,18 +270,23 @@ def _classes(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     near = buckets.join(centre, "bucket").filter(
         (F.col("node") != F.col("c.node")) & (F.least("n", "c.n") >= similarity * F.greatest("n", "c.n"))
     )
-    pairs = near.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+    pairs = near.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b")).agg(F.max("c.pull").alias("pull"))
     links = written(_verified(pairs, sets, similarity), "links-centres")
-    classes = written(components(links), "classes")
-    labelled = buckets.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # a first idea of the classes: each node under its strongest centre, and that under its own; it only saves comparisons
+    under = links.groupBy(F.col("b").alias("node")).agg(F.max(F.struct("pull", F.col("a").alias("root"))).alias("c"))
+    under = written(under.select("node", "c.root"), "under")
+    above = under.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    label = under.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    labelled = written(buckets.join(label, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
     mixed = labelled.groupBy("bucket").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
     ).filter("low != high AND members > 2").select("bucket")
-    rest = written(labelled.join(lookup(mixed), "bucket", "left_semi").select("node", "root").distinct(), "mixed")
-    if rest.isEmpty():
-        return classes
-    more = _verified(_prefix_pairs(rest, sets, similarity), sets, similarity)
-    return written(components(links.unionByName(more)), "classes")
+    mixed = lookup(written(mixed, "mixed-buckets"), pinned=False)
+    rest = written(labelled.join(mixed, "bucket", "left_semi").groupBy("node").agg(F.first("root").alias("root")), "mixed")
+    links = links.select("a", "b")
+    if not rest.isEmpty():
+        links = links.unionByName(_verified(_prefix_pairs(rest, sets, similarity), sets, similarity).select("a", "b"))
+    return written(components(links), "classes")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -306,7 +309,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # the shingles of nodes that share a bucket, read from one document each
     involved = buckets.select("node").distinct()
     holders = nodes.join(involved, "node", "left_semi").select(F.col("doc_id").alias("holder")).distinct()
-    held = docs.join(lookup(holders), F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi")
+    held = docs.join(lookup(written(holders, "holders"), pinned=False), F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi")
     sets = written(_shingled(held).groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
     classes = _classes(buckets, sets, similarity)
     rooted = nodes.select("node", "doc_id").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -326,8 +329,9 @@ def dedup_near(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     judged = judged.select(F.col("doc_id").alias(own), F.col("print").alias(mark), stays.alias("stays"), "rows")
     gone, repeated = (written(judged.filter(x).drop("stays", "rows"), "near-rows") for x in ("NOT stays", "stays AND rows > 1"))
     same = F.col(doc_id).cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(F.col(text).cast("string")) == F.col(mark))
-    kept = docs.join(gone, same, "left_anti")
+    kept = docs.join(lookup(gone, pinned=False), same, "left_anti")
     # rows that repeat a kept one are few as a rule, so texts need no shuffle to find them
+    repeated = lookup(repeated, pinned=False)
     once = kept.join(repeated, same, "left_semi").dropDuplicates([doc_id, text])
     return kept.join(repeated, same, "left_anti").unionByName(once).select(*docs.columns)
 
