@@ -6,7 +6,7 @@ words is one window of that many. Everything is DataFrame functions:
 1. The distinct windows of the benchmark become a hash set that is broadcast while it is counted small (``session.lookup``);
    beyond that the same join shuffles.
 2. Every document's windows are hashed where the document lies and probed against the set. Only hits leave the task.
-3. Hits go back to their documents and are verified word by word.
+3. Hits go back to their documents and are verified word by word; documents without hits are not shuffled with their texts.
 
 Defined results: a null text, and a text without words, has no windows, as document or as item. Windows of an item whose id is null count
 as hits, but the item is not listed. Repeated items are one item, repeated documents are judged each. Empty tables: no rows, or no hits.
@@ -82,18 +82,16 @@ def find_hits(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str
         F.col("doc_id").alias("hit_id"), F.col("print").alias("hit_print"), F.sort_array("likely").alias("likely")
     )
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("print") == F.col("hit_print"))
+    # only documents with a hit are dealt out with their texts; the narrow keys find them where they lie
+    held = docs.join(lookup(likely.select("hit_id", "hit_print")), same, "left_semi").dropDuplicates(["doc_id", "print"])
     verified = let(
         words(F.col("text")),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.filter(
-                F.coalesce(F.col("likely"), F.array().cast(likely.schema["likely"].dataType)),
-                lambda x: F.array_join(F.slice(w, x["at"] + 1, x["width"]), " ") == x["phrase"],
-            ).alias("hits"),
-        ),
+        lambda w: F.filter("likely", lambda x: F.array_join(F.slice(w, x["at"] + 1, x["width"]), " ") == x["phrase"]),
     )
-    joined = docs.join(likely, same, "left").select("doc_id", "print", verified.alias("v"))
-    return joined.select("doc_id", "print", "v.n_words", "v.hits")
+    hits = held.join(likely, same).select("hit_id", "hit_print", verified.alias("hits"))
+    counted = docs.select("doc_id", "print", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    none = F.array().cast("array<struct<at:int,width:int,phrase:string>>")
+    return counted.join(hits, same, "left").select("doc_id", "print", "n_words", F.coalesce("hits", none).alias("hits"))
 
 
 def _covered(hits: Column) -> Column:
@@ -132,7 +130,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc
     found = find_hits(docs, items.select("item_id", "text"), text, doc_id, size).filter(F.size("hits") > 0)
     gone = found.select(F.col("doc_id").alias(hit), F.col("print").alias(mark)).distinct()
     same = F.col(doc_id).eqNullSafe(F.col(hit)) & (F.xxhash64(F.col(text)) == F.col(mark))
-    return docs.join(written(gone, "contaminated"), same, "left_anti")
+    return docs.join(lookup(gone), same, "left_anti")
 
 
 def query(docs: DataFrame, items: DataFrame) -> DataFrame:
