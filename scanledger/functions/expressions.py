@@ -128,18 +128,22 @@ def cells_match(a: ColumnOrName, b: ColumnOrName) -> Column:
     return _col(a).cast("double").eqNullSafe(_col(b).cast("double"))
 
 
+# a JSON string, so that what follows as an alternative is never found inside one
+_STRING = r'("(?:[^"\\]|\\.)*")'
+
+
 def canonical_json(value: ColumnOrName) -> Column:
-    """One spelling per JSON value: bare non-finite names, and no ``.0`` on whole numbers."""
-    bare = F.regexp_replace(_col(value), r'(?<!\\)"(NaN|Infinity|-Infinity)"', "$1")
-    number = F.when(
-        F.regexp_like(bare, F.lit(r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$")),
-        bare.try_cast("double").cast("string"),
-    )
-    numbers = F.when(
-        F.startswith(bare, F.lit("[")) & ~F.contains(bare, F.lit('"')),
-        F.regexp_replace(bare, r"(\d)\.0+(?=[,\]\s])", "$1"),
-    )
-    return F.coalesce(number, numbers, bare)
+    """One spelling per JSON value: keys sorted, numbers normalised at every level, integers exact.
+
+    Non-finite names count as equal bare or quoted. Text that is no JSON stays as it is.
+    """
+    # bare non-finite names get quotes; the marks vanish again where a string was met
+    marked = F.regexp_replace(_col(value), _STRING + "|(-?(?:NaN|Infinity))", "$1\u0001$2\u0001")
+    quoted = F.regexp_replace(F.replace(marked, F.lit("\u0001\u0001"), F.lit("")), "\u0001([^\u0001]*)\u0001", '"$1"')
+    # the parser sorts keys, keeps integers and strips zeros of decimals; only exponents become doubles
+    text = F.to_json(F.try_parse_json(quoted))
+    whole = F.regexp_replace(text, _STRING + r"|(-?[0-9]+)\.0(?=[,\]}]|$)", "$1$2")
+    return F.coalesce(whole, _col(value))
 
 
 def values_equal(a: ColumnOrName, b: ColumnOrName) -> Column:
@@ -219,6 +223,6 @@ def truncate_value(text: ColumnOrName, limit: int = 500) -> Column:
     """Long text cut to ``limit`` characters, followed by its full length."""
     text = _col(text).cast("string")
     cut = F.concat(
-        F.substring(text, 1, limit), F.lit("...["), F.length(text).cast("string"), F.lit(" chars total]")
+        F.substring(text, 1, limit), F.lit(" (cut from "), F.length(text).cast("string"), F.lit(" characters)")
     )
     return F.when(F.length(text) > limit, cut).otherwise(text)

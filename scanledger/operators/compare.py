@@ -31,7 +31,13 @@ def compare_nodes(
     pairs = _two_sided(expected, found, keys, fields)
 
     def text(side: str, name: str) -> Column:
-        return x.canonical_json(F.to_json(F.struct(F.col(f"{side}.{name}").alias("v"))))
+        value, kind = F.col(f"{side}.{name}"), dict((expected if side == "want" else found).dtypes)[name]
+        # fill values and codecs are JSON texts themselves
+        if kind == "string":
+            return x.canonical_json(value)
+        if kind == "array<string>":
+            value = F.transform(value, x.canonical_json)
+        return F.to_json(F.struct(value.alias("v")))
 
     none = F.lit(None).cast("string")
 
@@ -116,10 +122,11 @@ def compare_coordinates(reference: DataFrame, actual: DataFrame, keys: Sequence[
     )
 
 
-def compare_axes(reference: DataFrame, granule_axes: DataFrame) -> DataFrame:
+def compare_axes(reference: DataFrame, granule_axes: DataFrame, urls: DataFrame | None = None) -> DataFrame:
     """Granules whose coordinate axes are missing or differ from the reference (arrays in one row each).
 
-    ``reference(axis, values)``, ``granule_axes(url, axis, values)``.
+    ``reference(axis, values)``, ``granule_axes(url, axis, values)``; ``urls(url)`` lists all granules, those
+    without any axis included. Without it only granules with an axis are known.
     """
     wanted = reference.select("axis", F.col("values").alias("_ref"))
     held = granule_axes.join(wanted, "axis")
@@ -129,6 +136,9 @@ def compare_axes(reference: DataFrame, granule_axes: DataFrame) -> DataFrame:
     )
     # few axes exist, so one array of names per granule covers the missing ones without another join
     carried = granule_axes.groupBy("url").agg(F.collect_set("axis").alias("_axes"))
+    if urls is not None:
+        none = F.array().cast("array<string>")
+        carried = urls.select("url").distinct().join(carried, "url", "left").withColumn("_axes", F.coalesce("_axes", none))
     names = reference.agg(F.collect_set("axis").alias("_all"))
     missing = (
         carried.withColumn("_all", names.scalar())

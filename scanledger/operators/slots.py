@@ -176,9 +176,14 @@ def spread_sample(
     return rows.groupBy("window").agg(first.alias("_g")).select("_g.*")
 
 
+def _draw(*parts: Column | str) -> Column:
+    """A 60-bit number in hexadecimal."""
+    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15)
+
+
 def sample_slots(slots: DataFrame, k: int = 8, seed: int = 0) -> DataFrame:
-    """``k`` slots per collection without replacement; a hash of seed and slot decides."""
-    draw = F.xxhash64(F.lit(seed), "collection", "slot")
+    """``k`` slots per collection without replacement; an MD5 of seed and slot decides, which any engine can repeat."""
+    draw = _draw(F.lit(str(seed)), "collection", "slot")
     return top_per_group(slots, ["collection"], [draw, F.col("slot")], k)
 
 
@@ -193,6 +198,7 @@ def sample_windows(
 
     def corner(axis: str, extent: str) -> Column:
         room = F.greatest(F.lit(1), F.col(extent) - window)
-        return F.pmod(F.xxhash64(F.lit(seed), F.lit(axis), "collection", "slot", "variable"), room).cast("int")
+        drawn = F.conv(_draw(F.lit(str(seed)), F.lit(axis), "collection", "slot", "variable"), 16, 10).cast("long")
+        return F.pmod(drawn, room).cast("int")
 
     return pairs.withColumn("y0", corner("y", "ny")).withColumn("x0", corner("x", "nx"))

@@ -26,7 +26,7 @@ def validate_inventory(
     label = F.concat_ws("/", F.col("collection"), F.col("granule_ur"))
     parts = [
         as_findings(
-            entries.filter(~x.is_granule_url("url")), "granule_url", label, F.concat(F.lit("url must end in .nc: "), F.coalesce("url", F.lit("null")))
+            entries.filter(~x.is_granule_url("url")), "granule_url", label, F.concat(F.lit("not the url of a .nc granule: "), F.coalesce("url", F.lit("null")))
         ),
         as_findings(
             axis_violations(entries, position, target_rows),
@@ -63,7 +63,7 @@ def validate_granule_time(granules: DataFrame) -> DataFrame:
     value = F.get("times", F.lit(0))
     problem = (
         F.when(F.col("times").isNull(), "granule has no time variable")
-        .when(n != 1, F.concat(F.lit("granule must carry exactly one time step, found "), n.cast("string")))
+        .when(n != 1, F.concat(n.cast("string"), F.lit(" time steps instead of one")))
         .when(F.col("epoch").isNull(), F.lit(f"root attribute {EPOCH_ATTRIBUTE} missing"))
         .when(~(F.col("epoch") == value) | F.isnan(value), F.lit(f"root attribute {EPOCH_ATTRIBUTE} differs from the time"))
     )
@@ -77,9 +77,13 @@ def validate_granules(
     reference_axes: DataFrame,
     granule_axes: DataFrame,
     volatile: Collection[str] = (),
+    urls: DataFrame | None = None,
 ) -> DataFrame:
-    """Grid and attributes of every granule against the template; undeclared attributes only warn."""
-    axes = compare.compare_axes(reference_axes, granule_axes)
+    """Grid and attributes of every granule against the template; undeclared attributes only warn.
+
+    ``urls`` lists the granules, so that one without any axis is found as well.
+    """
+    axes = compare.compare_axes(reference_axes, granule_axes, urls)
     attrs = compare.compare_attributes(template, granule_nodes, volatile)
     detail = F.concat_ws(" ", F.lit("attribute"), F.col("path"), F.col("key"), F.col("problem"))
     return all_findings(
@@ -131,7 +135,7 @@ def publish_gate(
     gaps = refs.missing_references(stored_refs, expected)
     parts = [
         as_findings(positional, "inventory", label, F.concat(F.lit("differs from the inventory: "), F.col("problem"))),
-        as_findings(rising, "axis_order", label, F.lit("time axis is not strictly increasing")),
+        as_findings(rising, "axis_order", label, F.lit("time does not exceed that of the slot before")),
         as_findings(
             gaps,
             "references",

@@ -27,10 +27,16 @@ def header_findings(
         F.transform(F.array_sort(F.collect_list(F.struct("idx", "value"))), lambda c: c["value"]).alias("values")
     )
     _, shape_findings = flat_granules(headers["vars"], config)
+    urls = headers["times"].select("url").distinct()
+    bare = [
+        as_findings(urls.join(headers[table], "url", "left_anti"), check, F.col("url"), F.lit(f"granule has no {what}"))
+        for table, check, what in (("vars", "variables", "variables"), ("nodes", "attributes", "attributes"))
+    ]
     return all_findings(
         validate_granule_time(headers["times"]),
-        validate_granules(template, headers["nodes"], axes, headers["axes"], config.volatile_attributes),
+        validate_granules(template, headers["nodes"], axes, headers["axes"], config.volatile_attributes, urls),
         shape_findings,
+        *bare,
     )
 
 
@@ -54,8 +60,7 @@ def backfill(
     """
     pinned = store.require_initialized()
     require_valid(validate_inventory(entries, header, config, target_rows=target_rows), "inventory")
-    template = _of(store.template(), config.collection).drop("collection")
-    coordinates = _of(store.coordinates(), config.collection).drop("collection")
+    template, coordinates = store.require_collection(config.collection)
 
     stage = store.new_stage()
     axis = assign_slots(entries, target_rows).select(
@@ -114,6 +119,9 @@ def gate_version(
     )
     lengths = staged.groupBy("collection").agg(F.count(F.lit(1)).cast("int").alias("n_slots"))
     expected = expected_references(_of(store.template(), config.collection), lengths, config.append_dim)
-    require_valid(
-        publish_gate(staged, inventory, store.chunk_refs(staged), expected, target_rows=target_rows), "staged version"
+    unchecked = as_findings(
+        lengths.join(expected.select("collection").distinct(), "collection", "left_anti"), "references", F.col("collection"),
+        F.lit("the template names no array along the axis"),
     )
+    gate = publish_gate(staged, inventory, store.chunk_refs(staged), expected, target_rows=target_rows)
+    require_valid(all_findings(gate, unchecked), "staged version")

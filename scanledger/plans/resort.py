@@ -45,8 +45,7 @@ def resort(
     waiting = pending.count()
     if waiting == 0:
         return ResortReport(False)
-    template = _of(store.template(), config.collection).drop("collection")
-    coordinates = _of(store.coordinates(), config.collection).drop("collection")
+    template, coordinates = store.require_collection(config.collection)
     fold = earliest_pending(pending, max_fold)
     slots_all = store.slots(pinned)
     slots = _of(slots_all, config.collection)

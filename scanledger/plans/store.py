@@ -3,8 +3,9 @@
 A job writes its tables under a fresh stage folder and then creates the marker of version
 ``expected + 1``, which names the stage. Creating the marker fails if it exists, so of two jobs that
 started from the same version one is refused and nothing of it becomes visible. Readers take the
-stage of the highest marker. Marker creation is exclusive on HDFS and local disks; on object stores
-without that guarantee, use a table format with optimistic commits for the markers.
+stage of the highest marker. A marker appears whole or not at all: it is written under another name and
+renamed without overwriting, which is atomic on HDFS; on object stores without that guarantee, use a
+table format with optimistic commits for the markers.
 
 References are stored by granule, not by slot: a slot row names its granule and the stage that
 wrote its references (``ref_stage``). Appends and overwrites therefore add only their own
@@ -42,27 +43,53 @@ def path_exists(spark: SparkSession, text: str) -> bool:
 
 
 def create_exclusive(spark: SparkSession, text: str, content: str) -> bool:
-    """Create a small file; False if it exists already."""
+    """Create a small file in one step; False if it exists already.
+
+    The content is written under another name and then renamed without overwriting, so nobody sees an unfinished file.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     path, fs = _path(spark, text)
+    draft = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(content, "utf-8"))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(draft).toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    plain = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    plain[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
     try:
-        out = fs.create(path, False)
+        context.rename(fs.makeQualified(draft), fs.makeQualified(path), plain)
     except Exception:
+        fs.delete(draft, False)
         if fs.exists(path):
             return False
         raise
-    out.write(bytearray(content, "utf-8"))
-    out.close()
     return True
 
 
+MARKER = "number int, stage string, kind string, batches map<string,bigint>"
+
+
 @dataclass(frozen=True)
 class Version:
-    """A published version; ``last_batch`` is the newest micro-batch it contains."""
+    """A published version; ``batches`` names the newest micro-batch of each (collection, stream) it contains."""
 
     number: int
     stage: str
     kind: str
-    last_batch: int = -1
+    batches: tuple[tuple[str, int], ...] = ()
+
+    def last_batch(self, collection: str, stream: str) -> int:
+        return dict(self.batches).get(stream_key(collection, stream), -1)
+
+
+def stream_key(collection: str, stream: str) -> str:
+    return json.dumps([collection, stream])
+
+
+def _version(row) -> Version:
+    return Version(row.number, row.stage, row.kind, tuple(sorted((row.batches or {}).items())))
 
 
 @dataclass(frozen=True)
@@ -75,50 +102,65 @@ class Store:
     # -- versions ---------------------------------------------------------------------------------
 
     def versions(self) -> DataFrame:
-        """All markers as rows (number, stage, kind, last_batch)."""
-        ddl = "number int, stage string, kind string, last_batch long"
+        """All markers as rows (number, stage, kind, batches)."""
         if not path_exists(self.spark, f"{self.base}/_versions"):
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).json(f"{self.base}/_versions/*.json")
+            return self.spark.createDataFrame([], MARKER)
+        return self.spark.read.schema(MARKER).json(f"{self.base}/_versions/*.json").filter("number IS NOT NULL")
 
     def newest(self, n: int) -> list[Version]:
         """The ``n`` newest versions, oldest of them first."""
-        rows = self.versions().filter(F.col("number").isNotNull()).orderBy(F.desc("number")).limit(n).collect()
-        return [Version(r.number, r.stage, r.kind, r.last_batch) for r in reversed(rows)]
+        return [_version(r) for r in reversed(self.versions().orderBy(F.desc("number")).limit(n).collect())]
 
-    def current(self) -> Version | None:
-        """The highest marker; only its file is read."""
+    def _markers(self) -> list[str]:
+        """Names of the marker files, oldest first."""
         folder, fs = _path(self.spark, f"{self.base}/_versions")
         if not fs.exists(folder):
-            return None
+            return []
         names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        numbered = sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
-        if not numbered:
-            return None
-        row = (
-            self.spark.read.schema("number int, stage string, kind string, last_batch long")
-            .json(f"{self.base}/_versions/{numbered[-1]}")
-            .first()
-        )
-        return Version(row.number, row.stage, row.kind, row.last_batch)
+        return sorted(n for n in names if n.endswith(".json") and not n.startswith((".", "_")))
+
+    def current(self) -> Version | None:
+        """The highest marker that can be read; others' files are not read."""
+        for name in reversed(self._markers()):
+            row = self.spark.read.schema(MARKER).json(f"{self.base}/_versions/{name}").first()
+            if row is not None and row.number is not None:
+                return _version(row)
+        return None
 
     def require_initialized(self) -> Version:
         """The current version; an archive nobody initialized refuses work."""
         version = self.current()
         if version is None:
-            raise InvalidData("archive is not initialized; run initialize_store or a backfill first")
+            raise InvalidData("no version has been published: the archive is not initialized")
         return version
 
-    def publish(self, stage: str, expected: Version | None, kind: str, batch_id: int | None = None) -> Version:
-        """Make ``stage`` current if the current version is still ``expected``; write nothing after it."""
+    def require_collection(self, collection: str) -> tuple[DataFrame, DataFrame]:
+        """Template and grid of a collection; without either nothing could be checked, so both must be there."""
+        template = self.template().filter(F.col("collection") == collection).drop("collection")
+        grid = self.coordinates().filter(F.col("collection") == collection).drop("collection")
+        for name, rows in (("template", template), ("grid", grid)):
+            if rows.isEmpty():
+                raise InvalidData(f"collection {collection} has no {name}: it is not initialized")
+        return template, grid
+
+    def publish(
+        self, stage: str, expected: Version | None, kind: str, batch: tuple[str, str, int] | None = None
+    ) -> Version:
+        """Make ``stage`` current if the current version is still ``expected``; write nothing after it.
+
+        ``batch`` is (collection, stream, id) of the micro-batch that the stage contains.
+        """
         if self.current() != expected:
-            raise VersionMoved(f"{expected} is no longer the current version")
-        number = expected.number + 1 if expected else 1
-        last = batch_id if batch_id is not None else (expected.last_batch if expected else -1)
-        text = json.dumps({"number": number, "stage": stage, "kind": kind, "last_batch": last})
+            raise VersionMoved(f"version {expected.number if expected else 0} has been replaced meanwhile")
+        batches = dict(expected.batches) if expected else {}
+        if batch is not None:
+            batches[stream_key(*batch[:2])] = batch[2]
+        # an unreadable marker keeps its number
+        number = max([expected.number if expected else 0, *(int(n.split(".")[0]) for n in self._markers())]) + 1
+        text = json.dumps({"number": number, "stage": stage, "kind": kind, "batches": batches})
         if not create_exclusive(self.spark, f"{self.base}/_versions/{number:012d}.json", text):
-            raise VersionMoved(f"version {number} was published by another job")
-        return Version(number, stage, kind, last)
+            raise VersionMoved(f"another job has published version {number}")
+        return Version(number, stage, kind, tuple(sorted(batches.items())))
 
     @staticmethod
     def new_stage() -> str:
@@ -146,13 +188,13 @@ class Store:
         return self._table(version.stage, "pending", schema.PENDING)
 
     def retries(self, version: Version) -> DataFrame:
-        return self._table(version.stage, "retries", schema.MESSAGES)
+        return self._table(version.stage, "retries", schema.RETRIES)
 
     def meta(self, version: Version) -> DataFrame:
         return self._table(version.stage, "meta", schema.STORE_META)
 
     def dead_letters(self) -> DataFrame:
-        ddl = schema.MESSAGES + ", reason string, stage string"
+        ddl = schema.RETRIES + ", reason string, stage string"
         if not path_exists(self.spark, f"{self.base}/dead"):
             return self.spark.createDataFrame([], ddl)
         published = self.versions().select("stage")
@@ -174,10 +216,13 @@ class Store:
         )
 
     def template(self) -> DataFrame:
-        return self.spark.read.schema("collection string, " + schema.TEMPLATE).json(f"{self.base}/template")
+        ddl = "collection string, " + schema.TEMPLATE
+        rows = self.spark.read.schema(ddl).json(f"{self.base}/template")
+        return rows.select("collection", *(c for c in rows.columns if c != "collection"))
 
     def coordinates(self) -> DataFrame:
-        return self.spark.read.schema("collection string, " + schema.COORDINATES).parquet(f"{self.base}/coordinates")
+        rows = self.spark.read.schema("collection string, " + schema.COORDINATES).parquet(f"{self.base}/coordinates")
+        return rows.select("collection", *(c for c in rows.columns if c != "collection"))
 
     def write_table(self, stage: str, name: str, rows: DataFrame) -> None:
         """A table with one row per granule or message."""
@@ -195,29 +240,36 @@ class Store:
         self.write_table(stage, "slots", slots)
         self.write_table(stage, "pending", pending)
         self.write_table(stage, "meta", meta)
-        empty = self.spark.createDataFrame([], schema.MESSAGES)
+        empty = self.spark.createDataFrame([], schema.RETRIES)
         self.write_table(stage, "retries", empty if retries is None else retries)
 
     # -- lifecycle --------------------------------------------------------------------------------
 
     def initialize(self, template: DataFrame, coordinates: DataFrame, meta: DataFrame) -> Version:
-        """An empty axis, the grid, metadata and an empty ledger; nothing happens if already there.
+        """An empty axis, grid, metadata and ledger for each collection of ``meta`` that the archive does not have yet.
 
-        ``template`` and ``coordinates`` carry a ``collection`` column.
+        ``template`` and ``coordinates`` carry a ``collection`` column. Collections already there stay as they are; if all
+        are, nothing happens. What an unfinished run has left of a new collection is replaced.
         """
         existing = self.current()
+        new = meta
         if existing is not None:
-            return existing
-        template.write.mode("errorifexists").json(f"{self.base}/template")
-        coordinates.write.mode("errorifexists").parquet(f"{self.base}/coordinates")
+            new = meta.join(self.meta(existing).select("collection"), "collection", "left_anti").select(*meta.columns)
+            if new.isEmpty():
+                return existing
+        own = new.select("collection").distinct()
+        for name, rows, kind in (("template", template, "json"), ("coordinates", coordinates, "parquet")):
+            rows.join(own, "collection", "left_semi").write.format(kind).partitionBy("collection").option(
+                "partitionOverwriteMode", "dynamic"
+            ).mode("overwrite").save(f"{self.base}/{name}")
         stage = self.new_stage()
-        self.write_state(
-            stage,
-            self.spark.createDataFrame([], schema.SLOTS),
-            self.spark.createDataFrame([], schema.PENDING),
-            meta,
-        )
-        return self.publish(stage, None, "initialize")
+        if existing is None:
+            slots = self.spark.createDataFrame([], schema.SLOTS)
+            self.write_state(stage, slots, self.spark.createDataFrame([], schema.PENDING), new)
+        else:
+            everything = self.meta(existing).unionByName(new)
+            self.write_state(stage, self.slots(existing), self.pending(existing), everything, self.retries(existing))
+        return self.publish(stage, existing, "initialize")
 
     def expired_files(self, older_than, keep_versions: int = 1) -> DataFrame:
         """Files last changed before ``older_than`` that no kept version needs.
@@ -225,23 +277,25 @@ class Store:
         Kept are the newest ``keep_versions`` versions: their stage folders, and the reference
         stages their slots name.
         """
-        kept = self.newest(keep_versions)
-        files = (
+        return expired(self._files(), self._needed_stages(self.newest(keep_versions)), older_than)
+
+    def _files(self) -> DataFrame:
+        return (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
             .load([p for p in (f"{self.base}/stages", f"{self.base}/refs") if path_exists(self.spark, p)])
             .select("path", "modificationTime", "length")
         )
-        return expired(files, self._needed_stages(kept), older_than)
 
     def remove_expired(self, older_than, keep_versions: int = 1) -> int:
         """Delete the folders all of whose files have expired; returns how many.
 
         A folder is what one job wrote, so their number grows with the runs, not with the data.
         """
-        files = self.expired_files(older_than, keep_versions)
+        kept = self._needed_stages(self.newest(keep_versions))
         folder = F.regexp_extract("path", r"^(.*/(?:stages/|refs/stage=)[^/]+)/", 1)
-        old = [r.folder for r in files.select(folder.alias("folder")).distinct().toLocalIterator()]
+        unneeded = expired(self._files(), kept, None).groupBy(folder.alias("folder")).agg(F.max("modificationTime").alias("newest"))
+        old = [r.folder for r in unneeded.filter(F.col("newest") < F.lit(older_than).cast("timestamp")).toLocalIterator()]
         for name in old:
             path, fs = _path(self.spark, name)
             fs.delete(path, True)
@@ -256,7 +310,7 @@ class Store:
 
 
 def expired(files: DataFrame, needed: DataFrame, older_than) -> DataFrame:
-    """``files(path, modificationTime, length)`` older than the cutoff whose stage nobody needs.
+    """``files(path, modificationTime, length)`` older than the cutoff (None: of any age) whose stage nobody needs.
 
     ``needed(stage, kind)``: kind is ``state`` for stage folders and ``refs`` for reference folders.
     """
@@ -265,7 +319,8 @@ def expired(files: DataFrame, needed: DataFrame, older_than) -> DataFrame:
     keyed = files.withColumn("stage", F.when(state != "", state).otherwise(refs)).withColumn(
         "kind", F.when(state != "", "state").otherwise("refs")
     )
-    cutoff = F.lit(older_than).cast("timestamp")
     unneeded = keyed.join(needed, ["stage", "kind"], "left_anti")
-    return unneeded.filter(F.col("modificationTime") < cutoff).select("path", "modificationTime", "length")
+    if older_than is not None:
+        unneeded = unneeded.filter(F.col("modificationTime") < F.lit(older_than).cast("timestamp"))
+    return unneeded.select("path", "modificationTime", "length")
 

@@ -373,12 +373,29 @@ def spread_sample(spark, sf):
     return out.select("window", "event_id", "ts")
 
 
-@query("sample_slots")
+SAMPLE_SQL = f"""{AXIS_SQL},
+sampled AS (
+  SELECT collection, slot, time, granule_ur, granule_url FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY collection ORDER BY substr(md5('0|' || collection || '|' || slot), 1, 15), slot) AS place FROM slots)
+  WHERE place <= 8
+)"""
+
+
+@query("sample_slots", f"WITH {SAMPLE_SQL} SELECT * FROM sampled")
 def sample_slots(spark, sf):
     return ops.sample_slots(axis_slots(spark, sf), 8, 0)
 
 
-@query("sample_windows")
+@query(
+    "sample_windows",
+    f"""WITH {SAMPLE_SQL},
+        pairs AS (SELECT s.collection, slot, variable, 2950 AS ny, 7750 AS nx FROM sampled s JOIN (
+          SELECT DISTINCT o_orderpriority AS collection, o_orderstatus AS variable FROM orders) v ON s.collection = v.collection)
+        SELECT *, CAST(('0x' || substr(md5('0|y|' || collection || '|' || slot || '|' || variable), 1, 15))::BIGINT % 2945 AS INTEGER) AS y0,
+               CAST(('0x' || substr(md5('0|x|' || collection || '|' || slot || '|' || variable), 1, 15))::BIGINT % 7745 AS INTEGER) AS x0
+        FROM pairs""",
+)
 def sample_windows(spark, sf):
     sampled = ops.sample_slots(axis_slots(spark, sf), 8, 0)
     grids = table(spark, sf, "orders").select(

@@ -375,7 +375,7 @@ def select_nearest_time(spark, sf):
     "granule_time_findings",
     """SELECT 'granule_time' AS "check", CAST(event_id AS VARCHAR) AS subject,
               CASE event_type WHEN 'error' THEN 'root attribute time_coverage_start_since_epoch missing'
-                              WHEN 'signup' THEN 'granule must carry exactly one time step, found 2'
+                              WHEN 'signup' THEN '2 time steps instead of one'
                               WHEN 'click' THEN 'granule has no time variable'
                               ELSE 'root attribute time_coverage_start_since_epoch differs from the time' END AS detail, 'error' AS severity
        FROM events WHERE event_type IN ('error', 'signup', 'click') OR (event_type = 'view' AND value < 50)""",

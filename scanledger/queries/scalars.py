@@ -89,7 +89,8 @@ def mask_fill(spark, sf):
 @query(
     "values_equal",
     """SELECT p_partkey, p_size % 5 = p_partkey % 5 AS same, true AS same_list,
-              p_size < 25 AS same_missing FROM part""",
+              p_size < 25 AS same_missing, p_partkey % 4 <> 3 AS same_object, p_size < 3 AS same_big,
+              p_brand <> 'Brand#11' AS same_text FROM part""",
 )
 def values_equal(spark, sf):
     # sizes modulo 5 spelled as JSON in two ways; 0 stands for a non-finite number
@@ -107,6 +108,23 @@ def values_equal(spark, sf):
         x.values_equal(spelled(size, True), spelled(key, False)).alias("same"),
         x.values_equal(ints, doubles).alias("same_list"),
         x.values_equal(gone, F.lit(None).cast("string")).alias("same_missing"),
+        # keys in another order, blanks, exponents and trailing zeros; one in four has another number deep inside
+        x.values_equal(
+            F.format_string('{"b": [1e3, %d.50], "a": {"k": "x, 1.0]", "n": %d}}', "p_size", "p_partkey"),
+            F.format_string(
+                '{"a":{"n":%d.0,"k":"x, 1.0]"},"b":[1000,%d.5]}',
+                F.col("p_partkey") + F.when(F.col("p_partkey") % 4 == 3, 1).otherwise(0), "p_size",
+            ),
+        ).alias("same_object"),
+        # integers beyond what a double tells apart
+        x.values_equal(
+            (F.lit(9007199254740992) + F.col("p_size")).cast("string"), (F.lit(9007199254740992) + F.least("p_size", F.lit(2))).cast("string")
+        ).alias("same_big"),
+        # numbers inside strings are text
+        x.values_equal(
+            F.to_json(F.array(F.concat("p_brand", F.lit(" 1.0")))),
+            F.to_json(F.array(F.concat("p_brand", F.when(F.col("p_brand") == "Brand#11", " 1").otherwise(" 1.0")))),
+        ).alias("same_text"),
     )
 
 
@@ -345,7 +363,7 @@ def citation(spark, sf):
 
 @query(
     "truncate_value",
-    """SELECT doc_id, CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || '...[' || length(text) || ' chars total]'
+    """SELECT doc_id, CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || ' (cut from ' || length(text) || ' characters)'
               ELSE text END AS shown FROM documents""",
 )
 def truncate_value(spark, sf):

@@ -31,6 +31,7 @@ TEMPLATE = (
 )
 COORDINATES = "axis string, idx int, value float"
 MESSAGES = "message_id string, body string, attempts int"
+RETRIES = f"collection string, {MESSAGES}"
 WATERMARK = "collection string, revision_date timestamp"
 
 CATALOGUE_RECORD = (
@@ -63,5 +64,6 @@ GRANULE_VARS = (
     "chunk_shape array<int>, fill_value double"
 )
 GRANULE_NODES = "url string, path string, attributes map<string,string>"
+GRANULE_TIMES = "url string, times array<double>, epoch double"
 GRANULE_AXES = "url string, axis string, `values` array<float>"
 FINDINGS = "check string, subject string, detail string, severity string"

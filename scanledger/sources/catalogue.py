@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanledger import schema
@@ -13,16 +13,21 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """All records of the listing pages under ``path``, in listing order.
 
     A page is one JSON document with an ``items`` array. Page files are numbered by whoever landed
-    them, so (file name, index in the page) is the listing position; it stays a struct because
-    turning it into one number would need a global sort.
+    them, so (last number in the file name, file name, index in the page) is the listing position; it
+    stays a struct because turning it into one number would need a global sort.
     """
     pages = spark.read.schema(schema.CATALOGUE_PAGE).option("multiLine", True).json(path)
     return (
         pages.select(F.col("_metadata.file_name").alias("page"), F.posexplode("items").alias("index", "item"))
-        .select(F.struct("page", "index").alias("position"), "item.meta", "item.umm")
+        .select(F.struct(_page_number("page").alias("number"), "page", "index").alias("position"), "item.meta", "item.umm")
     )
 
 
+def _page_number(name: str) -> Column:
+    """So that page 10 comes after page 2."""
+    return F.regexp_extract(name, r"([0-9]+)[^0-9]*$", 1).try_cast("long")
+
+
 def flatten_records(records: DataFrame) -> DataFrame:
     """One flat row per record; UR falls back to the concept id, junk numbers and dates to null."""
     extent = F.col("umm.TemporalExtent.RangeDateTime")

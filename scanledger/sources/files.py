@@ -21,8 +21,9 @@ def source_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
 
 
 def read_granule_headers(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Header tables landed by an extractor: variables, nodes with attributes, axes, references."""
+    """Header tables landed by an extractor: times, variables, nodes with attributes, axes, references."""
     return {
+        "times": spark.read.schema(schema.GRANULE_TIMES).parquet(f"{path}/times"),
         "vars": spark.read.schema(schema.GRANULE_VARS).parquet(f"{path}/vars"),
         "nodes": spark.read.schema(schema.GRANULE_NODES).parquet(f"{path}/nodes"),
         "axes": spark.read.schema(schema.GRANULE_AXES).parquet(f"{path}/axes"),
@@ -36,14 +37,14 @@ def read_watermark(spark: SparkSession, path: str):
 
     if not path_exists(spark, path):
         return None
-    row = spark.read.schema("revision_date string").json(path).select(
-        x.parse_instant("revision_date").alias("at")
-    ).first()
-    return row.at if row else None
+    rows = spark.read.schema("revision_date string").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.json"
+    ).json(path)
+    return rows.agg(F.max(x.parse_instant("revision_date")).alias("at")).first().at
 
 
 def write_watermark(spark: SparkSession, path: str, value) -> None:
-    """Replace the stored poll instant (one row)."""
+    """Add a poll instant. The latest one counts and none is replaced, so a crash cannot lose it."""
     spark.range(1).select(
         F.date_format(F.lit(value).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("revision_date")
-    ).coalesce(1).write.mode("overwrite").json(path)
+    ).coalesce(1).write.mode("append").json(path)

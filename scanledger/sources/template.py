@@ -17,12 +17,12 @@ _ARRAY = (
 )
 
 
-def read_template(spark: SparkSession, path: str, depth: int = 4) -> DataFrame:
-    """Template JSON document to one row per node; ``depth`` is how many group levels it may nest."""
+def read_template(spark: SparkSession, path: str) -> DataFrame:
+    """Template JSON document to one row per node, however deep its groups nest."""
     text = spark.read.text(path, wholetext=True)
     level = text.select(F.lit("").alias("path"), F.from_json("value", _ARRAY).alias("n"))
     nodes = level
-    for _ in range(depth):
+    while not level.filter(F.size("n.members") > 0).isEmpty():
         level = level.select("path", F.explode(F.col("n.members")).alias("name", "doc")).select(
             F.concat_ws("/", "path", "name").alias("path"), F.from_json("doc", _ARRAY).alias("n")
         )
@@ -53,7 +53,7 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
     try:
         lines = spark.read.schema("axis string, `values` array<float>").json(path)
     except Exception as error:
-        raise FileNotFoundError(f"coordinates artifact {path} is not available") from error
+        raise FileNotFoundError(f"cannot read the reference coordinates at {path}") from error
     return lines.select("axis", F.posexplode("values").alias("idx", "value"))
 
 

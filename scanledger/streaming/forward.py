@@ -1,7 +1,7 @@
 """Forward processing: a stream of queue messages into the archive, one micro-batch per version.
 
 Late granules are deferred, never dropped, so there is no event-time watermark. A micro-batch that is
-repeated after a failure is recognised by its id, which the version marker records.
+repeated after a failure is recognised by collection, stream and id, which the version marker records.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from scanledger.operators.routing import (
 )
 from scanledger.operators.validate import validate_inventory
 from scanledger.plans.backfill import _of, header_findings
-from scanledger.plans.store import Store, Version
+from scanledger.plans.store import Store, Version, VersionMoved
 from scanledger.session import pin
 from scanledger.sources.messages import read_messages
 
@@ -72,18 +72,19 @@ def process_batch(
     batch_id: int,
     max_attempts: int = 20,
     target_rows: int | None = None,
+    stream: str = "",
 ) -> Version:
     """Route one batch of ``messages(message_id, body)`` and publish the result.
 
-    Messages rejected before are tried again with the batch; after ``max_attempts`` deliveries they
-    go to the dead letters.
+    Messages of the collection that were rejected before are tried again with the batch; after
+    ``max_attempts`` deliveries they go to the dead letters. ``batch_id`` counts within ``stream``.
     """
     pinned = store.require_initialized()
-    if batch_id <= pinned.last_batch:
+    if batch_id <= pinned.last_batch(config.collection, stream):
         return pinned
-    template = _of(store.template(), config.collection).drop("collection")
-    coordinates = _of(store.coordinates(), config.collection).drop("collection")
-    again = store.retries(pinned).withColumn("attempts", F.col("attempts") + 1)
+    template, coordinates = store.require_collection(config.collection)
+    rejected = store.retries(pinned)
+    again = _of(rejected, config.collection).select("message_id", "body", (F.col("attempts") + 1).alias("attempts"))
     delivered = messages.select("message_id", "body", F.lit(1).alias("attempts")).unionByName(again)
     # a message delivered twice within one batch counts once
     incoming = delivered.groupBy("message_id", "body").agg(F.max("attempts").alias("attempts"))
@@ -103,8 +104,10 @@ def process_batch(
     )
     retry, dead = retries_after(routed, max_attempts)
     store.write_refs(stage, refs)
-    store.write_state(stage, axis, ledger, store.meta(pinned), retry.select("message_id", "body", "attempts"))
-    dead.select("message_id", "body", "attempts", "reason").write.mode("errorifexists").parquet(
+    others = rejected.filter(F.col("collection") != config.collection)
+    waiting = others.unionByName(retry.select("collection", "message_id", "body", "attempts"))
+    store.write_state(stage, axis, ledger, store.meta(pinned), waiting)
+    dead.select("collection", "message_id", "body", "attempts", "reason").write.mode("errorifexists").parquet(
         f"{store.base}/dead/stage={stage}"
     )
     staged = store._table(stage, "slots", schema.SLOTS)
@@ -112,7 +115,7 @@ def process_batch(
         validate_inventory(staged.withColumnRenamed("granule_url", "url"), position="slot", target_rows=target_rows),
         "axis after the batch",
     )
-    return store.publish(stage, pinned, "forward", batch_id)
+    return store.publish(stage, pinned, "forward", (config.collection, stream, batch_id))
 
 
 def read_message_stream(spark: SparkSession, path: str, files_per_batch: int = 10) -> DataFrame:
@@ -132,11 +135,22 @@ def run_forward(
     checkpoint: str,
     available_now: bool = True,
     max_attempts: int = 20,
+    max_races: int = 5,
 ):
-    """Start the consumer; one micro-batch at a time, so an archive has a single writer."""
+    """Start the consumer. A batch that loses the race to publish is processed again on the newer version."""
+
+    def stream_id() -> str:
+        # the checkpoint's own id: a new checkpoint counts its batches from 0 again
+        return store.spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0].strip()
 
     def consume(batch: DataFrame, batch_id: int) -> None:
-        process_batch(store, batch, headers(), config, batch_id, max_attempts)
+        for race in range(max_races):
+            try:
+                process_batch(store, batch, headers(), config, batch_id, max_attempts, stream=stream_id())
+                return
+            except VersionMoved:
+                if race + 1 == max_races:
+                    raise
 
     writer = stream.writeStream.foreachBatch(consume).option("checkpointLocation", checkpoint)
     if available_now:

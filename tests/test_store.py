@@ -1,7 +1,9 @@
 """Backfill, forward batches, re-sort and publishing on the tiny collection."""
 
 import datetime
+import json
 import shutil
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from scanledger.operators.slots import first_shift, relocation_map
 from scanledger.plans.backfill import backfill, header_findings
 from scanledger.plans.resort import resort
 from scanledger.plans.store import Store, VersionMoved
-from scanledger.streaming.forward import process_batch
+from scanledger.streaming.forward import process_batch, read_message_stream, run_forward
 from tests import tiny
 from tests.tiny import CONFIG, TIMES, granule
 
@@ -74,7 +76,7 @@ def test_every_broken_granule_is_found(spark, empty):
         ("grid", {"latitude": [1.0, 2.0, 3.0, 4.0]}, "coordinates: latitude values"),
         ("nan_grid", {"latitude": [float("nan"), *tiny.LATITUDE[1:]]}, "coordinates: latitude values"),
         ("epoch", {"epoch": TIMES[1] + 1}, "granule_time: root attribute time_coverage_start_since_epoch differs from the time"),
-        ("steps", {"times": [TIMES[1], TIMES[1]]}, "granule_time: granule must carry exactly one time step, found 2"),
+        ("steps", {"times": [TIMES[1], TIMES[1]]}, "granule_time: 2 time steps instead of one"),
         ("value", {"project": '"OTHER"'}, "attributes: attribute  project differs"),
         ("absent", {"project": None}, "attributes: attribute  project missing"),
         ("group", {"variables": [v for v in tiny.VARIABLES if v[0] != "geolocation"]}, "flatten_groups: group missing: geolocation"),
@@ -190,6 +192,97 @@ def test_dead_letters_after_the_last_attempt(filled):
     assert filled.retries(filled.current()).count() == 0
 
 
+def test_streams_and_collections_count_their_own_batches(filled):
+    one = feed(filled, [granule("end_1", TIMES[2] + 3600)], 5, stream="a")
+    assert feed(filled, [granule("end_2", TIMES[2] + 7200)], 5, stream="a") == one  # a repeated batch
+    feed(filled, [granule("end_2", TIMES[2] + 7200)], 0, stream="b")
+    assert [a[1] for a in tiny.axis(filled)][-2:] == ["end_1", "end_2"]
+    version = filled.current()
+    assert (version.last_batch(CONFIG.collection, "a"), version.last_batch(CONFIG.collection, "b")) == (5, 0)
+    assert version.last_batch("other", "a") == -1
+
+
+def test_a_second_collection_is_added_and_takes_no_foreign_retries(filled):
+    spark = filled.spark
+    feed(filled, [granule("imposter", TIMES[0])], 0)
+    other = replace(CONFIG, collection="OTHER")
+    named = F.lit("OTHER").alias("collection")
+    before = tiny.axis(filled)
+    added = filled.initialize(
+        tiny.template(spark).select(named, "*"), tiny.coordinates(spark).select(named, "*"), tiny.header(spark, "OTHER")
+    )
+    assert added.number == filled.current().number and tiny.axis(filled) == before
+    assert {r.collection for r in filled.meta(added).collect()} == {CONFIG.collection, "OTHER"}
+    granules = [granule("first", TIMES[0])]
+    process_batch(filled, tiny.messages(spark, granules), tiny.headers_of(spark, granules), other, 0)
+    assert [(r.collection, r.attempts) for r in filled.retries(filled.current()).collect()] == [(CONFIG.collection, 1)]
+    assert [r.granule_ur for r in filled.slots(filled.current()).filter("collection = 'OTHER'").collect()] == ["first"]
+
+
+def test_an_unknown_collection_is_refused(spark, empty):
+    granules = tiny.first_granules()
+    stranger = replace(CONFIG, collection="OTHER")
+    with pytest.raises(InvalidData, match="has no template"):
+        backfill(
+            empty, tiny.entries_of(spark, granules).withColumn("collection", F.lit("OTHER")), tiny.header(spark, "OTHER"),
+            tiny.headers_of(spark, granules), stranger,
+        )
+
+
+def test_an_unfinished_marker_is_passed_over(filled):
+    before = filled.current()
+    open(f"{filled.base}/_versions/{before.number + 1:012d}.json", "w").close()
+    assert filled.current() == before
+    feed(filled, [granule("end", TIMES[2] + 3600)], 0)
+    assert filled.current().number == before.number + 2 and tiny.axis(filled)[-1][1] == "end"
+
+
+def test_a_lost_race_is_run_again(filled, monkeypatch, tmp_path):
+    spark = filled.spark
+    publish, lost = Store.publish, []
+
+    def late(self, stage, expected, kind, batch=None):
+        if kind == "forward" and not lost:
+            lost.append(1)
+            raise VersionMoved("lost")
+        return publish(self, stage, expected, kind, batch)
+
+    monkeypatch.setattr(Store, "publish", late)
+    end = granule("end", TIMES[2] + 3600)
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox" / "1.json").write_text(json.dumps({"message_id": "m", "body": json.dumps({"url": end["url"]})}))
+    headers = tiny.headers_of(spark, [end])
+    stream = read_message_stream(spark, str(tmp_path / "inbox"))
+    run_forward(filled, stream, lambda: headers, CONFIG, str(tmp_path / "progress")).awaitTermination()
+    assert lost and tiny.axis(filled)[-1][1] == "end"
+
+
+def test_granules_without_axes_variables_or_attributes_are_found(spark):
+    names = ("axes", "vars", "nodes")
+    granules = [granule(name, TIMES[1]) for name in names] + [granule("fine", TIMES[1])]
+    headers = tiny.headers_of(spark, granules)
+    for name in names:
+        headers[name] = headers[name].filter(F.col("url") != tiny.url_of(name))
+    found = header_findings(headers, tiny.template(spark), tiny.coordinates(spark), CONFIG).filter("severity = 'error'").collect()
+    text = {(f.subject, f.detail) for f in found}
+    assert (tiny.url_of("axes"), "latitude missing") in text and (tiny.url_of("axes"), "longitude missing") in text
+    assert (tiny.url_of("vars"), "granule has no variables") in text
+    assert (tiny.url_of("nodes"), "granule has no attributes") in text
+    assert tiny.url_of("fine") not in {f.subject for f in found}
+
+
+def test_landed_headers_feed_a_backfill(spark, tmp_path):
+    from scanledger.sources.files import read_granule_headers
+
+    store = tiny.new_store(spark, tmp_path / "archive")
+    granules = tiny.first_granules()
+    for name, rows in tiny.headers_of(spark, granules).items():
+        rows.write.parquet(str(tmp_path / "landed" / name))
+    headers = read_granule_headers(spark, str(tmp_path / "landed"))
+    backfill(store, tiny.entries_of(spark, granules), tiny.header(spark), headers, CONFIG)
+    assert len(tiny.axis(store)) == 3
+
+
 def test_resort_of_an_empty_ledger_is_a_noop(filled):
     before = filled.current()
     report = resort(filled, tiny.headers_of(filled.spark, tiny.first_granules()), CONFIG)

@@ -31,8 +31,24 @@ def test_stream_appends_defers_and_resumes(spark, tmp_path):
     drain()
     assert [a[1] for a in tiny.axis(store)][-1] == "end_0" and tiny.ledger(store) == ["late"]
     version = store.current()
-    assert (version.kind, version.last_batch) == ("forward", 0)
+    assert version.kind == "forward" and [n for _, n in version.batches] == [0]
     land(inbox, "2.json", [ends[1]])
     drain()  # resumes after the files it has seen
     assert [a[1] for a in tiny.axis(store)][-2:] == ["end_0", "end_1"]
-    assert store.current().last_batch == 1 and tiny.ledger(store) == ["late"]
+    assert [n for _, n in store.current().batches] == [1] and tiny.ledger(store) == ["late"]
+
+
+def test_a_new_checkpoint_loses_no_batch(spark, tmp_path):
+    store = tiny.new_store(spark, tmp_path / "archive")
+    first = tiny.first_granules()
+    backfill(store, tiny.entries_of(spark, first), tiny.header(spark), tiny.headers_of(spark, first), CONFIG)
+    ends = [granule(f"end_{i}", TIMES[2] + 3600 * (i + 1)) for i in range(2)]
+    headers = tiny.headers_of(spark, ends)
+    for i, end in enumerate(ends):  # both checkpoints number their batch 0
+        inbox = tmp_path / f"inbox_{i}"
+        land(inbox, "1.json", [end])
+        run_forward(
+            store, read_message_stream(spark, str(inbox), 1), lambda: headers, CONFIG, str(tmp_path / f"progress_{i}")
+        ).awaitTermination()
+    assert [a[1] for a in tiny.axis(store)][-2:] == ["end_0", "end_1"]
+    assert [n for _, n in store.current().batches] == [0, 0]
