@@ -271,7 +271,7 @@ def old_axis(spark, sf):
 
 def pending_ledger(spark, sf):
     waiting = _waits(axis_entries(spark, sf)).filter("_waits")
-    return waiting.select("collection", "granule_ur", "url", "time", F.substring("granule_ur", 2, 20).cast("long").alias("seq"))
+    return waiting.select("collection", "granule_ur", "url", "time", F.expr("substring(granule_ur, 2)").cast("long").alias("seq"))
 
 
 def merged_axis(spark, sf):
@@ -440,17 +440,19 @@ def collection_report(spark, sf):
 
 @query(
     "sequence_gaps",
-    """SELECT conv_id, turn, prev_turn FROM (
-         SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_turn FROM conversations)
+    """SELECT conv_id, role, turn, prev_turn FROM (
+         SELECT conv_id, role, turn, lag(turn) OVER (PARTITION BY conv_id, role ORDER BY turn) AS prev_turn FROM conversations)
        WHERE turn <> coalesce(prev_turn, -1) + 1""",
 )
 def sequence_gaps(spark, sf):
-    # turns as positions of an axis: anything but the successor of the turn before is a gap
+    # a role's turns as positions of an axis: anything but the successor of its turn before is a gap
     from scanledger.operators.ordering import ordered_lag
 
-    out = ordered_lag(table(spark, sf, "conversations").select("conv_id", "turn"), ["conv_id"], ["turn"], ["turn"], "p")
+    out = ordered_lag(
+        table(spark, sf, "conversations").select("conv_id", "role", "turn"), ["conv_id", "role"], ["turn"], ["turn"], "p"
+    )
     gap = F.col("turn") != F.coalesce("p.turn", F.lit(-1)) + 1
-    return out.filter(gap).select("conv_id", "turn", F.col("p.turn").alias("prev_turn"))
+    return out.filter(gap).select("conv_id", "role", "turn", F.col("p.turn").alias("prev_turn"))
 
 
 @query(

@@ -116,7 +116,7 @@ def outcome_counts(spark, sf):
 def _dead(spark, sf):
     # the customer's number stands for the deliveries a message has had: 1 to 25
     with_attempts = arrivals(spark, sf).withColumn(
-        "attempts", (F.substring("granule_ur", 2, 20).cast("long") % 25 + 1).cast("int")
+        "attempts", (F.expr("substring(granule_ur, 2)").cast("long") % 25 + 1).cast("int")
     )
     out = ops.route_arrivals(with_attempts, committed_slots(spark, sf), ["delivery"])
     return ops.retries_after(out, 20)

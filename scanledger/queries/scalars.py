@@ -38,7 +38,7 @@ def granule_ur(spark, sf):
 )
 def split_uri(spark, sf):
     # https pages stand in for objects of a store; the others keep their unsupported scheme
-    uri = F.when(F.startswith("url", F.lit("https://")), F.concat(F.lit("s3://"), F.substring("url", 9, 10_000))).otherwise(F.col("url"))
+    uri = F.when(F.startswith("url", F.lit("https://")), F.concat(F.lit("s3://"), F.expr("substring(url, 9)"))).otherwise(F.col("url"))
     parts = table(spark, sf, "pages").select("page_id", x.split_uri(uri, strict=False).alias("p"))
     return parts.select("page_id", F.col("p.bucket").alias("bucket"), F.col("p.key").alias("key"))
 

@@ -40,26 +40,20 @@ def read_inventory_table(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
     return header, ordered_position(entries, ["collection"], ["time", "granule_ur"], "position")
 
 
-def write_inventory_document(
-    entries: DataFrame, header: DataFrame, path: str, max_granules: int = 200_000
-) -> None:
-    """One JSON document per collection, for exchange with document readers.
+def write_inventory_lines(entries: DataFrame, header: DataFrame, path: str) -> None:
+    """Inventory as JSON lines, for exchange with other readers: a line per granule and a line per header, of any size."""
+    entries.select("collection", "url", "granule_ur", "time", "position").write.mode("errorifexists").partitionBy(
+        "collection"
+    ).json(f"{path}/granules")
+    header.write.mode("errorifexists").json(f"{path}/header")
 
-    The format holds every granule in one array, so the size is checked first; a larger collection
-    is refused and goes through ``write_inventory``.
-    """
-    largest = entries.groupBy("collection").count().agg(F.max("count")).first()[0] or 0
-    if largest > max_granules:
-        raise ValueError(f"{largest} granules are too many for one document; use write_inventory")
-    packed = entries.groupBy("collection").agg(
-        F.array_sort(F.collect_list(F.struct("time", "url", "granule_ur"))).alias("g")
-    )
-    granules = F.transform(
-        "g", lambda e: F.struct(e["url"].alias("url"), e["granule_ur"].alias("granule_ur"), e["time"].alias("time"))
+
+def read_inventory_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Header and granule rows of what ``write_inventory_lines`` wrote."""
+    granules = spark.read.schema("collection string, url string, granule_ur string, time double, position long").json(f"{path}/granules")
+    return spark.read.schema(schema.STORE_META).json(f"{path}/header"), granules.select(
+        "collection", "position", "url", "granule_ur", "time"
     )
-    header.join(packed, "collection").select(
-        "schema", "collection", "concept_id", "time_units", "built_at", granules.alias("granules")
-    ).write.mode("errorifexists").json(path)
 
 
 def header_row(spark: SparkSession, config: CollectionConfig) -> DataFrame:

@@ -105,14 +105,13 @@ def test_inventory_documents(spark, tmp_path, granules, schema_id, checks):
 def test_inventory_round_trips_exactly(spark, tmp_path):
     (tmp_path / "inv.json").write_text(json.dumps(document(GRANULES)))
     header, entries = inventory.read_inventory(spark, str(tmp_path / "inv.json"))
-    inventory.write_inventory_document(entries, header, str(tmp_path / "doc"))
-    _, again = inventory.read_inventory(spark, str(tmp_path / "doc"), multi_line=False)
+    inventory.write_inventory_lines(entries, header, str(tmp_path / "lines"))
+    head, again = inventory.read_inventory_lines(spark, str(tmp_path / "lines"))
+    assert head.collect() == header.collect()
     assert [r.time for r in again.orderBy("position").collect()] == [g["time"] for g in GRANULES]
     inventory.write_inventory(entries, header, str(tmp_path / "table"))
     _, table = inventory.read_inventory_table(spark, str(tmp_path / "table"))
     assert [r.time for r in table.orderBy("position").collect()] == [g["time"] for g in GRANULES]
-    with pytest.raises(ValueError, match="too many"):
-        inventory.write_inventory_document(entries, header, str(tmp_path / "big"), max_granules=2)
 
 
 def test_partition_lists_are_pruned(spark, tmp_path):
@@ -136,6 +135,24 @@ def test_messages(spark):
         "3": ("s3://x/2.nc", "s3://x/2.nc", "ok"), "4": (None, "", "skipped"), "5": (None, "", "skipped"), "6": (None, "", "unreadable")}
 
 
+def test_template_of_any_depth(spark, tmp_path):
+    node = {"node_type": "array", "data_type": "int8", "shape": [1]}
+    for i in range(10):
+        node = {"node_type": "group", "members": {f"g{9 - i}": node}}
+    (tmp_path / "deep.json").write_text(json.dumps(node))
+    paths = {r.path for r in template.read_template(spark, str(tmp_path / "deep.json")).collect()}
+    assert len(paths) == 11 and "/" + "/".join(f"g{i}" for i in range(10)) in paths
+
+
+def test_pages_are_listed_by_number(spark, tmp_path):
+    from scanledger.sources.catalogue import read_catalogue
+
+    for n in (2, 10):
+        (tmp_path / f"page-{n}.json").write_text(json.dumps({"items": [{"meta": {"concept-id": f"G{n}"}, "umm": {}}]}))
+    rows = read_catalogue(spark, str(tmp_path)).orderBy("position").collect()
+    assert [r.meta["concept-id"] for r in rows] == ["G2", "G10"]
+
+
 def test_template_document(spark, tmp_path):
     array = {"node_type": "array", "data_type": "float64", "shape": [1, 4], "chunk_grid": {"name": "regular", "configuration": {"chunk_shape": [1, 2]}},
              "fill_value": "NaN", "codecs": [{"name": "bytes"}], "dimension_names": ["time", "y"], "attributes": {"units": "m", "n": [1, 2]}}
