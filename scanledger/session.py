@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,8 +17,9 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# Look-up tables up to this many rows (a few dozen bytes each) are broadcast; their size is counted first.
+# Look-up tables up to this many rows and bytes are broadcast; both are counted first.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "scanledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,11 +53,27 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row has."""
+    total = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = 16 + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = 16 + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            size = F.lit(8)
+        total = total + size
+    return total
+
+
 def lookup(df: DataFrame, pinned: bool = True, max_rows: int | None = None) -> DataFrame:
-    """A look-up side of a join: broadcast if counted small enough, else left to shuffle joins.
+    """A look-up side of a join: broadcast if rows and bytes are counted small enough, else left to shuffle joins.
 
     Saves the shuffle of the large side, which adaptive execution can only skip after writing it.
     """
     rows = pin(df) if pinned else df
     limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return F.broadcast(rows) if rows.count() <= limit else rows
+    counted = rows.agg(F.count(F.lit(1)), F.sum(_row_bytes(rows))).first()
+    return F.broadcast(rows) if counted[0] <= limit and (counted[1] or 0) <= BROADCAST_BYTES else rows

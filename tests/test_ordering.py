@@ -127,3 +127,18 @@ def test_nearest_in_time_prefers_the_first_listed(spark):
     right = spark.createDataFrame([("c", 8.0, 2, "x"), ("c", 12.0, 1, "y"), ("c", 12.0, 0, "z")], "g string, at double, rank long, p string")
     got = nearest_in_time(left, right, ["g"], ["p"]).first()
     assert got.nearest.p == "z" and got.distance == 2.0
+
+
+def test_lookup_counts_rows_and_bytes(spark, monkeypatch):
+    from scanledger import session
+
+    def broadcasts(rows):
+        joined = spark.range(10).join(session.lookup(rows), "id")
+        return "ResolvedHint (strategy=broadcast)" in joined._jdf.queryExecution().analyzed().toString()
+
+    rows = spark.range(5).selectExpr("id", "repeat('x', 1000) AS text", "array(named_struct('a', id)) AS more")
+    assert broadcasts(rows)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 4_000)
+    assert not broadcasts(rows)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 4)
+    assert not broadcasts(spark.range(5))
