@@ -117,7 +117,7 @@ def concat_time(
     Variables in ``invariant`` carry no time and come from the first granule of the collection only.
     """
     placed = granule_refs.join(
-        slots.select("collection", "granule_ur", "slot"), ["collection", "granule_ur"]
+        lookup(slots.select("collection", "granule_ur", "slot")), ["collection", "granule_ur"]
     )
     fixed = F.col("variable").isin(*invariant) if invariant else F.lit(False)
     return placed.filter(~fixed | (F.col("slot") == 0)).drop("granule_ur")

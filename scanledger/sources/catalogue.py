@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scanledger import schema
 from scanledger.functions import expressions as x
+from scanledger.operators.ordering import ordered_position
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
@@ -73,3 +74,13 @@ def data_links(records: DataFrame, access: str = "direct") -> tuple[DataFrame, D
 def read_collections(spark: SparkSession, path: str) -> DataFrame:
     """Collection-level catalogue documents, one JSON document per line."""
     return spark.read.schema(schema.COLLECTION_RECORD).json(path)
+
+
+def audit_records(flat: DataFrame, collection: str, target_rows: int | None = None) -> DataFrame:
+    """Flat records with a link, as ``nearest_granule`` takes them: times in axis seconds and the listing rank as a number."""
+    listed = flat.filter(F.col("url").isNotNull() & F.col("begin").isNotNull()).select(
+        F.lit(collection).alias("collection"), x.axis_seconds("begin").alias("begin"),
+        x.axis_seconds(F.coalesce("end", "begin")).alias("end"), "url", "granule_ur",
+        F.col("position.number").alias("_number"), F.col("position.page").alias("_page"), F.col("position.index").alias("_index"),
+    )
+    return ordered_position(listed, ["collection"], ["_number", "_page", "_index"], "rank", target_rows).drop("_number", "_page", "_index")

@@ -153,6 +153,25 @@ def test_pages_are_listed_by_number(spark, tmp_path):
     assert [r.meta["concept-id"] for r in rows] == ["G2", "G10"]
 
 
+def test_landed_pages_feed_the_audit(spark, tmp_path):
+    from scanledger.operators.compare import nearest_granule
+    from scanledger.sources.catalogue import audit_records, flatten_records, read_catalogue
+
+    def record(name, begin, url=True):
+        links = [{"Type": "GET DATA VIA DIRECT ACCESS", "URL": f"s3://a/{name}.nc"}] if url else []
+        return {"meta": {"concept-id": name}, "umm": {
+            "GranuleUR": name, "RelatedUrls": links,
+            "TemporalExtent": {"RangeDateTime": {"BeginningDateTime": begin, "EndingDateTime": begin}}}}
+
+    pages = {2: [record("a", "1980-01-06T00:01:40Z"), record("none", "1980-01-06T01:00:00Z", False)], 10: [record("b", "1980-01-06T00:01:40Z")]}
+    for n, items in pages.items():
+        (tmp_path / f"page-{n}.json").write_text(json.dumps({"items": items}))
+    records = audit_records(flatten_records(read_catalogue(spark, str(tmp_path))), "C")
+    assert sorted((r.granule_ur, r["rank"]) for r in records.collect()) == [("a", 0), ("b", 1)]
+    slots = spark.createDataFrame([("C", 0, 110.0), ("C", 1, 9000.0)], "collection string, slot int, time double")
+    assert {r.slot: r.found_ur for r in nearest_granule(slots, records).collect()} == {0: "a", 1: None}
+
+
 def test_template_document(spark, tmp_path):
     array = {"node_type": "array", "data_type": "float64", "shape": [1, 4], "chunk_grid": {"name": "regular", "configuration": {"chunk_shape": [1, 2]}},
              "fill_value": "NaN", "codecs": [{"name": "bytes"}], "dimension_names": ["time", "y"], "attributes": {"units": "m", "n": [1, 2]}}
