@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import with_python
+from scanledger.llm.common import with_python, written
 from scanledger.llm.language_id import fold
 
 SAMPLE_ROWS = 3_000
@@ -164,20 +164,32 @@ def train(toxic: list[str], ordinary: list[str], toxic_share: float) -> Toxicity
     return ToxicityModel(base, base + more, _logistic(np.array([model.gains(t) for t in texts]), y, weight))
 
 
-def learn(rows: DataFrame, text: str = "text", label: str = "toxic", per_class: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Train on at most about ``per_class`` rows of each class, drawn by hash."""
-    own = rows.select(F.col(text).cast("string").alias("text"), (F.col(label) == 1).alias("toxic")).dropna()
-    counts = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def learn(
+    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", per_class: int = SAMPLE_ROWS
+) -> ToxicityModel:
+    """Train on about ``per_class`` rows of each class at most, drawn by a hash of the text.
+
+    Only ids and hashes meet the labels; the texts of the drawn rows are then looked up where they lie.
+    """
+    own = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text).cast("string")).alias("print"))
+    known = labels.select(F.col(doc_id).alias("id"), (F.col(label) == 1).alias("toxic")).dropna()
+    labelled = written(own.filter("text IS NOT NULL").select("id", "print").join(known, "id"), "labelled")
+    counts = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return train([], [], 0.0)
-    drawn = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
-    start = F.pmod(F.xxhash64("text", F.lit("window")), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
-    sample = (
-        own.filter(drawn < F.when(F.col("toxic"), per_class / counts[True]).otherwise(per_class / counts[False]))
-        .select("toxic", F.xxhash64("text").alias("print"), F.substring("text", start, SAMPLE_CHARS).alias("part"))
-        .dropDuplicates(["toxic", "print"]).orderBy("print").limit(3 * per_class).collect()
+    drawn = F.pmod(F.xxhash64("print", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
+    share = F.when(F.col("toxic"), per_class / counts[True]).otherwise(per_class / counts[False])
+    # copies are drawn together, so each text counts once; the limit is a bound, not reached by the shares as a rule
+    picked = (
+        labelled.filter(drawn < share).groupBy("toxic", "print").agg(F.min("id").alias("id"))
+        .orderBy(F.xxhash64("print"), "toxic").limit(3 * per_class)
     )
-    by = {kind: [r["part"] for r in sample if r["toxic"] == kind] for kind in (True, False)}
+    picked = written(picked, "picked").select("id", F.col("print").alias("mark"), "toxic")
+    start = F.pmod(F.xxhash64("text", F.lit("window")), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    found = own.join(F.broadcast(picked), "id").filter(F.col("print") == F.col("mark"))
+    sample = found.select("toxic", "print", F.substring("text", start, SAMPLE_CHARS).alias("part")).dropDuplicates(["toxic", "print"]).orderBy("print")
+    rows = sample.collect()
+    by = {kind: [r["part"] for r in rows if r["toxic"] == kind] for kind in (True, False)}
     return train(by[True], by[False], counts[True] / (counts[True] + counts[False]))
 
 
@@ -198,6 +210,6 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", doc_id: str
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
-    model = learn(docs.filter(~held_out).join(labels.select("doc_id", "toxic"), "doc_id"))
+    model = learn(docs.filter(~held_out), labels)
     found = score(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

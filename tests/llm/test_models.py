@@ -56,7 +56,7 @@ def test_toxicity(spark, docs):
 
 def test_toxicity_of_odd_texts(spark, docs):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
-    model = toxicity.learn(docs.join(labels, "doc_id"))
+    model = toxicity.learn(docs, labels)
     found = {r.doc_id: r.score for r in toxicity.score(with_clashes(documents(spark, ODD)), model).collect()}
     assert found[1] == found[2] and all(0 <= x <= 1 for x in found.values())
     assert toxicity.score(documents(spark, []), model).count() == 0
