@@ -249,7 +249,7 @@ def _named_axes(spark, sf):
     """Every vector is a granule carrying one of two axes; the first vector with it is the reference."""
     axes = table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("url"), "vec_id",
-        F.when(F.col("label") < 5, "latitude").otherwise("longitude").alias("axis"), F.slice("embedding", 1, 8).alias("values"),
+        F.when(F.col("label") < 5, "latitude").otherwise("longitude").alias("axis"), F.col("embedding").alias("values"),
     )
     return axes.groupBy("axis").agg(F.min_by("values", "vec_id").alias("values")), axes.drop("vec_id")
 

@@ -215,3 +215,17 @@ def test_references_move_alike_with_and_without_broadcast(spark, monkeypatch):
         monkeypatch.setattr("scanledger.session.BROADCAST_ROWS", limit)
         out = refs.relocate_refs(held, moves, shifts)
         assert {(r.collection, r.slot, r.offset) for r in out.collect()} == want
+
+
+def test_axes_are_compared_to_the_last_value(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    base = [float(i) for i in range(64)]
+    vectors = [(0, base, 1), (1, base, 1), (2, base[:8] + [-1.0] + base[9:], 1), (3, base[:63] + [-1.0], 1), (4, base, 7)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").write.parquet(str(tmp_path / "part.parquet"))
+    queries = entry.queries()
+    axes = queries["compare_axes"](spark, str(tmp_path)).filter("problem = 'values'").collect()
+    assert sorted(r.vec_id for r in axes) == [2, 3]
+    found = queries["granule_findings"](spark, str(tmp_path)).filter("check = 'coordinates' AND detail LIKE '%values'").collect()
+    assert sorted(r.subject for r in found) == ["2", "3"]
