@@ -8,7 +8,8 @@ their shingle sets is 0.8 or more; documents form classes by chains of links.
    ProbMinHash signature of a node is the element of the earliest arrival at each register, where every shingle sends arrivals at a
    rate of its weight, and a shingle stops once its next arrival is later than those at all registers. Two signatures agree at a
    register with the probability Jaccard similarity.
-2. 25 bands of five registers give buckets. A pair at 0.8 shares none with probability 5e-5.
+2. 25 bands of five registers give buckets, once by those weights and once by weights of one. By weights of one, two signatures agree with
+   the Jaccard similarity of the sets, however often either text repeats a shingle: a pair at 0.8 shares no bucket with probability 5e-5.
 3. Within a bucket all nodes are verified against one centre, the node with most bucket mates, not against each other. Nodes of buckets
    that then lie in several classes are compared across classes by prefix filtering, which is exact: two sets at the similarity share
    a shingle among their rarest few. So no candidate of the bands is left out, and a large group of near copies costs a multiple of
@@ -117,10 +118,13 @@ def prob_min_hash(elements: np.ndarray, weights: np.ndarray, registers: int) ->
 
 
 def bands(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Bucket of each band."""
-    signature = prob_min_hash(elements, 1.0 + np.log(counts), BANDS * BAND_SIZE).reshape(BANDS, BAND_SIZE)
+    """Distinct buckets of the bands, by weights and, if they differ from it, by the plain set."""
     own = np.arange(1, BAND_SIZE + 1, dtype=np.uint64) * _BASE
-    return _mix(_mix(signature + own).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
+    found = []
+    for weights in [np.ones(len(elements)), *([1.0 + np.log(counts)] if (counts > 1).any() else [])]:
+        signature = prob_min_hash(elements, weights, BANDS * BAND_SIZE).reshape(BANDS, BAND_SIZE)
+        found.append(_mix(_mix(signature + own).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)))
+    return np.unique(np.concatenate(found).astype(np.int64))
 
 
 def node_key(elements: np.ndarray, counts: np.ndarray) -> bytes:

@@ -240,6 +240,25 @@ def test_a_large_group_of_near_copies(spark):
     assert rows(found, "doc_id", "class_id") == brute_classes(table)
 
 
+def test_near_copies_with_a_block_repeated_many_times(spark):
+    table = []
+    for i in range(30):
+        base = prose(900 + i, 100)
+        block = " ".join(base.split(" ")[20:45])
+        table += [(2 * i, base), (2 * i + 1, changed(base, 60) + f" {block}" * 1000)]
+    want = brute_classes(table)
+    assert [c for _, c in want] == [d - d % 2 for d, _ in want]
+    found = near_dedup.query(documents(spark, table))
+    assert rows(found, "doc_id", "class_id") == want
+
+
+def test_bands_of_a_node_are_distinct():
+    elements = np.random.default_rng(3).integers(0, 2**63, 50).astype(np.uint64)
+    plain = near_dedup.bands(elements, np.ones(50, dtype=np.int64))
+    repeated = near_dedup.bands(elements, np.r_[2, np.ones(49, dtype=np.int64)])
+    assert len(set(repeated.tolist())) == len(repeated) and set(plain.tolist()) <= set(repeated.tolist())
+
+
 def test_prob_min_hash_estimates_weighted_similarity():
     draw = np.random.default_rng(0)
     agree = []
