@@ -39,7 +39,8 @@ class WordTokenizer:
     """Token ids as bytes (unsigned 32 bit, little endian) of whole texts, remembering words it has met.
 
     The tokenizer splits a text before each single blank that is followed by a non-blank, around single newlines, and between a letter
-    and the signs behind it, so such parts always get the same ids. Texts with other white space go through it whole.
+    and the signs behind it, so such parts always get the same ids. Its added tokens, which hold no white space, stay within a part.
+    Texts with other white space go through it whole.
     """
 
     SIGNS = ".,;:!?"
@@ -49,7 +50,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 

@@ -327,6 +327,18 @@ def test_packing(spark):
     assert packing.query(documents(spark, [])).count() == 0
 
 
+def test_packing_knows_the_added_token(spark):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"a {end} b", f"a{end}b", f"a\n{end}\nb c", f"it is {end}. So, {end}, 'x", f"{end}'s {end}{end} y", f"a  {end}  b\n\n{end}", f"<|endof text|> {end}!"]
+    assert all(50256 in model.encode(t, add_special_tokens=False).ids for t in texts)
+    found = {r.doc_id: r.ids_crc32 for r in packing.query(documents(spark, list(enumerate(texts)))).collect()}
+    want = {i: np.asarray([*model.encode(t, add_special_tokens=False).ids, 2], dtype="<u4") for i, t in enumerate(texts)}
+    assert found == {i: zlib.crc32(ids.tobytes()) for i, ids in want.items()}
+
+
 def test_packing_with_ids(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     found = packing.pack_documents(documents(spark, [(1, prose(8, 900)), (2, "x")]), path, with_ids=True).collect()
