@@ -161,10 +161,15 @@ def build_template(
     granule_vars: DataFrame, granule_nodes: DataFrame, reference_url: str, config: CollectionConfig
 ) -> DataFrame:
     """Store template from one reference granule: its arrays and groups without volatile attributes,
-    the axis chunk widened, and the owner arrays added. Validate the other granules against it."""
+    the axis chunk widened, and the owner arrays added. Validate the other granules against it.
+
+    Arrays keep their ``codecs`` where ``granule_vars`` has that column.
+    """
     lifted, _ = flat_granules(granule_vars.filter(F.col("url") == reference_url), config)
     nodes = granule_nodes.filter(F.col("url") == reference_url).select("path", "attributes")
     empty = F.create_map().cast("map<string,string>")
+    none = F.array().cast("array<string>")
+    codecs = F.coalesce("codecs", none) if "codecs" in lifted.columns else none
     arrays = lifted.select(
         F.concat(F.lit("/"), "name").alias("path"),
         F.lit("array").alias("node_type"),
@@ -172,7 +177,7 @@ def build_template(
         "shape",
         "chunk_shape",
         F.col("fill_value").cast("string").alias("fill_value"),
-        F.array().cast("array<string>").alias("codecs"),
+        codecs.alias("codecs"),
         "dims",
     )
     root = nodes.filter(F.col("path") == "").select(

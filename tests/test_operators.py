@@ -229,3 +229,12 @@ def test_axes_are_compared_to_the_last_value(spark, tmp_path):
     assert sorted(r.vec_id for r in axes) == [2, 3]
     found = queries["granule_findings"](spark, str(tmp_path)).filter("check = 'coordinates' AND detail LIKE '%values'").collect()
     assert sorted(r.subject for r in found) == ["2", "3"]
+
+
+def test_template_keeps_codecs(spark):
+    h = tiny.headers_of(spark, tiny.first_granules()[:1])
+    held = F.when(F.col("name") == "weight", F.array(F.lit('{"name": "zlib"}')))
+    made = tmpl.build_template(h["vars"].withColumn("codecs", held), h["nodes"], tiny.url_of("granule_0"), tiny.CONFIG)
+    codecs = {r.path: r.codecs for r in made.filter("node_type = 'array'").collect()}
+    assert codecs.pop("/weight") == ['{"name": "zlib"}'] and len(codecs) > 2 and not any(codecs.values())
+    assert {r.path for r in tiny.template(spark).filter("size(codecs) > 0").collect()} == set()
