@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scanledger.llm import decontaminate, language_id, line_dedup, merkle, near_dedup, packing, pii, quality, token_counts, toxicity, url_filter, warc
+from scanledger.llm import decontaminate, language_id, line_dedup, merkle, near_dedup, packing, pii, quality, spelling, token_counts, toxicity, url_filter, warc
 from scanledger.llm.common import table
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     ),
     "op10_minhash_near_dedup": lambda spark, sf_dir: near_dedup.query(table(spark, sf_dir, "documents")),
     "op11_pii": lambda spark, sf_dir: pii.query(table(spark, sf_dir, "documents")),
+    "op12_spelling_variants": lambda spark, sf_dir: spelling.query(table(spark, sf_dir, "documents")),
     "op13_merkle_manifest": lambda spark, sf_dir: merkle.query(table(spark, sf_dir, "documents")),
 }
 ORACLES = {
@@ -27,5 +28,6 @@ ORACLES = {
     "op6_quality_rules": quality.ORACLE,
     "op9_benchmark_decontamination": decontaminate.ORACLE,
     "op11_pii": pii.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
