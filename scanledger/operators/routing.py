@@ -11,11 +11,15 @@ rules, first match wins:
 
 Only appends change what later arrivals see, so the state machine reduces to finding the appended
 rows; joins give every other outcome. A row can be appended only past the committed end and past
-every earlier *first* arrival of some UR (nothing can block those), which usually leaves few rows.
-Among these a row is appended if it exceeds the running maximum of the unblocked rows before it, and
-blocked if an earlier appended row carries its UR. Starting with nothing blocked and repeating the
-two steps makes at least one more row final per round, and stops at the one state in which both hold.
-No group is ever collected; without repeated URs the first round is already exact.
+every earlier *first* arrival of some UR (nothing can block those); those rows contend.
+
+The contenders are cut where nothing can cross: before a row whose time exceeds all earlier ones, if
+no UR has rows on both sides. Such a row is appended whatever happened before, so the pieces settle
+independently. A short piece is folded in its own row. A long one settles in rounds, all long ones
+at once: a row that is not its UR's first is taken as blocked if that first contends, rows that
+exceed the running maximum of the unblocked ones are appended, and who is blocked is looked up again.
+Up to the first row for which that differs everything is final; only what lies behind it, less the
+rows of URs that are placed and those not past the end, goes into another round.
 """
 
 from __future__ import annotations
@@ -25,51 +29,113 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanledger.operators.ordering import ordered_running_max
+from scanledger.operators.ordering import ordered_running_max, ordered_running_sum
 from scanledger.operators.slots import assign_slots, upsert_pending
 from scanledger.session import lookup, pin
 
 WRITTEN, DEFERRED, REJECTED = "written", "deferred", "rejected"
 
+# Rows of a piece of the arrival order that are gone through in one array.
+FOLD_ROWS = 1_000
 
-def _appended(candidates: DataFrame, order: Sequence[str], target_rows: int | None) -> DataFrame:
-    """The candidates that are appended, as (collection, granule_ur, time, _ord)."""
-    keys = ["collection", "granule_ur"]
-    # read several times below, and the outcome of joins with the axis: written once
-    rows = pin(candidates.select(*keys, "time", *order).withColumn("_ord", F.struct(*order)))
-    firsts = rows.groupBy(*keys).agg(F.min("_ord").alias("_first"))
-    marked = rows.join(firsts, keys)
-    first_time = F.when(F.col("_ord") == F.col("_first"), F.col("time"))
-    low = ordered_running_max(
-        marked, ["collection"], order, first_time, "_low", target_rows=target_rows, sized_by=rows
-    )
-    contenders = pin(
-        low.filter(F.col("_low").isNull() | (F.col("time") > F.col("_low"))).select(
-            *keys, "time", *order, "_ord", F.lit(False).alias("_blocked")
-        )
+
+_PLACED = ["collection", "granule_ur", "time", "_ord"]
+
+
+def _contenders(rows: DataFrame, group: Sequence[str], order: Sequence[str], target_rows: int | None) -> DataFrame:
+    """Rows past ``_floor`` and past every earlier first arrival of a UR, with ``_first``: whether they are one."""
+    firsts = rows.groupBy(*group, "granule_ur").agg(F.min("_ord").alias("_head"))
+    marked = rows.join(firsts, [*group, "granule_ur"]).withColumn("_first", F.col("_ord") == F.col("_head")).drop("_head")
+    low = ordered_running_max(marked, group, order, F.when(F.col("_first"), F.col("time")), "_low", target_rows=target_rows, sized_by=rows)
+    past = [F.col(c).isNull() | (F.col("time") > F.col(c)) for c in ("_low", "_floor")]
+    return low.filter(past[0] & past[1]).drop("_low")
+
+
+def _pieces(contenders: DataFrame, order: Sequence[str], target_rows: int | None) -> DataFrame:
+    """Contenders with the number of their piece and its size."""
+    lasts = contenders.groupBy("collection", "granule_ur").agg(F.max("_ord").alias("_last"))
+    spans = contenders.join(lasts, ["collection", "granule_ur"])
+    for value, name in (("time", "_top"), ("_last", "_open")):
+        spans = ordered_running_max(spans, ["collection"], order, value, name, target_rows=target_rows, sized_by=contenders)
+    # nobody before it is as late, and no name of those before it comes again
+    cut = F.coalesce((F.col("time") > F.col("_top")) & (F.col("_open") < F.col("_ord")), F.lit(False))
+    counted = ordered_running_sum(spans.withColumn("_cut", cut.cast("long")), ["collection"], order, "_cut", "_before", target_rows)
+    numbered = pin(
+        counted.withColumn("_piece", (F.col("_before") + F.col("_cut")).cast("long")).select(*contenders.columns, "_piece")
     )
-    repeated = contenders.groupBy(*keys).count().filter("count > 1").limit(1).count() > 0
-    while True:
+    sizes = numbered.groupBy("collection", "_piece").agg(F.count(F.lit(1)).alias("_size"))
+    return numbered.join(sizes, ["collection", "_piece"])
+
+
+def _folded(short: DataFrame) -> DataFrame:
+    """The appended rows of pieces of at most ``FOLD_ROWS`` rows: one array each, gone through in order."""
+    entry = F.struct("_ord", "granule_ur", "time")
+    held = short.groupBy("collection", "_piece").agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
+    kind = held.schema["_rows"].dataType.simpleString()
+    start = F.struct(F.lit(None).cast("double").alias("end"), F.array().cast("array<string>").alias("names"), F.array().cast(kind).alias("placed"))
+
+    def step(state: Column, row: Column) -> Column:
+        free = (state["end"].isNull() | (row["time"] > state["end"])) & ~F.array_contains(state["names"], row["granule_ur"])
+        return F.when(
+            free,
+            F.struct(
+                row["time"].alias("end"), F.array_append(state["names"], row["granule_ur"]).alias("names"),
+                F.array_append(state["placed"], row).alias("placed"),
+            ),
+        ).otherwise(state)
+
+    placed = F.aggregate("_rows", start, step)["placed"]
+    return held.select("collection", F.explode(placed).alias("_p")).select("collection", "_p.granule_ur", "_p.time", "_p._ord")
+
+
+def _settled(long: DataFrame, order: Sequence[str], target_rows: int | None) -> DataFrame | None:
+    """The appended rows of long pieces, None if there are none; each round is written once and looks at what is still open only."""
+    group, found = ["collection", "_piece"], None
+    names = [*group, "granule_ur"]
+    tail = pin(long)
+    while not tail.isEmpty():
+        rows = _contenders(tail, group, order, target_rows)
+        heads = rows.filter("_first").select(*names, F.lit(True).alias("_headed"))
+        guess = rows.join(heads, names, "left").withColumn("_blocked", ~F.col("_first") & F.coalesce("_headed", F.lit(False))).drop("_headed")
         free = F.when(~F.col("_blocked"), F.col("time"))
-        top = ordered_running_max(contenders, ["collection"], order, free, "_top", target_rows=target_rows)
-        appended = top.filter(
-            ~F.col("_blocked") & (F.col("_top").isNull() | (F.col("time") > F.col("_top")))
-        ).select(*keys, "time", "_ord")
-        if not repeated:
-            return appended
-        owner = appended.groupBy(*keys).agg(F.min("_ord").alias("_owner"))
-        nxt = pin(
-            contenders.join(owner, keys, "left").withColumn(
-                "_now", F.coalesce(F.col("_owner") < F.col("_ord"), F.lit(False))
-            ).drop("_owner")
+        top = ordered_running_max(guess, group, order, free, "_top", target_rows=target_rows, sized_by=tail)
+        past = F.col("_top").isNull() | (F.col("time") > F.col("_top"))
+        tried = pin(top.withColumn("_placed", ~F.col("_blocked") & past).drop("_top"))
+        owners = tried.filter("_placed").groupBy(*names).agg(F.min("_ord").alias("_owner"))
+        met = tried.join(owners, names, "left")
+        wrong = F.coalesce(F.col("_owner") < F.col("_ord"), F.lit(False)) != F.col("_blocked")
+        ends = met.groupBy(*group).agg(F.min(F.when(wrong, F.col("_ord"))).alias("_until"))
+        judged = pin(met.join(ends, group))
+        final = F.col("_until").isNull() | (F.col("_ord") < F.col("_until"))
+        placed = judged.filter(F.col("_placed") & final)
+        found = placed.select(*_PLACED) if found is None else found.unionByName(placed.select(*_PLACED))
+        floors = placed.groupBy(*group).agg(F.max("time").alias("_end"))
+        open_rows = judged.filter(~final & ~F.coalesce(F.col("_owner") < F.col("_until"), F.lit(False)))
+        tail = pin(
+            open_rows.join(floors, group, "left").withColumn("_floor", F.greatest("_floor", "_end"))
+            .filter(F.col("_floor").isNull() | (F.col("time") > F.col("_floor"))).select(*long.columns)
         )
-        if nxt.filter(F.col("_now") != F.col("_blocked")).limit(1).count() == 0:
-            return appended
-        contenders = nxt.drop("_blocked").withColumnRenamed("_now", "_blocked")
+    return found
+
+
+def _appended(candidates: DataFrame, order: Sequence[str], target_rows: int | None, fold_rows: int) -> DataFrame:
+    """The candidates that are appended, as (collection, granule_ur, time, _ord)."""
+    rows = candidates.select("collection", "granule_ur", "time", *order, F.lit(None).cast("double").alias("_floor"))
+    # read several times below, and the outcome of joins with the axis: written once
+    rows = pin(rows.withColumn("_ord", F.struct(*order)))
+    contenders = pin(_contenders(rows, ["collection"], order, target_rows))
+    repeated = contenders.groupBy("collection", "granule_ur").count().filter("count > 1")
+    if repeated.isEmpty():
+        top = ordered_running_max(contenders, ["collection"], order, "time", "_top", target_rows=target_rows)
+        return top.filter(F.col("_top").isNull() | (F.col("time") > F.col("_top"))).select(*_PLACED)
+    pieces = pin(_pieces(contenders.drop("_first"), order, target_rows))
+    short = _folded(pieces.filter(F.col("_size") <= fold_rows))
+    settled = _settled(pieces.filter(F.col("_size") > fold_rows).drop("_size"), order, target_rows)
+    return short if settled is None else short.unionByName(settled)
 
 
 def route_arrivals(
-    arrivals: DataFrame, slots: DataFrame, order: Sequence[str], target_rows: int | None = None
+    arrivals: DataFrame, slots: DataFrame, order: Sequence[str], target_rows: int | None = None, fold_rows: int = FOLD_ROWS
 ) -> DataFrame:
     """Add ``outcome``, ``action`` and ``reason`` to every arrival.
 
@@ -88,7 +154,7 @@ def route_arrivals(
         .filter(past_end)
         .join(slots.select(*ur), ur, "left_anti")
     )
-    appended = pin(_appended(candidates, order, target_rows))
+    appended = pin(_appended(candidates, order, target_rows, fold_rows))
     since = appended.schema["_ord"].dataType
     committed = slots.select(*ur, "time", F.lit(None).cast(since).alias("_ord"))
     axis = committed.unionByName(appended)

@@ -72,6 +72,55 @@ def test_chain_of_blocked_granules(spark):
     assert outcomes_of(routing.route_arrivals(a, s, ["delivery"])) == model(arrivals, [])
 
 
+def chain(names):
+    """A10 A20 B17 B27 C24 C34 ...: whether a name's first row is appended depends on the name before it."""
+    return [(2 * i + k, "a", f"u{i:03d}", "x.nc", 10.0 + 7 * i + 10 * k, True) for i in range(names) for k in (0, 1)]
+
+
+def tangle(names, delivery=0, start=0.0):
+    """Every name's first row comes too late to be appended because the one before it was appended by its second."""
+    rows = [("v", 10.0), ("w", 3.0), ("w", 12.0)]
+    for i in range(names):
+        rows += [(f"t{i}", 11.5 + i), (f"t{i}", 13.0 + i)]
+    return [(delivery + i, "a", f"{start}{ur}", "x.nc", start + time, True) for i, (ur, time) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("fold_rows", [0, 1_000])
+def test_long_chains_take_as_many_checkpoints_as_short_ones(spark, monkeypatch, fold_rows):
+    made = []
+    monkeypatch.setattr(routing, "pin", lambda df: made.append(1) or pin(df))
+    counts = {}
+    for names in (16, 64):
+        a, s = frames(spark, chain(names), [])
+        made.clear()
+        assert outcomes_of(routing.route_arrivals(a, s, ["delivery"], fold_rows=fold_rows)) == model(chain(names), [])
+        counts[names] = len(made)
+    assert counts[16] == counts[64] <= 12
+
+
+def test_rounds_settle_all_pieces_at_once(spark, monkeypatch):
+    """Ten tangles behind each other take as many rounds as one."""
+    made = []
+    monkeypatch.setattr(routing, "pin", lambda df: made.append(1) or pin(df))
+    counts = {}
+    for times in (1, 10):
+        arrivals = [row for i in range(times) for row in tangle(4, 100 * i, 1000.0 * i)]
+        a, s = frames(spark, arrivals, [])
+        made.clear()
+        assert outcomes_of(routing.route_arrivals(a, s, ["delivery"], fold_rows=0)) == model(arrivals, [])
+        counts[times] = len(made)
+    assert counts[1] == counts[10]
+
+
+@pytest.mark.parametrize("fold_rows", [0, 6])
+def test_random_repeats(spark, fold_rows):
+    rnd = random.Random(fold_rows)
+    arrivals = [(i, rnd.choice("aab"), f"u{rnd.randint(0, 9) + i // 12}", "x.nc", float(i // 3 + rnd.randint(0, 9)), True) for i in range(150)]
+    a, s = frames(spark, arrivals, [("a", 3.0, "u0")])
+    assert outcomes_of(routing.route_arrivals(a, s, ["delivery"], fold_rows=fold_rows)) == model(arrivals, [("a", 3.0, "u0")])
+    assert outcomes_of(routing.route_arrivals(a, s, ["delivery"], 20, fold_rows)) == model(arrivals, [("a", 3.0, "u0")])
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 5), st.integers(0, 12)), min_size=1, max_size=25))
 def test_any_batch(spark, drawn):
