@@ -1,6 +1,6 @@
 """Best-fit packing by a configuration linear program over the histogram of piece lengths.
 
-1. Tasks tokenize whole texts and cut only documents above the capacity; each piece keeps its length and a checksum.
+1. Tasks tokenize whole texts, keeping nothing between them, and cut only documents above the capacity; each piece keeps its length and a checksum.
 2. One aggregate gives the histogram, at most ``capacity`` rows whatever the input's size; only that reaches the driver.
 3. The driver solves the covering program over configurations (multisets of lengths that fit one sequence): multiplicative weights
    price the lengths, a knapsack dynamic program finds the best configuration at those prices, the averaged solution is rounded down,
@@ -13,9 +13,10 @@ Pieces that agree in all columns are interchangeable.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -28,91 +29,61 @@ from scanledger.llm.common import with_python, written
 
 CAPACITY = 1024
 END_ID = 2
-CACHED_WORDS = 400_000  # per Python worker, twice: the older half goes when the newer one is full
-GROUP_CHARS = 1_000_000
 RANK_BUCKET = 50_000  # pieces of one length that one task ranks, about
+OWN_ROW = "own_row_"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordTokenizer:
-    """Token ids as bytes (unsigned 32 bit, little endian) of whole texts, remembering words it has met.
+# Fixed value: how byte-level tokenizers split a text before merging.
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    The tokenizer splits a text before each single blank that is followed by a non-blank, around single newlines, and between a letter
-    and the signs behind it, so such parts always get the same ids. Its added tokens, which hold no white space, stay within a part.
-    Texts with other white space go through it whole.
-    """
 
-    SIGNS = ".,;:!?"
+def _byte_of() -> dict[str, int]:
+    """The bytes that the letters of a byte-level vocabulary stand for: visible Latin-1 ones for themselves, the others from 256 on."""
+    visible = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the work
-        from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        encode = self.model.encode
-        return [np.asarray(encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() for text in texts]
-
-    def _learn(self, words: set[str]) -> None:
-        known, older = self.known, self.older
-        if len(known) + len(words) > CACHED_WORDS:
-            self.older, self.known = older, known = known, {}
-            words = set(words)
-        parts: dict[str, tuple[str, str]] = {}
-        new = []
-        for w in words:
-            core = w.rstrip(self.SIGNS)
-            if core is not w and core.lstrip(" ").isalpha():
-                parts[w] = core, w[len(core) :]
-        for w in words.difference(parts).union(*parts.values()).difference(known):
-            if (ids := older.get(w)) is None:
-                new.append(w)
-            else:
-                known[w] = ids
-        known.update(zip(new, self._raw(new), strict=True))
-        for w, (core, signs) in parts.items():
-            known[w] = known[core] + known[signs]
-
-    def _parts(self, text: str) -> list[str] | None:
-        """What the text may be cut into, None if it must go whole."""
-        if (
-            not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
-            or not text.replace("\n", " ").isprintable()  # other white space isn't printable
-        ):
-            return None
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._parts(text) for text in texts]
-        met = set().union(*filter(None, cut))
-        if new := met.difference(self.known):
-            self._learn(met if len(self.known) + len(new) > CACHED_WORDS else new)
-        known = self.known
-        return [
-            (self._raw([text])[0] if text else b"") if parts is None else b"".join([known[w] for w in parts])
-            for text, parts in zip(texts, cut, strict=True)
-        ]
-
-    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """In groups of about a million characters, so that new words go to the tokenizer together."""
-        group, size = [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text)
-            if size > GROUP_CHARS:
-                yield from self.encode(group)
-                group, size = [], 0
-        yield from self.encode(group)
+def _as_ranks(spec: dict) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """Byte pieces by rank and the added tokens of a tokenizer file, None if it isn't a plain byte-level one whose ids are its merge order."""
+    model, split, added = spec["model"], spec["pre_tokenizer"] or {}, spec["added_tokens"]
+    plain = (
+        model["type"] == "BPE" and spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex")
+        and not split.get("add_prefix_space")
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback"))
+        and not any(a[k] for a in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    )
+    if not plain:
+        return None
+    special, vocabulary, letters = {a["content"]: a["id"] for a in added}, model["vocab"], _byte_of()
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged != sorted(merged) or any(c not in letters for piece in vocabulary.keys() - special for c in piece):
+        return None
+    return {bytes(letters[c] for c in piece): i for piece, i in vocabulary.items() if piece not in special}, special
 
 
 @cache
-def word_tokenizer(path: str) -> WordTokenizer:
-    """One for each Python worker, which serves many tasks."""
-    return WordTokenizer(path)
+def text_encoder(path: str) -> Callable[[str], bytes]:
+    """Token ids of a text as bytes (unsigned 32 bit, little endian). One for each Python worker; it keeps nothing of the texts.
+
+    A plain byte-level file is read as ranks of byte pieces, which gives the same ids in a third of the time; any other one goes
+    through its own tokenizer.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the work
+    with open(path, encoding="utf-8") as file:
+        found = _as_ranks(json.load(file))
+    if found is None:
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(path)
+        return lambda text: np.asarray(model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    from tiktoken import Encoding
+
+    ranks, special = found
+    ranked_model = Encoding(os.path.basename(path), pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: ranked_model.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int]]:
@@ -135,13 +106,12 @@ def token_pieces(
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokenizer(tokenizer)
+        encode = text_encoder(tokenizer)
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), [[], [], [], [], []]
             tokens: list[list[int]] = []
-            texts = (body.as_py() or "" for body in batch.column(1))
-            for key, own in zip(ids, words.encode_all(texts), strict=True):
-                encoded = own + end
+            for key, body in zip(ids, batch.column(1), strict=True):
+                encoded = encode(body.as_py() or "") + end
                 for piece, (start, length) in enumerate(cut(encoded, capacity)):
                     part = encoded[4 * start : 4 * (start + length)]
                     for column, value in zip(rows, (key, piece, start, length, zlib.crc32(part)), strict=True):
@@ -289,9 +259,13 @@ def _places(configs: list[tuple[Config, int]]) -> dict[int, tuple[np.ndarray, ..
 
 
 def ranked(pieces: DataFrame, total: int) -> DataFrame:
-    """``rank`` (from 0) of each piece among those of its length. A frequent length is cut into hash buckets, each ranked by itself."""
+    """``rank`` (from 0) of each piece among those of its length. A frequent length is cut into hash buckets, each ranked by itself.
+
+    Pieces with a number of their own (``own_row_``, stable) are dealt out by it, so that equal ones don't share a bucket.
+    """
     buckets = max(1, -(-total // RANK_BUCKET))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    by = [c for c in ("doc_id", "piece", "ids_crc32", OWN_ROW) if c in pieces.columns]
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(*by), F.lit(buckets))).drop(OWN_ROW)
     before = (
         dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
         .withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n"))
@@ -332,12 +306,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     schema = T.StructType([
         *(f for f in dealt.schema.fields if f.name != "rank"), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
     ])
-    return dealt.mapInArrow(place, schema).select(*pieces.columns, "sequence_id", "offset")
+    return dealt.mapInArrow(place, schema).select(*(c for c in pieces.columns if c != OWN_ROW), "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Tokenize ``docs`` (doc_id, text), cut and pack."""
-    return pack(written(token_pieces(docs, tokenizer, capacity, end_id, with_ids=with_ids), "pieces"), capacity)
+    pieces = token_pieces(docs, tokenizer, capacity, end_id, with_ids=with_ids)
+    return pack(written(pieces.withColumn(OWN_ROW, F.monotonically_increasing_id()), "pieces"), capacity)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -304,8 +304,7 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
-    odd = ["a  b", " a", "a ", "a\n\nb", "it's 1,2 3.5 a.\nB\n\nC d\n", "tab\tand nbsp\xa0x", "'s 't, 'll. x'\ny", "q.\nThe cat,\nno", "end\n", "\u3000x y"]
+    odd = ["a  b", " a", "a ", "a\n\nb", "it's 1,2 3.5 a.\nB\n\nC d\n", "tab\tand nbsp\xa0x", "'s 't, 'll. x'\ny", "q.\nThe cat,\nno", "end\n", "\u3000x y", "<|endoftext|> x"]
     table = [*EDGES, *((500 + i, t) for i, t in enumerate(odd)), (600, prose(8, 1200)), (601, "")]
     found = packing.query(with_clashes(documents(spark, table))).collect()
     want, pieces = [], {}
@@ -327,6 +326,36 @@ def test_packing(spark):
     assert packing.query(documents(spark, [])).count() == 0
 
 
+def test_encoder_gives_the_ids_of_the_file():
+    """Every code point, and texts of what tokenizers treat specially, against the tokenizer itself."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model, encode = Tokenizer.from_file(path), packing.text_encoder(path)
+    same = lambda t: np.frombuffer(encode(t), dtype="<u4").tolist() == model.encode(t, add_special_tokens=False).ids
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 1000):
+        assert same("\n".join(f"a{c}1 {c}b{c}{c}.{c} {c}" for c in map(chr, points[at : at + 1000]))), hex(points[at])
+    draw = random.Random(2)
+    parts = [*"ab Z09 \n\t\r.,'’—é漢\xa0\u2028\u200b\u3000\x85\x1cć\U0001f600ſ", "<|endoftext|>", "<|endoftext", "'s", "'LL", "don't", "  ", "\n\n"]
+    assert all(same("".join(draw.choice(parts) for _ in range(draw.randint(0, 30)))) for _ in range(20_000))
+    assert same("a" * 30_000) and same(LONG)
+
+
+def test_other_files_go_through_their_own_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = Tokenizer.from_file(path).encode("Some Words, twice", add_special_tokens=False).ids
+    assert np.frombuffer(packing.text_encoder(path)("Some Words, twice"), dtype="<u4").tolist() == ids
+
+
+def test_equal_pieces_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_BUCKET", 10)
+    found = packing.query(documents(spark, [(None, "same")] * 100)).collect()
+    assert len({(r.sequence_id, r.offset) for r in found}) == 100
+
+
 def test_packing_knows_the_added_token(spark):
     from tokenizers import Tokenizer
 
