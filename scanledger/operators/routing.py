@@ -29,8 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanledger.operators.ordering import ordered_running_max, ordered_running_sum
-from scanledger.operators.slots import assign_slots, upsert_pending
+from scanledger.operators.ordering import ordered_position, ordered_running_max, ordered_running_sum
+from scanledger.operators.slots import upsert_pending
 from scanledger.session import lookup, pin
 
 WRITTEN, DEFERRED, REJECTED = "written", "deferred", "rejected"
@@ -202,32 +202,43 @@ def last_written(routed: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def sync_slots(
+def axis_changes(
     slots: DataFrame, routed: DataFrame, order: Sequence[str], stage: str | None = None, target_rows: int | None = None
 ) -> DataFrame:
-    """The axis after a batch: appended slots added, owners' urls refreshed, positions renewed.
+    """The axis rows that a batch changes: appended ones, numbered on from the axis' end, and those written over.
 
-    Written slots name ``stage`` as the write that holds their references.
+    Their number is that of the written granules, whatever the length of the axis. They name ``stage`` as the write that
+    holds their references.
     """
-    written = last_written(routed, order).select(
-        "collection", "granule_ur", F.col("url").alias("_url")
-    )
-    added = (
-        routed.filter(F.col("action") == "append")
-        .select(
-            "collection", "time", "granule_ur", F.col("url").alias("granule_url"), F.lit(None).cast("string").alias("ref_stage")
-        )
-    )
-    kept = slots.select("collection", "time", "granule_ur", "granule_url", "ref_stage")
-    entries = kept.unionByName(added)
-    out = entries.join(written, ["collection", "granule_ur"], "left").withColumn(
-        "ref_stage", F.when(F.col("_url").isNotNull(), F.lit(stage)).otherwise(F.col("ref_stage"))
-    ).withColumn("granule_url", F.coalesce("_url", "granule_url"))
-    return assign_slots(out.drop("_url"), target_rows, entries).select(
-        "collection", "slot", "time", "granule_ur", "granule_url", "ref_stage"
+    keys = ["collection", "granule_ur"]
+    written = last_written(routed, order)
+    appended = routed.filter(F.col("action") == "append").select(*keys, "time")
+    ends = lookup(slots.groupBy("collection").agg(F.max("slot").alias("_end")))
+    ranked = ordered_position(appended, ["collection"], ["time"], "_rank", target_rows).join(ends, "collection", "left")
+    number = (F.coalesce(F.col("_end") + 1, F.lit(0)) + F.col("_rank")).cast(slots.schema["slot"].dataType)
+    new = ranked.select(*keys, "time", number.alias("slot"))
+    over = slots.select(*keys, "time", "slot").join(lookup(written.select(*keys)), keys, "left_semi")
+    urls = written.select(*keys, F.col("url").alias("granule_url"))
+    return new.unionByName(over).join(urls, keys).select(
+        "collection", "slot", "time", "granule_ur", "granule_url", F.lit(stage).cast("string").alias("ref_stage")
     )
 
 
+def with_changes(slots: DataFrame, changes: DataFrame) -> DataFrame:
+    """The axis that ``changes`` (one row a slot) make of ``slots``; unchanged rows are not moved while the changes are few."""
+    few = lookup(changes, pinned=False)
+    kept = slots.join(few.select("collection", "slot"), ["collection", "slot"], "left_anti")
+    columns = ["collection", "slot", "time", "granule_ur", "granule_url", "ref_stage"]
+    return kept.select(*columns).unionByName(changes.select(*columns))
+
+
+def sync_slots(
+    slots: DataFrame, routed: DataFrame, order: Sequence[str], stage: str | None = None, target_rows: int | None = None
+) -> DataFrame:
+    """The axis after a batch: appended slots added, owners' urls refreshed; no position of a committed slot changes."""
+    return with_changes(slots, pin(axis_changes(slots, routed, order, stage, target_rows)))
+
+
 def ledger_after(pending: DataFrame, routed: DataFrame, seq: str) -> DataFrame:
     """The pending ledger after a batch; ``seq`` is the delivery number of an arrival."""
     deferred = routed.filter(F.col("outcome") == DEFERRED).select(

@@ -9,7 +9,8 @@ table format with optimistic commits for the markers.
 
 References are stored by granule, not by slot: a slot row names its granule and the stage that
 wrote its references (``ref_stage``). Appends and overwrites therefore add only their own
-references, and a re-sort writes no reference of the granules it moves.
+references, and a re-sort writes no reference of the granules it moves. A forward batch writes only the
+axis rows it changes; readers lay the changes of up to ``MAX_CHANGES`` stages over a whole axis.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanledger import schema
 from scanledger.operators.findings import InvalidData, require_valid
+from scanledger.operators.routing import with_changes
 from scanledger.operators.validate import validate_inventory
 from scanledger.session import lookup
 
@@ -68,6 +71,10 @@ def create_exclusive(spark: SparkSession, text: str, content: str) -> bool:
     return True
 
 
+# Changed rows of the axis are gathered from so many stages at most; then the axis is written anew.
+MAX_CHANGES = 20
+AXIS_PARTS = "ordinal int, part string"
+
 MARKER = "number int, stage string, kind string, batches map<string,bigint>"
 
 
@@ -171,8 +178,36 @@ class Store:
     def _table(self, stage: str, name: str, ddl: str) -> DataFrame:
         return self.spark.read.schema(ddl).parquet(f"{self.base}/stages/{stage}/{name}")
 
+    def _axis_parts(self, version: Version) -> list[str]:
+        """Stages that make up a version's axis: a whole one, then at most ``MAX_CHANGES`` with changes to it."""
+        path = f"{self.base}/stages/{version.stage}/axis"
+        if not path_exists(self.spark, path):
+            return [version.stage]
+        return [r.part for r in self.spark.read.schema(AXIS_PARTS).json(path).orderBy("ordinal").collect()]
+
     def slots(self, version: Version) -> DataFrame:
-        return self._table(version.stage, "slots", schema.SLOTS)
+        whole, *later = self._axis_parts(version)
+        axis = self._table(whole, "slots", schema.SLOTS)
+        if not later:
+            return axis
+        changes = [self._table(part, "changes", schema.SLOTS).withColumn("_ordinal", F.lit(i)) for i, part in enumerate(later)]
+        newest = reduce(DataFrame.unionByName, changes).groupBy("collection", "slot").agg(
+            F.max_by(F.struct("time", "granule_ur", "granule_url", "ref_stage"), "_ordinal").alias("_row")
+        )
+        return with_changes(axis, newest.select("collection", "slot", "_row.*"))
+
+    def changes(self, stage: str) -> DataFrame:
+        return self._table(stage, "changes", schema.SLOTS)
+
+    def write_changes(self, stage: str, changes: DataFrame, pinned: Version) -> None:
+        """The axis of ``pinned`` with changes: only those are written, or a whole axis once ``MAX_CHANGES`` have gathered."""
+        self.write_table(stage, "changes", changes)
+        parts = self._axis_parts(pinned)
+        if len(parts) > MAX_CHANGES:
+            self.write_table(stage, "slots", with_changes(self.slots(pinned), self.changes(stage)))
+            return
+        rows = list(enumerate([*parts, stage]))
+        self.spark.createDataFrame(rows, AXIS_PARTS).coalesce(1).write.json(f"{self.base}/stages/{stage}/axis")
 
     def read_inventory(self, version: Version, collection: str) -> DataFrame | None:
         """The axis of a collection as inventory rows, checked on reading; None while it is empty."""
@@ -235,9 +270,11 @@ class Store:
         ).write.mode("errorifexists").partitionBy("collection", "variable").parquet(f"{self.base}/refs/stage={stage}")
 
     def write_state(
-        self, stage: str, slots: DataFrame, pending: DataFrame, meta: DataFrame, retries: DataFrame | None = None
+        self, stage: str, slots: DataFrame | None, pending: DataFrame, meta: DataFrame, retries: DataFrame | None = None
     ) -> None:
-        self.write_table(stage, "slots", slots)
+        """State of a version; ``slots`` is None where ``write_changes`` has written the axis."""
+        if slots is not None:
+            self.write_table(stage, "slots", slots)
         self.write_table(stage, "pending", pending)
         self.write_table(stage, "meta", meta)
         empty = self.spark.createDataFrame([], schema.RETRIES)
@@ -302,7 +339,8 @@ class Store:
         return len(old)
 
     def _needed_stages(self, kept: list[Version]) -> DataFrame:
-        own = self.spark.createDataFrame([(v.stage, "state") for v in kept], "stage string, kind string")
+        state = {part for v in kept for part in (v.stage, *self._axis_parts(v))}
+        own = self.spark.createDataFrame([(part, "state") for part in sorted(state)], "stage string, kind string")
         for version in kept:
             named = self.slots(version).select(F.col("ref_stage").alias("stage"), F.lit("refs").alias("kind"))
             own = own.unionByName(named.filter(F.col("stage").isNotNull()).distinct())

@@ -11,23 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger import schema
 from scanledger.config import CollectionConfig
 from scanledger.functions import expressions as x
 from scanledger.operators.findings import require_valid
 from scanledger.operators.ordering import ordered_position
 from scanledger.operators.routing import (
     WRITTEN,
+    axis_changes,
     last_written,
     ledger_after,
     retries_after,
     route_arrivals,
-    sync_slots,
 )
 from scanledger.operators.validate import validate_inventory
 from scanledger.plans.backfill import _of, header_findings
 from scanledger.plans.store import Store, Version, VersionMoved
-from scanledger.session import pin
+from scanledger.session import lookup, pin
 from scanledger.sources.messages import read_messages
 
 # url order within a batch; id and body only make it total
@@ -64,6 +63,16 @@ def parse_batch(messages: DataFrame, headers: dict[str, DataFrame], template: Da
     )
 
 
+def changed_tail(slots: DataFrame, changes: DataFrame) -> DataFrame:
+    """What a batch can have spoiled: changed rows, the last committed one, and committed ones that name an appended granule."""
+    ends = slots.groupBy("collection").agg(F.max("slot").alias("_end"))
+    appended = changes.join(ends, "collection", "left").filter(F.col("_end").isNull() | (F.col("slot") > F.col("_end"))).drop("_end")
+    again = slots.join(lookup(appended.select("collection", "granule_ur")), ["collection", "granule_ur"], "left_semi")
+    last = slots.join(lookup(ends), "collection").filter(F.col("slot") == F.col("_end")).drop("_end")
+    beside = again.unionByName(last).distinct().join(lookup(changes.select("collection", "slot")), ["collection", "slot"], "left_anti")
+    return beside.unionByName(changes)
+
+
 def process_batch(
     store: Store,
     messages: DataFrame,
@@ -89,12 +98,12 @@ def process_batch(
     # a message delivered twice within one batch counts once
     incoming = delivered.groupBy("message_id", "body").agg(F.max("attempts").alias("attempts"))
     arrivals = pin(parse_batch(incoming, headers, template, coordinates, config))
-    slots, pending = store.slots(pinned), store.pending(pinned)
+    slots, pending = _of(store.slots(pinned), config.collection), store.pending(pinned)
     routed = route_arrivals(arrivals, slots, ORDER, target_rows)
     routed = pin(ordered_position(routed, ["collection"], ORDER, "delivery", target_rows))
 
     stage = store.new_stage()
-    axis = sync_slots(slots, routed, ORDER, stage, target_rows)
+    changes = axis_changes(slots, routed, ORDER, stage, target_rows)
     # deliveries of a batch come after those of earlier ones
     numbered = routed.withColumn("seq", F.lit(batch_id).cast("long") * (1 << 32) + F.col("delivery"))
     ledger = ledger_after(pending, numbered, "seq")
@@ -106,15 +115,13 @@ def process_batch(
     store.write_refs(stage, refs)
     others = rejected.filter(F.col("collection") != config.collection)
     waiting = others.unionByName(retry.select("collection", "message_id", "body", "attempts"))
-    store.write_state(stage, axis, ledger, store.meta(pinned), waiting)
+    store.write_changes(stage, changes, pinned)
+    store.write_state(stage, None, ledger, store.meta(pinned), waiting)
     dead.select("collection", "message_id", "body", "attempts", "reason").write.mode("errorifexists").parquet(
         f"{store.base}/dead/stage={stage}"
     )
-    staged = store._table(stage, "slots", schema.SLOTS)
-    require_valid(
-        validate_inventory(staged.withColumnRenamed("granule_url", "url"), position="slot", target_rows=target_rows),
-        "axis after the batch",
-    )
+    tail = changed_tail(slots, store.changes(stage)).withColumnRenamed("granule_url", "url")
+    require_valid(validate_inventory(tail, position="slot", target_rows=target_rows), "axis after the batch")
     return store.publish(stage, pinned, "forward", (config.collection, stream, batch_id))
 
 

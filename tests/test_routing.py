@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scanledger import schema
 from scanledger.operators import routing, slots as axis_ops
 from scanledger.session import pin
+from scanledger.streaming.forward import changed_tail
 
 ARRIVAL = "delivery long, collection string, granule_ur string, url string, time double, valid boolean"
 
@@ -164,3 +165,23 @@ def test_failed_commit_reports_every_message(spark):
     routed = spark.createDataFrame([("m1", "written"), ("m2", "rejected")], "message_id string, outcome string")
     assert [r.message_id for r in routing.batch_result(routed).collect()] == ["m2"]
     assert routing.batch_result(routed, committed=False).count() == 2
+
+
+def test_a_batch_writes_only_the_rows_it_changes(spark):
+    """Ten arrivals on an axis of a million slots: ten rows, the same axis as numbering everything again."""
+    slots = pin(spark.range(1_000_000).select(
+        F.lit("a").alias("collection"), F.col("id").cast("int").alias("slot"), F.col("id").cast("double").alias("time"),
+        F.concat(F.lit("s"), "id").alias("granule_ur"), F.lit("old").alias("granule_url"), F.lit("first").alias("ref_stage"),
+    ))
+    arrivals = [(i, "a", f"n{i}", "new", 1_000_000.0 + i, True) for i in range(8)]
+    arrivals += [(8, "a", "s5", "again", 5.0, True), (9, "a", "s77", "again", 77.0, True), (10, "b", "n0", "new", 3.0, True)]
+    routed = pin(routing.route_arrivals(spark.createDataFrame(arrivals, ARRIVAL), slots, ["delivery"]))
+    changes = pin(routing.axis_changes(slots, routed, ["delivery"], "second"))
+    assert sorted((r.collection, r.slot, r.granule_ur, r.granule_url, r.ref_stage) for r in changes.collect()) == sorted(
+        [("a", 1_000_000 + i, f"n{i}", "new", "second") for i in range(8)]
+        + [("a", 5, "s5", "again", "second"), ("a", 77, "s77", "again", "second"), ("b", 0, "n0", "new", "second")]
+    )
+    axis = routing.with_changes(slots, changes)
+    assert axis.count() == 1_000_009 and axis.filter("ref_stage = 'first'").count() == 999_998
+    tail = changed_tail(slots, changes)
+    assert tail.count() == 12  # the changed rows and the last committed one

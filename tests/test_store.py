@@ -362,5 +362,6 @@ def test_expired_files_spare_what_the_current_version_needs(filled):
     past = datetime.datetime.now(datetime.timezone.utc) - datetime.timedelta(days=30)
     assert filled.expired_files(past).count() == 0 and filled.remove_expired(past) == 0
     before = filled.chunk_refs(filled.slots(filled.current())).collect()
-    assert filled.remove_expired(future) >= 2 and filled.expired_files(future).count() == 0
+    # the first whole axis stays, for the forward batch has written changes to it only
+    assert filled.remove_expired(future) >= 1 and filled.expired_files(future).count() == 0
     assert sorted(filled.chunk_refs(filled.slots(filled.current())).collect()) == sorted(before)
