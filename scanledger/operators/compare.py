@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scanledger.functions import expressions as x
 from scanledger.operators.ordering import ordered_running_max
+from scanledger.session import pin
 
 NODE_FIELDS = ("node_type", "data_type", "shape", "chunk_shape", "fill_value", "codecs", "dims")
 
@@ -252,8 +253,8 @@ def nearest_granule(
 
     A record that begins inside the window beats any that merely reaches into it, so the first step
     looks at begin times only. Slots it leaves open take the latest-beginning record that still
-    lasts at ``time - window``: of records covering a whole cell of the time line only the latest
-    counts, and those that begin or end inside the cell are reduced by running maxima.
+    lasts at ``time - window``: of records covering a whole cell of the time line, or a dyadic one of
+    many, only the latest counts, and those that begin or end inside the cell are reduced by running maxima.
     """
     w = F.lit(float(window_seconds))
     left = slots.select("collection", F.col("slot").cast("long").alias("id"), F.col("time").alias("at"))
@@ -264,26 +265,34 @@ def nearest_granule(
     late = _still_lasting(open_slots, records, 2 * float(window_seconds), w, target_rows)
     out = hit.unionByName(late)
     return slots.join(
-        out.select("collection", F.col("id").cast("int").alias("slot"), "best"), ["collection", "slot"], "left"
+        out.select("collection", F.col("id").cast(slots.schema["slot"].dataType).alias("slot"), "best"), ["collection", "slot"], "left"
     ).select(slots.columns + [F.col("best.url").alias("found_url"), F.col("best.granule_ur").alias("found_ur")])
 
 
-# cells of the time line per wide cell: an extent of years stays a few thousand cells
-WIDE_CELL = 1024
+def covered_cells(first: Column, last: Column) -> Column:
+    """Cells first..last as (level, cell) structs of dyadic cells: cell c of a level spans the cells c * 2^level on, 2^level of them.
 
+    Each level gives at most two, so an extent of any length becomes about twice the logarithm of its cells.
+    """
+    kind = "array<struct<level:int,cell:bigint>>"
+    none = F.array().cast(kind)
+    start = F.struct(first.cast("long").alias("a"), last.cast("long").alias("b"), (first <= last).alias("open"), none.alias("cells"))
+
+    def step(s: Column, level: Column) -> Column:
+        left = s["open"] & (F.pmod(s["a"], F.lit(2)) == 1)
+        right = s["open"] & (F.pmod(s["b"], F.lit(2)) == 0) & ~(left & (s["a"] == s["b"]))
 
-def _covered_cells(a: Column, b: Column) -> Column:
-    """Cells a..b as (level, cell) structs: whole wide cells once, single cells at both ends."""
+        def one(taken: Column, cell: Column) -> Column:
+            return F.when(taken, F.array(F.struct(level.alias("level"), cell.alias("cell")))).otherwise(none)
 
-    def cells(x0: Column, x1: Column, level: int) -> Column:
-        made = F.transform(
-            F.sequence(x0, x1), lambda c: F.struct(F.lit(level).alias("level"), c.cast("long").alias("cell"))
+        a, b = s["a"] + left.cast("long"), s["b"] - right.cast("long")
+        return F.struct(
+            F.shiftright(a, 1).alias("a"), F.shiftright(b, 1).alias("b"), (s["open"] & (a <= b)).alias("open"),
+            F.concat(s["cells"], one(left, s["a"]), one(right, s["b"])).alias("cells"),
         )
-        return F.when(x1 >= x0, made).otherwise(F.array().cast("array<struct<level:int,cell:bigint>>"))
 
-    w0, w1 = F.ceil(a / WIDE_CELL), F.floor((b + 1) / WIDE_CELL) - 1
-    ends = F.concat(cells(a, w0 * WIDE_CELL - 1, 0), cells((w1 + 1) * WIDE_CELL, b, 0))
-    return F.when(w1 >= w0, F.concat(cells(w0, w1, 1), ends)).otherwise(cells(a, b, 0))
+    levels = F.ceil(F.log2(F.greatest(last - first + 2, F.lit(2)))).cast("int")
+    return F.aggregate(F.sequence(F.lit(0), levels), start, step)["cells"]
 
 
 def _still_lasting(
@@ -296,14 +305,14 @@ def _still_lasting(
     first, last = F.floor(F.col("begin") / cell) + 1, F.floor(F.col("end") / cell) - 1
     spans = lasting.select("collection", "p", first.alias("a"), last.alias("b")).filter("b >= a")
     covers = (
-        spans.select("collection", F.explode(_covered_cells(F.col("a"), F.col("b"))).alias("c"), "p")
-        .groupBy("collection", "c.level", "c.cell")
+        spans.select("collection", F.explode(covered_cells(F.col("a"), F.col("b"))).alias("c"), "p")
+        .groupBy("collection", F.col("c.level").alias("level"), F.col("c.cell").alias("cell"))
         .agg(F.max("p").alias("covering"))
     )
-    fine = covers.filter("level = 0").select("collection", "cell", "covering")
-    coarse = covers.filter("level = 1").select(
-        "collection", F.col("cell").alias("wide"), F.col("covering").alias("covering_wide")
-    )
+    covers = pin(covers)
+    # a slot asks once per level that occurs: a few tens, however long the longest extent is
+    levels = sorted(r.level for r in covers.select("level").distinct().collect())
+    ups = F.array(*(F.struct(F.lit(n).alias("level"), F.shiftright("cell", n).alias("cell")) for n in levels)) if levels else None
     end_cell = F.floor(F.col("end") / cell)
     begin_cell = F.floor(F.col("begin") / cell)
 
@@ -328,13 +337,14 @@ def _still_lasting(
     )
     by_end = seen_before(ending, -F.col("q"), "ending")
     by_begin = seen_before(starting, F.col("q"), "starting").drop("at")
-    answers = (
-        by_end.join(by_begin, ["collection", "cell", "id"])
-        .join(fine, ["collection", "cell"], "left")
-        .withColumn("wide", F.floor(F.col("cell") / WIDE_CELL))
-        .join(coarse, ["collection", "wide"], "left")
-    )
-    best = F.greatest("ending", "starting", "covering", "covering_wide")
+    answers = by_end.join(by_begin, ["collection", "cell", "id"])
+    if ups is None:
+        answers = answers.withColumn("covering", F.lit(None).cast(covers.schema["covering"].dataType))
+    else:
+        asked_up = asked.select("collection", "id", F.explode(ups).alias("u")).select("collection", "id", "u.level", "u.cell")
+        covering = asked_up.join(covers, ["collection", "level", "cell"]).groupBy("collection", "id").agg(F.max("covering").alias("covering"))
+        answers = answers.join(covering, ["collection", "id"], "left")
+    best = F.greatest("ending", "starting", "covering")
     return answers.withColumn("b", best).select(
         "collection", "id", "at",
         F.when(F.col("b").isNotNull(), F.struct(F.col("b.url").alias("url"), F.col("b.granule_ur").alias("granule_ur"))).alias("best"),

@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,7 +114,7 @@ def robust_limits(
 
 
 def inside_polygon(lat: Column, lon: Column, vertices: Sequence[tuple[float, float]]) -> Column:
-    """Even-odd test of a point against a polygon of (lat, lon) vertices."""
+    """Even-odd test of a point against a polygon of (lat, lon) vertices, for points that are on no grid."""
     crossings = F.lit(0)
     for (ay, ax), (by, bx) in zip(vertices, [*vertices[1:], vertices[0]]):
         if ay == by:
@@ -124,30 +125,71 @@ def inside_polygon(lat: Column, lon: Column, vertices: Sequence[tuple[float, flo
     return crossings % 2 == 1
 
 
+def polygon_runs(
+    latitude: Sequence[tuple[int, float]], longitude: Sequence[tuple[int, float]], vertices: Sequence[tuple[float, float]]
+) -> list[tuple[int, int, int]]:
+    """Scan conversion: runs (y, first x, last x) of the grid points inside a polygon of (lat, lon) vertices, even-odd.
+
+    Axes are (idx, value) pairs in any order; a point on an edge counts as inside to its right and above it.
+    """
+    columns = sorted(longitude)
+    index, lon = np.array([i for i, _ in columns], np.int64), np.array([v for _, v in columns], np.float64)
+    edges = [(a, b) for a, b in zip(vertices, [*vertices[1:], vertices[0]], strict=True) if a[0] != b[0]]
+    runs = []
+    for y, lat in latitude:
+        crossed = np.zeros(len(lon), np.int64)
+        for (ay, ax), (by, bx) in edges:
+            if min(ay, by) <= lat < max(ay, by):
+                crossed += lon < ax + (lat - ay) * ((bx - ax) / (by - ay))
+        inside = index[crossed % 2 == 1]
+        if len(inside):
+            cuts = np.flatnonzero(np.diff(inside) != 1)
+            starts, ends = inside[[0, *(cuts + 1)]], inside[[*cuts, len(inside) - 1]]
+            runs += [(y, int(first), int(last)) for first, last in zip(starts, ends, strict=True)]
+    return runs
+
+
+def run_pieces(runs: Sequence[tuple[int, int, int]], shape: ChunkShape) -> list[tuple[int, int, int, int, int, int]]:
+    """Runs cut at chunk borders: (cy, cx, y, x, place in the chunk's array from 1, length)."""
+    pieces = []
+    for y, first, last in runs:
+        for cx in range(first // shape.width, last // shape.width + 1):
+            x, end = max(first, cx * shape.width), min(last, (cx + 1) * shape.width - 1)
+            at = (y % shape.height) * shape.width + x % shape.width + 1
+            pieces.append((y // shape.height, cx, y, x, at, end - x + 1))
+    return pieces
+
+
 def polygon_cells(
-    cells: DataFrame, latitude: DataFrame, longitude: DataFrame, vertices: Sequence[tuple[float, float]]
+    chunks: DataFrame, shape: ChunkShape, latitude: DataFrame, longitude: DataFrame, vertices: Sequence[tuple[float, float]],
+    keys: Sequence[str],
 ) -> DataFrame:
-    """Cells whose grid point lies in the polygon; axes are ``(idx, value)``.
+    """Cells (keys, y, x, value) whose grid point lies in the polygon; axes are ``(idx, value)``.
 
-    The bounding box cuts both axes first, so cells outside it leave at the joins.
+    The parts of the axes inside the bounding box (a few thousand numbers, whatever the archive's size) become runs of cells. The
+    runs' chunk bounds reach the scan, and only the runs are cut out of the chunks' arrays; no other cell is made a row.
     """
     lats, lons = [v[0] for v in vertices], [v[1] for v in vertices]
-    lat = latitude.filter(F.col("value").between(min(lats), max(lats))).select(F.col("idx").alias("y"), F.col("value").alias("lat"))
-    lon = longitude.filter(F.col("value").between(min(lons), max(lons))).select(F.col("idx").alias("x"), F.col("value").alias("lon"))
-    return cells.join(lat, "y").join(lon, "x").filter(
-        inside_polygon(F.col("lat").cast("double"), F.col("lon").cast("double"), vertices)
-    )
+
+    def within(axis: DataFrame, values: Sequence[float]) -> list[tuple[int, float]]:
+        rows = axis.filter(F.col("value").between(min(values), max(values))).select("idx", F.col("value").cast("double").alias("value"))
+        return [(r.idx, r.value) for r in rows.collect()]
+
+    pieces = run_pieces(polygon_runs(within(latitude, lats), within(longitude, lons), vertices), shape)
+    table = chunks.sparkSession.createDataFrame(pieces, "_cy int, _cx int, y int, x int, _at int, _n int")
+    rows, columns = [p[0] for p in pieces] or [-1], [p[1] for p in pieces] or [-1]
+    touched = chunks.filter(F.col("cy").between(min(rows), max(rows)) & F.col("cx").between(min(columns), max(columns)))
+    hit = touched.join(F.broadcast(table), (F.col("cy") == F.col("_cy")) & (F.col("cx") == F.col("_cx")))
+    flat = hit.select(*keys, "y", "x", F.posexplode(F.slice("values", F.col("_at"), F.col("_n"))).alias("_i", "value"))
+    return flat.select(*keys, "y", (F.col("x") + F.col("_i")).alias("x"), "value")
 
 
 def zonal_statistics(
-    cells: DataFrame,
-    latitude: DataFrame,
-    longitude: DataFrame,
-    vertices: Sequence[tuple[float, float]],
+    chunks: DataFrame, shape: ChunkShape, latitude: DataFrame, longitude: DataFrame, vertices: Sequence[tuple[float, float]],
     by: Sequence[str] = ("variable", "slot"),
 ) -> DataFrame:
     """Count, minimum, maximum and mean of a polygon's valid cells along time."""
-    inside = polygon_cells(cells, latitude, longitude, vertices).filter(~F.isnan("value"))
+    inside = polygon_cells(chunks, shape, latitude, longitude, vertices, by).filter(~F.isnan("value"))
     return inside.groupBy(*by).agg(
         F.count("value").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean")
     )

@@ -12,6 +12,8 @@ KEYS = ["variable", "slot"]
 
 # a triangle on the grid's own axes: latitude 10 + 2.5 * row, longitude -100 + 5 * column
 TRIANGLE = [(11.0, -99.0), (26.0, -92.0), (13.0, -66.0)]
+# the same axes; rows in the middle are crossed four times
+CONCAVE = [(10.5, -101.0), (28.0, -101.0), (28.0, -64.0), (10.5, -64.0), (24.0, -82.0)]
 
 
 @query("window_slice", f"WITH {CELLS_SQL} SELECT * FROM cells WHERE y BETWEEN 2 AND 4 AND x BETWEEN 3 AND 6")
@@ -42,12 +44,14 @@ def robust_limits(spark, sf):
     return out.select("variable", "n", F.round("vmin", 9).alias("vmin"), F.round("vmax", 9).alias("vmax"))
 
 
-_ZONE_SQL = f"""{CELLS_SQL},
+def _zone_sql(vertices) -> str:
+    edges = ", ".join(
+        f"{{'ay': {ay}::DOUBLE, 'ax': {ax}::DOUBLE, 'by': {by}::DOUBLE, 'bx': {bx}::DOUBLE}}"
+        for (ay, ax), (by, bx) in zip(vertices, [*vertices[1:], vertices[0]], strict=True)
+    )
+    return f"""{CELLS_SQL},
 placed AS (SELECT *, 10 + 2.5::DOUBLE * y AS lat, -100 + 5::DOUBLE * x AS lon FROM cells),
-edges AS (SELECT unnest([
-  {{'ay': 11.0::DOUBLE, 'ax': -99.0::DOUBLE, 'by': 26.0::DOUBLE, 'bx': -92.0::DOUBLE}},
-  {{'ay': 26.0::DOUBLE, 'ax': -92.0::DOUBLE, 'by': 13.0::DOUBLE, 'bx': -66.0::DOUBLE}},
-  {{'ay': 13.0::DOUBLE, 'ax': -66.0::DOUBLE, 'by': 11.0::DOUBLE, 'bx': -99.0::DOUBLE}}]) AS e),
+edges AS (SELECT unnest([{edges}]) AS e),
 inside AS (
   SELECT y, x FROM (SELECT DISTINCT y, x, lat, lon FROM placed) p, edges
   WHERE lat >= least(e.ay, e.by) AND lat < greatest(e.ay, e.by)
@@ -56,6 +60,9 @@ inside AS (
 )"""
 
 
+_ZONE_SQL = _zone_sql(TRIANGLE)
+
+
 def _axes(spark, sf):
     # row and column numbers as axes; the grid is eight cells wide
     index = table(spark, sf, "embeddings").select(F.explode(F.sequence(F.lit(0), F.lit(7))).alias("idx")).distinct()
@@ -71,16 +78,21 @@ def _axes(spark, sf):
                round(avg(CAST(value AS DOUBLE)), 9) AS mean FROM placed JOIN inside USING (y, x) GROUP BY 1, 2""",
 )
 def zonal_statistics(spark, sf):
-    cells = ops.cells_of(grid_chunks(spark, sf), SHAPE, KEYS)
-    lat, lon = _axes(spark, sf)
-    return ops.zonal_statistics(cells, lat, lon, TRIANGLE, KEYS).withColumn("mean", F.round("mean", 9))
+    return ops.zonal_statistics(grid_chunks(spark, sf), SHAPE, *_axes(spark, sf), TRIANGLE, KEYS).withColumn("mean", F.round("mean", 9))
+
+
+@query(
+    "zonal_concave",
+    f"""WITH {_zone_sql(CONCAVE)} SELECT variable, slot, count(value) AS n, min(value) AS min, max(value) AS max,
+               round(avg(CAST(value AS DOUBLE)), 9) AS mean FROM placed JOIN inside USING (y, x) GROUP BY 1, 2""",
+)
+def zonal_concave(spark, sf):
+    return ops.zonal_statistics(grid_chunks(spark, sf), SHAPE, *_axes(spark, sf), CONCAVE, KEYS).withColumn("mean", F.round("mean", 9))
 
 
 @query("polygon_mask", f"WITH {_ZONE_SQL} SELECT y, x, count(*) AS n FROM cells JOIN inside USING (y, x) GROUP BY 1, 2")
 def polygon_mask(spark, sf):
-    cells = ops.cells_of(grid_chunks(spark, sf), SHAPE, KEYS)
-    lat, lon = _axes(spark, sf)
-    return ops.polygon_cells(cells, lat, lon, TRIANGLE).groupBy("y", "x").agg(F.count(F.lit(1)).alias("n"))
+    return ops.polygon_cells(grid_chunks(spark, sf), SHAPE, *_axes(spark, sf), TRIANGLE, KEYS).groupBy("y", "x").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -1,6 +1,7 @@
 """Expressions, templates, references and audits on small inputs."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from scanledger.functions import expressions as x
 from scanledger.operators import compare, refs
 from scanledger.operators import template as tmpl
-from scanledger.operators.grid import ChunkShape, inside_polygon, sampled_windows
+from scanledger.operators.grid import ChunkShape, inside_polygon, polygon_cells, polygon_runs, run_pieces, sampled_windows
 from scanledger.operators.slots import sample_slots, spread_sample
 from scanledger.operators.validate import validate_store
 from scanledger.plans.verify import verify_store
@@ -238,3 +239,31 @@ def test_template_keeps_codecs(spark):
     codecs = {r.path: r.codecs for r in made.filter("node_type = 'array'").collect()}
     assert codecs.pop("/weight") == ['{"name": "zlib"}'] and len(codecs) > 2 and not any(codecs.values())
     assert {r.path for r in tiny.template(spark).filter("size(codecs) > 0").collect()} == set()
+
+
+def test_polygon_runs_are_the_cells_inside(spark):
+    draw = random.Random(11)
+    axis = lambda n, start, step: [(i, start + step * i) for i in range(n)]
+    lats, lons = axis(23, 10.0, 0.75), axis(37, -100.0, 0.5)
+    lons[5:9] = [(i, v) for (i, _), (_, v) in zip(lons[5:9], reversed(lons[5:9]))]  # an axis need not rise
+    points = spark.createDataFrame([(y, x, la, lo) for y, la in lats for x, lo in lons], "y int, x int, lat double, lon double")
+    for corners in (3, 5, 9):  # edges of the larger ones cross each other
+        polygon = [(draw.uniform(9, 28), draw.uniform(-101, -80)) for _ in range(corners)]
+        want = {(r.y, r.x) for r in points.filter(inside_polygon(F.col("lat"), F.col("lon"), polygon)).collect()}
+        runs = polygon_runs(lats, lons, polygon)
+        assert {(y, x) for y, a, b in runs for x in range(a, b + 1)} == want
+        cells = [(cy * 4 + (at - 1) // 8, x + k) for cy, cx, y, x, at, n in run_pieces(runs, ChunkShape(4, 8)) for k in range(n)]
+        assert sorted(cells) == sorted(want)
+
+
+def test_polygon_bounds_reach_the_scan(spark, tmp_path):
+    chunks = [("v", 0, cy, cx, [float(cy * 100 + cx * 10 + i) for i in range(4)]) for cy in range(6) for cx in range(6)]
+    spark.createDataFrame(chunks, "variable string, slot int, cy int, cx int, values array<double>").write.parquet(str(tmp_path / "c"))
+    axis = spark.createDataFrame([(i, float(i)) for i in range(12)], "idx int, value double")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    out = polygon_cells(spark.read.parquet(str(tmp_path / "c")), ChunkShape(2, 2), axis, axis, [(3.5, 3.5), (3.5, 6.5), (6.5, 6.5), (6.5, 3.5)], ["slot"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(cy,2)" in plan and "LessThanOrEqual(cx,3)" in plan
+    assert sorted((r.y, r.x, r.value) for r in out.collect()) == sorted(
+        (y, x, y // 2 * 100 + x // 2 * 10 + y % 2 * 2.0 + x % 2) for y in (4, 5, 6) for x in (4, 5, 6)
+    )

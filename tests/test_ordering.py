@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scanledger.operators import ordering
-from scanledger.operators.compare import nearest_granule, nearest_in_time
+from scanledger.operators.compare import covered_cells, nearest_granule, nearest_in_time
 from scanledger.operators.grid import robust_limits
 from scanledger.operators.slots import assign_slots, axis_violations, merge_pending
 
@@ -101,12 +101,11 @@ def brute_nearest(slots, records, w):
     return found
 
 
-@pytest.mark.parametrize("seed, target, wide", [(1, None, 1024), (2, 40, 3), (3, None, 2)])
-def test_nearest_granule_is_exact(spark, monkeypatch, seed, target, wide):
-    monkeypatch.setattr("scanledger.operators.compare.WIDE_CELL", wide)
+@pytest.mark.parametrize("seed, target, longest", [(1, None, 9_000), (2, 40, 12_000), (3, None, 252_000_000_000)])
+def test_nearest_granule_is_exact(spark, seed, target, longest):
     rnd = random.Random(seed)
-    starts = [rnd.choice([0, 600, 5000, rnd.uniform(0, 20000)]) for _ in range(60)]
-    records = [(b, b + rnd.choice([0, 30, 700, 4000, 9000]), i) for i, b in enumerate(starts)]
+    starts = [rnd.choice([0, 600, 5000, rnd.uniform(-9000, 20000)]) for _ in range(60)]
+    records = [(b, b + rnd.choice([0, 30, 700, 4000, 9000, longest]), i) for i, b in enumerate(starts)]
     slots = [(i, t) for i, t in enumerate(sorted({round(rnd.uniform(-500, 26000), 1) for _ in range(120)} | {360.0, 240.0, 840.0, 9240.0}))]
     r = spark.createDataFrame([("c", float(b), float(e), i, f"u{i}", f"g{i}") for b, e, i in records],
                               "collection string, begin double, end double, rank long, url string, granule_ur string")
@@ -116,6 +115,20 @@ def test_nearest_granule_is_exact(spark, monkeypatch, seed, target, wide):
     assert got == want
 
 
+def test_dyadic_cells_cover_a_range_once(spark):
+    draw = random.Random(2)
+    ranges = [(0, 0), (-1, 0), (5, 4), (-7, 9), (3, 3), (-525_000_000, 524_999_999)]
+    ranges += [(a, a + draw.randint(0, 40)) for a in (draw.randint(-30, 30) for _ in range(60))]
+    rows = spark.createDataFrame(ranges, "a long, b long").select("a", "b", covered_cells(F.col("a"), F.col("b")).alias("c")).collect()
+    for r in rows:
+        assert len(r.c) <= 2 * 40
+        if r.b - r.a < 1000:
+            held = [c for x in r.c for c in range(x.cell << x.level, (x.cell + 1) << x.level)]
+            assert sorted(held) == list(range(r.a, r.b + 1))
+        else:
+            assert sum(1 << x.level for x in r.c) == r.b - r.a + 1
+
+
 def test_top_of_large_groups(rows, monkeypatch):
     few = ordering.top_per_group(rows, ["g"], [F.col("at"), F.col("id")], 5)
     monkeypatch.setattr(ordering, "GROUP_LIMIT", 2)
