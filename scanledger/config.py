@@ -7,14 +7,26 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 # Attribute names that vary from granule to granule and carry no shared structure.
-VOLATILE_ATTRIBUTES = frozenset(
-    """
-    history scan_num time_coverage_start time_coverage_end time_coverage_start_since_epoch
-    time_coverage_end_since_epoch production_date_time begin_date begin_time end_date end_time
-    local_granule_id input_files geospatial_bounds day_of_year coremetadata REFERENCE_LIST
-    DIMENSION_LIST
-    """.split()
-)
+VOLATILE_ATTRIBUTES = frozenset({
+    "history",
+    "scan_num",
+    "time_coverage_start",
+    "time_coverage_end",
+    "time_coverage_start_since_epoch",
+    "time_coverage_end_since_epoch",
+    "production_date_time",
+    "begin_date",
+    "begin_time",
+    "end_date",
+    "end_time",
+    "local_granule_id",
+    "input_files",
+    "geospatial_bounds",
+    "day_of_year",
+    "coremetadata",
+    "REFERENCE_LIST",
+    "DIMENSION_LIST",
+})
 
 # Attribute names a write path may add on its own.
 WRITE_ARTIFACTS = frozenset({"coordinates", "_FillValue"})

@@ -178,9 +178,8 @@ def build_template(spark, sf):
 
 @query(
     "store_findings",
-    f"""WITH {_ATTRS_SQL}, firsts AS (SELECT path, arg_min(attrs, url) AS attrs FROM nodes GROUP BY 1),
-        k AS (SELECT path, unnest(list_distinct(list_concat(map_keys(want), map_keys(attrs)))) AS key, want, attrs FROM firsts JOIN declared USING (path))
-        SELECT 'attributes' AS "check", path AS subject,
+    f"""WITH {_ATTRS_SQL}, k AS (SELECT path || '/' || url AS subject, unnest(list_distinct(list_concat(map_keys(want), map_keys(attrs)))) AS key, want, attrs FROM nodes JOIN declared USING (path))
+        SELECT 'attributes' AS "check", subject,
                'attribute ' || key || ' ' || CASE WHEN want[key] IS NULL THEN 'extra' WHEN attrs[key] IS NULL THEN 'missing' ELSE 'differs' END AS detail,
                CASE WHEN want[key] IS NULL THEN 'warning' ELSE 'error' END AS severity
         FROM k WHERE key <> 'history' AND (want[key] IS NULL OR attrs[key] IS NULL OR replace(want[key], '.0', '') <> attrs[key])""",
@@ -191,9 +190,11 @@ def store_findings(spark, sf):
         "chunk_shape": F.lit(None).cast("array<int>"), "fill_value": F.lit(None).cast("string"),
         "codecs": F.lit(None).cast("array<string>"), "dims": F.lit(None).cast("array<string>"),
     }
-    spec = declared_attributes(spark, sf).withColumns(empty)
-    store = granule_nodes(spark, sf).groupBy("path").agg(F.min_by("attributes", "url").alias("attributes")).withColumns(empty)
-    return validate.validate_store(spec, store, False, {"history"})
+    # every part is a node of its own, declared as its type is
+    parts = granule_nodes(spark, sf).withColumn("node", F.concat_ws("/", "path", F.col("url").cast("string")))
+    store = parts.select(F.col("node").alias("path"), "attributes").withColumns(empty)
+    spec = parts.select("path", "node").join(declared_attributes(spark, sf), "path").select(F.col("node").alias("path"), "attributes")
+    return validate.validate_store(spec.withColumns(empty), store, False, {"history"})
 
 
 # -- coordinates ----------------------------------------------------------------------------------
@@ -236,7 +237,7 @@ def shared_grid_check(spark, sf):
 
 
 _AXES_SQL = """
-named AS (SELECT vec_id, CASE WHEN label < 5 THEN 'latitude' ELSE 'longitude' END AS axis, embedding[1:8] AS v FROM embeddings),
+named AS (SELECT vec_id, CASE WHEN label < 5 THEN 'latitude' ELSE 'longitude' END AS axis, embedding AS v FROM embeddings),
 reference AS (SELECT axis, arg_min(v, vec_id) AS r FROM named GROUP BY 1),
 axis_diff AS (
   SELECT vec_id, n.axis, 'values' AS problem FROM named n JOIN reference USING (axis) WHERE v <> r
