@@ -29,7 +29,7 @@ from scanledger.llm.common import with_python
 
 SAMPLE_ROWS = 600
 SAMPLE_CHARS = 1_500
-MAX_LANGUAGES = 200
+MAX_LANGUAGES = 200  # of one model; its table has a row of numbers a language
 BUCKETS = 1 << 15
 WIDTH = 16
 ORDERS = (2, 3, 4)
@@ -149,10 +149,17 @@ def train(rows: list[tuple[str, str]], epochs: int = 6, rate: float = 0.5, preci
     return LanguageModel(languages, logits.astype(np.float32).astype(np.float64), bias, float(temperature), threshold)
 
 
-def learn(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = SAMPLE_ROWS) -> LanguageModel:
-    """Train on at most ``per_language`` (and a fifth more by chance) rows of each language, drawn by hash."""
+def learn(
+    rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES
+) -> LanguageModel:
+    """Train on at most ``per_language`` (and a fifth more by chance) rows of each language, drawn by hash.
+
+    Rows with more than ``max_languages`` languages are refused: no language is left out silently.
+    """
     own = rows.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
-    counts = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: raise max_languages, or merge rare ones first")
     if not counts:
         return train([])
     share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], per_language / r["n"])))

@@ -1,5 +1,6 @@
 """Language identification and toxicity: accuracy on rows not learned from, and odd tables."""
 
+import math
 import zlib
 
 import duckdb
@@ -62,3 +63,45 @@ def test_toxicity_of_odd_texts(spark, docs):
     assert toxicity.score(documents(spark, []), model).count() == 0
     one_class = labels.filter(F.col("toxic") == 0)
     assert {r.score for r in toxicity.query(docs.limit(20), one_class).collect()} == {0.0}
+
+
+def ngram_rows(text):
+    """The n-grams of a text, one at a time: runs of non-letters are one blank, blanks at both ends, none inside an n-gram."""
+    import unicodedata
+
+    plain = []
+    for c in text.lower():
+        if unicodedata.category(c)[0] == "L":
+            plain.append(ord(c))
+        elif not plain or plain[-1] != 32:
+            plain.append(32)
+    plain = [32] * (plain[0] != 32) + plain + [32] * (plain[-1] != 32)
+    for order in language_id.ORDERS:
+        for i in range(len(plain) - order + 1):
+            gram = plain[i : i + order]
+            if 32 in gram[1:-1]:
+                continue
+            h = order
+            for code in gram:
+                h = ((h ^ code) * 0x9E3779B97F4A7C15) % 2**64
+                h ^= h >> 29
+            yield h % language_id.BUCKETS
+
+
+def test_scores_by_brute_force(spark, docs):
+    model = language_id.learn(docs)
+    texts = ["The cat, sat; on 12 mats!", "été à l'école", "ß", "x 1 y", "Über\n\n\tallen  Gipfeln"] + [r.text for r in docs.filter("length(text) < 3000").limit(20).collect()]
+    for text in texts:
+        rows = list(ngram_rows(text))
+        raw = [sum(float(model.logits[r, k]) for r in rows) / len(rows) + float(model.bias[k]) for k in range(len(model.languages))]
+        top = max(raw)
+        parts = [math.exp((v - top) / model.temperature) for v in raw]
+        best = max(range(len(parts)), key=parts.__getitem__)
+        assert model.predict(text) == (model.languages[best], pytest.approx(parts[best] / sum(parts), rel=1e-9))
+
+
+def test_no_language_is_left_out_silently(spark):
+    table = spark.createDataFrame([(f"word {i}", f"l{i}") for i in range(5)], "text string, lang string")
+    with pytest.raises(ValueError, match="max_languages"):
+        language_id.learn(table, max_languages=4)
+    assert len(language_id.learn(table, max_languages=5).languages) == 5
