@@ -128,27 +128,45 @@ def cells_match(a: ColumnOrName, b: ColumnOrName) -> Column:
     return _col(a).cast("double").eqNullSafe(_col(b).cast("double"))
 
 
-# a JSON string, so that what follows as an alternative is never found inside one
-_STRING = r'("(?:[^"\\]|\\.)*")'
+# a JSON string, so that what follows as an alternative is never found inside one; possessive, so that long ones need no stack
+_STRING = r'("(?:[^"\\]++|\\[\s\S])*+")'
+_NUMBER = r"(?<![\w.+-])-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?(?![\w.+-])"
+_TOKENS = _STRING + "|" + _NUMBER + r'|[^"0-9-]++|[\s\S]'
+_NUMERAL = "\ue000"  # before the text of a number: no string of the archive starts with it
+
+
+def _numeral(number: Column) -> Column:
+    """A JSON number as digits without zeros at either end and a power of ten: exact, whatever its size and spelling."""
+    whole, part = F.regexp_extract(number, "^-?([0-9]+)", 1), F.regexp_extract(number, r"\.([0-9]+)", 1)
+    power = F.regexp_extract(number, "[eE]([+-]?[0-9]+)$", 1)
+    shift = F.when(power == "", F.lit(0)).otherwise(power.try_cast("decimal(38,0)"))
+    digits = F.regexp_replace(F.concat(whole, part), "^0+", "")
+    kept = F.regexp_replace(digits, "0+$", "")
+    exponent = (shift - F.length(part) + F.length(digits) - F.length(kept)).cast("decimal(38,0)").cast("string")
+    text = F.concat(F.when(F.startswith(number, F.lit("-")), "-").otherwise(""), kept, F.lit("e"), exponent)
+    return F.when(kept == "", "0").otherwise(F.coalesce(text, number))
 
 
 def canonical_json(value: ColumnOrName) -> Column:
-    """One spelling per JSON value: keys sorted, numbers normalised at every level, integers exact.
+    """One spelling per JSON value: keys sorted, numbers as digits and a power of ten at every level.
 
     Non-finite names count as equal bare or quoted. Text that is no JSON stays as it is.
     """
     # bare non-finite names get quotes; the marks vanish again where a string was met
     marked = F.regexp_replace(_col(value), _STRING + "|(-?(?:NaN|Infinity))", "$1\u0001$2\u0001")
     quoted = F.regexp_replace(F.replace(marked, F.lit("\u0001\u0001"), F.lit("")), "\u0001([^\u0001]*)\u0001", '"$1"')
-    # the parser sorts keys, keeps integers and strips zeros of decimals; only exponents become doubles
-    text = F.to_json(F.try_parse_json(quoted))
-    whole = F.regexp_replace(text, _STRING + r"|(-?[0-9]+)\.0(?=[,\]}]|$)", "$1$2")
-    return F.coalesce(whole, _col(value))
+    # numbers become marked strings, so that the parser, which sorts the keys, rounds none
+    tokens = F.regexp_extract_all(quoted, F.lit(_TOKENS), 0)
+    exact = F.transform(
+        tokens, lambda t: F.when(t.rlike("^-?[0-9]"), F.concat(F.lit('"' + _NUMERAL), _numeral(t), F.lit('"'))).otherwise(t)
+    )
+    parsed = F.to_json(F.try_parse_json(F.array_join(exact, "")))
+    return F.coalesce(parsed, _col(value))
 
 
 def values_equal(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Structural equality of two JSON values, non-finite numbers equal in any spelling."""
-    return canonical_json(a).eqNullSafe(canonical_json(b))
+    """Structural equality of two JSON values, non-finite numbers equal in any spelling. Equal texts are not parsed."""
+    return F.when(_col(a).eqNullSafe(_col(b)), True).otherwise(canonical_json(a).eqNullSafe(canonical_json(b)))
 
 
 # -- shapes and attribute maps --------------------------------------------------------------------

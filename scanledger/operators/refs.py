@@ -124,10 +124,15 @@ def concat_time(
 
 
 def storage_profile(datasets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Logical and stored bytes with their ratio.
+    """Logical and stored bytes with their ratio, for each group and pipeline of filters.
 
-    ``datasets(..., n_items, item_size, stored)`` has one row per dataset.
+    ``datasets(..., n_items, item_size, stored)`` has one row per dataset. With a column ``filters`` (an array in the order in which
+    they are applied) a group is split by ``pipeline``, the names joined by ``+``; no filters, or null, is ``none``.
     """
+    if "filters" in datasets.columns:
+        names = F.array_join("filters", "+")
+        datasets = datasets.withColumn("pipeline", F.when(F.length(names) > 0, names).otherwise("none"))
+        by = [*by, "pipeline"]
     sums = datasets.groupBy(*by).agg(
         F.count(F.lit(1)).alias("datasets"),
         F.sum(F.col("n_items") * F.col("item_size")).cast("long").alias("logical_bytes"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from scanledger.operators.compare import completeness_diff, nearest_granule, url_drift
@@ -12,6 +14,22 @@ from scanledger.operators.slots import sample_slots, sample_windows
 from scanledger.session import lookup, pin
 
 
+# Drawn windows up to this many become literals of the scans; the joins decide in any case.
+MAX_LITERALS = 2_000
+
+
+def _restricted(chunks: DataFrame, drawn: Sequence[Row], names: dict[str, str], shape: ChunkShape, window: int) -> DataFrame:
+    """Chunks that a drawn window may need, by literals; ``names`` maps columns of ``chunks`` to those of the windows."""
+    if not drawn:
+        return chunks.limit(0)
+    for column, name in names.items():
+        chunks = chunks.filter(F.col(column).isin(sorted({r[name] for r in drawn})))
+    for column, corner, cells in (("cy", "y0", shape.height), ("cx", "x0", shape.width)):
+        corners = [r[corner] for r in drawn]
+        chunks = chunks.filter(F.col(column).between(min(corners) // cells, (max(corners) + window - 1) // cells))
+    return chunks
+
+
 def verify_store(
     slots: DataFrame,
     stored: DataFrame,
@@ -60,12 +78,18 @@ def verify_store(
         )
     )
     good = heads.filter(F.col("_t").eqNullSafe(F.col("time")))
-    windows = lookup(
-        sample_windows(good, variables.drop("fill"), window, seed).select("collection", "slot", "variable", "y0", "x0")
-    )
+    corners = sample_windows(good, variables.drop("fill"), window, seed).select("collection", "slot", "variable", "y0", "x0")
+    windows = pin(corners.join(good.select("collection", "slot", "granule_url"), ["collection", "slot"]))
     keys = ["collection", "slot", "variable"]
-    held = sampled_windows(stored, shape, windows, window, keys)
-    named = source.join(lookup(good.select("collection", "slot", F.col("granule_url").alias("url"))), "url")
+    # read in two phases: what was drawn is known now, so partitions, row groups and chunks outside it are not touched
+    drawn = windows.limit(MAX_LITERALS + 1).collect()
+    if len(drawn) <= MAX_LITERALS:
+        stored = _restricted(stored, drawn, {"collection": "collection", "slot": "slot", "variable": "variable"}, shape, window)
+        source = _restricted(source, drawn, {"url": "granule_url", "variable": "variable"}, shape, window)
+    held = sampled_windows(stored, shape, lookup(windows.drop("granule_url"), pinned=False), window, keys)
+    urls = windows.select("collection", "slot", F.col("granule_url").alias("url")).distinct()
+    named = source.join(lookup(urls), "url")
+    windows = lookup(windows.drop("granule_url"), pinned=False)
     fills = variables.select("collection", "variable", F.col("fill").cast("double").alias("fill"))
     read = sampled_windows(named, shape, windows, window, keys).join(fills, ["collection", "variable"])
     masked = held.join(fills, ["collection", "variable"]).withColumn(

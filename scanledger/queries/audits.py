@@ -24,7 +24,7 @@ def _grid_slots(spark, sf):
     )
 
 
-def _audit(spark, sf, source_value):
+def _audit(spark, sf, source_value, records=None):
     """Audit of every slot against sources made from the stored chunks; some source times are off."""
     slots = _grid_slots(spark, sf)
     stored = grid_chunks(spark, sf).withColumn("collection", F.col("variable"))
@@ -37,7 +37,7 @@ def _audit(spark, sf, source_value):
     variables = slots.select(
         "collection", F.col("collection").alias("variable"), F.lit(8).alias("ny"), F.lit(8).alias("nx"), F.lit(-1e30).alias("fill")
     ).distinct()
-    return verify_store(slots, stored, headers, source, variables, ChunkShape(1, 8), samples=slots.count(), window=5)
+    return verify_store(slots, stored, headers, source, variables, ChunkShape(1, 8), records, samples=slots.count(), window=5)
 
 
 @query(
@@ -60,6 +60,26 @@ def verify_clean(spark, sf):
     return _audit(spark, sf, F.col("values")).select("check", "subject", "severity")
 
 
+@query(
+    "verify_catalogue",
+    """WITH v AS (SELECT vec_id, 'v' || label || '/' || vec_id AS subject FROM embeddings)
+       SELECT 'catalogue' AS "check", subject, 'no granule near the slot of v' || vec_id AS detail, 'error' AS severity FROM v WHERE vec_id % 11 = 0
+       UNION ALL SELECT 'url_drift', subject, 's3://archive/v' || vec_id || '.nc -> s3://archive/w' || vec_id || '.nc', 'error'
+       FROM v WHERE vec_id % 11 <> 0 AND vec_id % 5 = 0
+       UNION ALL SELECT 'read', subject, 'cannot read s3://archive/w' || vec_id || '.nc', 'error' FROM v WHERE vec_id % 11 <> 0 AND vec_id % 5 = 0
+       UNION ALL SELECT 'time', subject, 'source time differs: s3://archive/v' || vec_id || '.nc', 'error'
+       FROM v WHERE vec_id % 11 <> 0 AND vec_id % 5 <> 0 AND vec_id % 7 = 0""",
+)
+def verify_catalogue(spark, sf):
+    # the catalogue lacks every eleventh granule and names another file for every fifth
+    moved = F.regexp_replace("granule_url", "/v([0-9]+)", "/w$1")
+    records = _grid_slots(spark, sf).filter("slot % 11 <> 0").select(
+        "collection", F.col("time").alias("begin"), (F.col("time") + 60).alias("end"), F.col("slot").cast("long").alias("rank"),
+        F.when(F.col("slot") % 5 == 0, moved).otherwise(F.col("granule_url")).alias("url"), "granule_ur",
+    )
+    return _audit(spark, sf, F.col("values"), records)
+
+
 @query(
     "completeness_findings",
     f"""WITH {_MERGE_SQL}

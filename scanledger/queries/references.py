@@ -79,15 +79,19 @@ def granule_reference_gaps(spark, sf):
 
 @query(
     "storage_profile",
-    """SELECT p_type, count(*) AS datasets, CAST(sum(p_size * 8) AS BIGINT) AS logical_bytes,
+    """SELECT p_type, concat_ws('+', CASE WHEN p_size % 2 = 0 THEN 'shuffle' END, CASE WHEN p_size % 3 = 0 THEN 'deflate' END,
+                                CASE WHEN p_size % 6 NOT IN (0, 2, 3, 4) THEN 'none' END) AS pipeline,
+              count(*) AS datasets, CAST(sum(p_size * 8) AS BIGINT) AS logical_bytes,
               CAST(sum(CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE p_size END) AS BIGINT) AS stored_bytes,
-              CAST(sum(p_size * 8) AS DOUBLE) / sum(CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE p_size END) AS ratio
-       FROM part GROUP BY 1""",
+              CAST(sum(p_size * 8) AS DOUBLE) / nullif(sum(CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE p_size END), 0) AS ratio
+       FROM part GROUP BY ALL""",
 )
 def storage_profile(spark, sf):
+    # even sizes are shuffled, multiples of three deflated after it
+    filters = F.array_compact(F.array(F.when(F.col("p_size") % 2 == 0, "shuffle"), F.when(F.col("p_size") % 3 == 0, "deflate")))
     datasets = table(spark, sf, "part").select(
         "p_type", F.col("p_size").alias("n_items"), F.lit(8).alias("item_size"),
-        F.when(F.col("p_brand") == "Brand#1", 0).otherwise(F.col("p_size")).alias("stored"),
+        F.when(F.col("p_brand") == "Brand#1", 0).otherwise(F.col("p_size")).alias("stored"), filters.alias("filters"),
     )
     return ops.storage_profile(datasets, ["p_type"])
 

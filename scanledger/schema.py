@@ -61,7 +61,7 @@ umm struct<
 
 GRANULE_VARS = (
     "url string, grp string, name string, data_type string, dims array<string>, shape array<int>, "
-    "chunk_shape array<int>, fill_value double"
+    "chunk_shape array<int>, fill_value double, codecs array<string>, filters array<string>"
 )
 GRANULE_NODES = "url string, path string, attributes map<string,string>"
 GRANULE_TIMES = "url string, times array<double>, epoch double"

@@ -40,7 +40,10 @@ def test_times(spark):
 @pytest.mark.parametrize(
     "a, b, equal",
     [('"NaN"', "NaN", True), ("1", "1.0", True), ("[1, 2.0]", "[1.0, 2]", True), ('["NaN",1]', "[NaN,1]", True), ('"x,1.0,y"', '"x,1,y"', False),
-     ('"a"', '"b"', False), ("1e3", "1000", True), (None, None, True), (None, "1", False), ('"-Infinity"', "-Infinity", True), ('"say \\"NaN\\""', '"say NaN"', False)],
+     ('"a"', '"b"', False), ("1e3", "1000", True), (None, None, True), (None, "1", False), ('"-Infinity"', "-Infinity", True), ('"say \\"NaN\\""', '"say NaN"', False),
+     ("1e7", "10000000", True), ("-1e30", "-1" + "0" * 30, True), ("1e400", "Infinity", False), ("1e400", "1E+400", True), ("0.0", "-0", True),
+     ("9007199254740993", "9007199254740992", False), ('{"a":1,"b":[1.0,2]}', '{"b":[1,2.00e0],"a":1}', True), ('"a1e7"', '"a10000000"', False),
+     ('[1e2,"1e2"]', '[100,"1e2"]', True), ("01", "1", False), ('"1"', "1", False), ('"' + "x" * 200_000 + '"', '"' + "x" * 200_000 + 'y"', False)],
 )
 def test_values_equal(spark, a, b, equal):
     assert one(spark, x.values_equal(F.lit(a).cast("string"), F.lit(b).cast("string"))) is equal
@@ -197,6 +200,28 @@ def test_superseded_and_vanished_granules(spark, audit):
     assert found(slots, stored, more, moved, grids, shape, records=records) == [("catalogue", "c/2"), ("url_drift", "c/1")]
 
 
+def test_audit_reads_only_what_was_drawn(spark, tmp_path, audit):
+    """Forty slots of two collections in one file each: the scans see the drawn collections, slots and chunks only."""
+    from pyspark.sql import Row
+    from scanledger.plans.verify import _restricted
+
+    chunks = [(c, "column", s, cy, cx, [0.0] * 6) for c in "cd" for s in range(40) for cy in range(2) for cx in range(4)]
+    table = spark.createDataFrame(chunks, "collection string, variable string, slot int, cy int, cx int, `values` array<double>")
+    table.repartitionByRange(8, "slot").sortWithinPartitions("slot").write.partitionBy("collection", "variable").parquet(str(tmp_path / "chunks"))
+    stored = spark.read.parquet(str(tmp_path / "chunks"))
+    drawn = [Row(collection="c", slot=7, variable="column", y0=0, x0=0)]
+    left = _restricted(stored, drawn, {"collection": "collection", "slot": "slot", "variable": "variable"}, ChunkShape(2, 3), 2)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "collection" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(slot,7)" in pushed or "In(slot, [7" in pushed
+    assert "LessThanOrEqual(cx,0)" in pushed and "LessThanOrEqual(cy,0)" in pushed
+    assert left.select(F.input_file_name()).distinct().count() == 1 and left.count() == 1
+    slots, held, heads, source, grids, shape = audit
+    assert found(slots, held, heads, source, grids, shape, samples=1) == []
+
+
 def test_windows_read_only_their_chunks(audit):
     slots, stored, _, _, _, shape = audit
     windows = slots.select("collection", "slot", F.lit("column").alias("variable"), F.lit(1).alias("y0"), F.lit(2).alias("x0"))

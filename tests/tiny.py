@@ -54,7 +54,7 @@ def headers_of(spark, granules: list[dict]) -> dict:
         url, at = g["url"], g["time"]
         times.append((url, g.get("times", [at]), g.get("epoch", at)))
         for grp, name, kind, dims, shape, chunk, fill in g.get("variables", VARIABLES):
-            variables.append((url, grp, name, kind, dims, shape, chunk, fill))
+            variables.append((url, grp, name, kind, dims, shape, chunk, fill, None, None))
         root = {"Conventions": '"CF-1.6"', "project": g.get("project", '"TINY"'), "history": f'"run {n}"',
                 "time_coverage_start_since_epoch": json.dumps(at), "geospatial_lat_min": str(n)}
         if "extra" in g:
