@@ -40,14 +40,23 @@ def expected_references(template: DataFrame, lengths: DataFrame, append_dim: str
 def missing_references(
     refs: DataFrame, expected: DataFrame, keys: Sequence[str] = ("collection", "variable")
 ) -> DataFrame:
-    """Arrays whose number of stored references differs from the expected number."""
-    stored = refs.groupBy(*keys).agg(F.count(F.lit(1)).alias("actual"))
+    """Arrays whose number of stored references differs from the expected number.
+
+    ``refs`` are references, or counts of them in a column ``n_refs`` (``count_references``), which are added up.
+    """
+    number = F.sum("n_refs") if "n_refs" in refs.columns else F.count(F.lit(1))
+    stored = refs.groupBy(*keys).agg(number.alias("actual"))
     out = expected.join(stored, list(keys), "left").withColumn(
         "actual", F.coalesce("actual", F.lit(0).cast("long"))
     )
     return out.filter(F.col("actual") != F.col("expected"))
 
 
+def count_references(refs: DataFrame) -> DataFrame:
+    """References of one write, counted by granule and variable: counts of several writes add up."""
+    return refs.groupBy("collection", "granule_ur", "variable").agg(F.count(F.lit(1)).alias("n_refs"))
+
+
 def overlapping_writes(writes: DataFrame, keys: Sequence[str], writer: str) -> DataFrame:
     """Keys written by more than one writer, with the number of writers."""
     return (

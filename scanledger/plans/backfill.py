@@ -17,6 +17,7 @@ from scanledger.operators.validate import (
     validate_inventory,
 )
 from scanledger.plans.store import Store, Version
+from scanledger.session import lookup
 
 
 def header_findings(
@@ -88,14 +89,9 @@ def backfill(
     ledger = store.pending(pinned).filter(F.col("collection") != config.collection)
     meta = store.meta(pinned).filter(F.col("collection") != config.collection).unionByName(header)
     slots = others.unionByName(axis.select(*others.columns))
-    # references follow their granule's exact time, not its name
-    owner = axis.select(F.col("slot"), F.col("granule_ur").alias("_ur"))
-    refs = (
-        touched["refs"].drop("granule_ur")
-        .join(placed.select("url", "slot"), "url")
-        .join(owner, "slot")
-        .withColumnRenamed("_ur", "granule_ur")
-    )
+    # references follow their granule's exact time, not its name; one narrow look-up names them in one pass
+    names = placed.join(axis.select("slot", "granule_ur"), "slot").select("url", "granule_ur")
+    refs = headers["refs"].drop("granule_ur").join(lookup(names), "url")
     store.write_refs(stage, refs)
     store.write_state(stage, slots, ledger, meta, store.retries(pinned))
 
@@ -113,7 +109,10 @@ def _slots_schema() -> str:
 def gate_version(
     store: Store, staged: DataFrame, entries: DataFrame, config: CollectionConfig, target_rows: int | None = None
 ) -> None:
-    """The gate before publishing: axis equals inventory and rises, and every chunk has its reference."""
+    """The gate before publishing: axis equals inventory and rises, and every chunk has its reference.
+
+    References are counted once, when they are written; the gate adds the counts of the granules on the axis.
+    """
     inventory = assign_slots(entries, target_rows).select(
         "collection", "slot", "time", "granule_ur", F.col("url").alias("granule_url")
     )
@@ -123,5 +122,5 @@ def gate_version(
         lengths.join(expected.select("collection").distinct(), "collection", "left_anti"), "references", F.col("collection"),
         F.lit("the template names no array along the axis"),
     )
-    gate = publish_gate(staged, inventory, store.chunk_refs(staged), expected, target_rows=target_rows)
+    gate = publish_gate(staged, inventory, store.reference_counts(staged), expected, target_rows=target_rows)
     require_valid(all_findings(gate, unchecked), "staged version")

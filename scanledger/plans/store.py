@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from scanledger import schema
 from scanledger.operators.findings import InvalidData, require_valid
+from scanledger.operators.refs import count_references
 from scanledger.operators.routing import with_changes
 from scanledger.operators.validate import validate_inventory
 from scanledger.session import lookup
@@ -250,6 +251,15 @@ class Store:
             "collection", "variable", "slot", "cy", "cx", "url", "offset", "length", "last_updated_at"
         )
 
+    def reference_counts(self, slots: DataFrame) -> DataFrame:
+        """Counts (collection, granule_ur, variable, n_refs) of the references that the axis ``slots`` sees; no reference is read."""
+        ddl = "collection string, granule_ur string, variable string, n_refs long, stage string"
+        if not path_exists(self.spark, f"{self.base}/ref_counts"):
+            return self.spark.createDataFrame([], ddl).drop("stage")
+        owners = slots.select("collection", "granule_ur", F.col("ref_stage").alias("stage"))
+        counts = self.spark.read.schema(ddl).parquet(f"{self.base}/ref_counts")
+        return counts.join(lookup(owners, pinned=False), ["collection", "granule_ur", "stage"]).drop("stage")
+
     def template(self) -> DataFrame:
         ddl = "collection string, " + schema.TEMPLATE
         rows = self.spark.read.schema(ddl).json(f"{self.base}/template")
@@ -268,6 +278,8 @@ class Store:
         rows.select("collection", "granule_ur", "variable", "cy", "cx", "url", "offset", "length", "last_updated_at").hint(
             "rebalance", "collection", "variable"
         ).write.mode("errorifexists").partitionBy("collection", "variable").parquet(f"{self.base}/refs/stage={stage}")
+        written = self.spark.read.schema(schema.GRANULE_REFS).parquet(f"{self.base}/refs/stage={stage}")
+        count_references(written).write.mode("errorifexists").parquet(f"{self.base}/ref_counts/stage={stage}")
 
     def write_state(
         self, stage: str, slots: DataFrame | None, pending: DataFrame, meta: DataFrame, retries: DataFrame | None = None
@@ -320,7 +332,7 @@ class Store:
         return (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .load([p for p in (f"{self.base}/stages", f"{self.base}/refs") if path_exists(self.spark, p)])
+            .load([p for p in (f"{self.base}/{name}" for name in ("stages", "refs", "ref_counts")) if path_exists(self.spark, p)])
             .select("path", "modificationTime", "length")
         )
 
@@ -330,7 +342,7 @@ class Store:
         A folder is what one job wrote, so their number grows with the runs, not with the data.
         """
         kept = self._needed_stages(self.newest(keep_versions))
-        folder = F.regexp_extract("path", r"^(.*/(?:stages/|refs/stage=)[^/]+)/", 1)
+        folder = F.regexp_extract("path", r"^(.*/(?:stages/|(?:refs|ref_counts)/stage=)[^/]+)/", 1)
         unneeded = expired(self._files(), kept, None).groupBy(folder.alias("folder")).agg(F.max("modificationTime").alias("newest"))
         old = [r.folder for r in unneeded.filter(F.col("newest") < F.lit(older_than).cast("timestamp")).toLocalIterator()]
         for name in old:
@@ -353,7 +365,7 @@ def expired(files: DataFrame, needed: DataFrame, older_than) -> DataFrame:
     ``needed(stage, kind)``: kind is ``state`` for stage folders and ``refs`` for reference folders.
     """
     state = F.regexp_extract("path", r"/stages/([^/]+)/", 1)
-    refs = F.regexp_extract("path", r"/refs/stage=([^/]+)/", 1)
+    refs = F.regexp_extract("path", r"/(?:refs|ref_counts)/stage=([^/]+)/", 1)
     keyed = files.withColumn("stage", F.when(state != "", state).otherwise(refs)).withColumn(
         "kind", F.when(state != "", "state").otherwise("refs")
     )

@@ -365,3 +365,15 @@ def test_expired_files_spare_what_the_current_version_needs(filled):
     # the first whole axis stays, for the forward batch has written changes to it only
     assert filled.remove_expired(future) >= 1 and filled.expired_files(future).count() == 0
     assert sorted(filled.chunk_refs(filled.slots(filled.current())).collect()) == sorted(before)
+
+
+def test_a_resort_counts_no_old_reference(spark, filled):
+    """The gate reads counts; they are those of the references themselves."""
+    current = filled.current()
+    slots = filled.slots(current)
+    counts = filled.reference_counts(slots)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "n_refs" in plan and "cy#" not in plan and "offset#" not in plan
+    assert all("/ref_counts/" in f for f in counts.inputFiles() if "/stages/" not in f)
+    want = {(r.granule_ur, r.variable): r.n for r in filled.chunk_refs(slots).join(slots.select("slot", "granule_ur"), "slot").groupBy("granule_ur", "variable").count().withColumnRenamed("count", "n").collect()}
+    assert {(r.granule_ur, r.variable): r.n_refs for r in counts.collect()} == want and want
