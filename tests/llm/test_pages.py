@@ -1,6 +1,11 @@
 """WARC round trips with hostile payloads, url rules and templates."""
 
 import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
 
 from scanledger.llm import url_filter, warc
 from scanledger.llm.common import shared_folder
@@ -105,3 +110,71 @@ def test_templates_learn_from_labels(spark):
 
 def test_urls_of_nothing(spark):
     assert url_filter.query(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def brute_shape(s):
+    forms = [("^$", ""), ("^[0-9]+$", "<number>"), (r"^[0-9]+\.[A-Za-z0-9]{1,5}$", "<number.file>"), ("^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "<date>"),
+             ("^[0-9a-fA-F-]{8,}$", "<hex>"), (r"\.[A-Za-z0-9]{1,5}$", "<file>"), ("[0-9]", "<mixed>")]
+    return next((name for form, name in forms if re.search(form, s)), "<word>")
+
+
+def brute_filter(rows):
+    """(template, purity) of rows (host, path, label), each step with dictionaries."""
+    split = [p.split("/")[1:] for _, p, _ in rows]
+    shapes = [[brute_shape(s) for s in segments] for segments in split]
+    places = [[(h, d, "/".join(sh[:d])) for d in range(len(sh))] for (h, _, _), sh in zip(rows, shapes)]
+    total, count = Counter(), Counter()
+    for segments, own in zip(split, places):
+        for s, place in zip(segments, own):
+            total[place] += 1
+            count[place, s] += 1
+    literal = {k for k, n in count.items() if n >= url_filter.MIN_SHARE * total[k[0]] and n >= url_filter.MIN_COUNT and k[1]}
+    kinds = {}
+    for (_, _, label), segments, sh, own in zip(rows, split, shapes, places):
+        for d, (s, place) in enumerate(zip(segments, own)):
+            if (place, s) in literal:
+                kind = f"{sh[d + 1] if d + 1 < len(sh) else '<end>'} {label or '-'}"
+                kinds.setdefault(place, {}).setdefault(s, Counter())[kind] += 1
+    names = {}
+    for place, held in kinds.items():
+        pooled = sum(held.values(), Counter())
+        everything, alike = sum(pooled.values()), []
+        for s, own in held.items():
+            expected = {k: sum(own.values()) * n / everything for k, n in pooled.items()}
+            chi = sum((own[k] - e) ** 2 / e for k, e in expected.items())
+            if chi <= url_filter.MAX_CHI * max(len(pooled) - 1, 1):
+                alike.append(s)
+        for s in held:
+            names[place, s] = "{" + "|".join(sorted(alike)) + "}" if s in alike else s
+    made = ["/".join(names.get((place, s), shape) for s, place, shape in zip(seg, own, sh)) for seg, own, sh in zip(split, places, shapes)]
+    bad, seen = Counter(), Counter()
+    for (host, _, label), template in zip(rows, made):
+        for key in ((), (host,), (host, template)):
+            bad[key] += label == "block"
+            seen[key] += label is not None
+    k = url_filter.STRENGTH
+    base = bad[()] / seen[()] if seen[()] else 0.0
+    out = []
+    for (host, _, _), template in zip(rows, made):
+        own = (bad[host,] + k * base) / (seen[host,] + k)
+        prior = own if seen[host, template] else min(own, base)
+        out.append((template, (bad[host, template] + k * prior) / (seen[host, template] + k)))
+    return out
+
+
+def test_templates_by_brute_force(spark):
+    draw = random.Random(21)
+    words = ["en", "fr", "es", "news", "shop", "blog", "tag"]
+    tail = lambda: draw.choice(["", str(draw.randint(0, 999)), f"a{draw.randint(0, 99)}", "2024-01-02", f"{draw.randint(1, 9)}.html", "deadbeef01", "x.css", draw.choice(words)])
+    urls = [None, "none", "http://one.com"] * 20 + ["http://one.com/" + "long/" * 3_000 + "x"]
+    for _ in range(1500):
+        host = draw.choice(["www.example.com", "m.example.com", "a.net", "a.net", "b.org", "hot.org", "hot.org"])
+        urls.append(f"http://{host}/" + "/".join([draw.choice(words) for _ in range(draw.randint(0, 2))] + [tail()]))
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: r for r in url_filter.query(with_clashes(table)).collect()}
+    labels = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block", None: None}
+    rows_ = [(found[i].host, found[i].path, labels[found[i].rule]) for i in range(len(urls))]
+    for i, (template, purity) in enumerate(brute_filter(rows_)):
+        r = found[i]
+        assert r.template == template and r.purity == pytest.approx(purity, rel=1e-9), urls[i]
+        assert r.verdict == (rows_[i][2] or ("block" if purity >= url_filter.MAX_PURITY else "allow"))
