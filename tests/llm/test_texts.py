@@ -410,3 +410,17 @@ def test_token_counts(spark):
         want.append((doc, len(words), sum(greedy(w.encode(), vocabulary, vocabulary) for w in words), 0))
     assert rows(found, "doc_id", "n_words", "n_tokens", "n_unknown") == sorted(want, key=repr)
     assert token_counts.query(documents(spark, [])).count() == 0
+
+
+def test_line_dedup_stage_with_clashes_nulls_and_repeats(spark):
+    from pyspark.sql import functions as F
+
+    line, other = "A line of more than twenty characters", "\t a LINE of more than twenty characters \r"
+    table = [(1, f"{line}\nown text of one"), (2, f"two\n{other}"), (3, line), (3, line), (None, f"{line}\nnobody's"), (4, None), (5, ""), (6, "short\nshort"), (7, "short"), (8, "short")]
+    docs = with_clashes(documents(spark, table)).select("*", *(F.lit(c).alias(c) for c in ("deduped", "kept", "n_lines", "keys_", "own_id", "doc")))
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns and out.select("deduped", "kept", "own_id_").distinct().collect() == docs.select("deduped", "kept", "own_id_").distinct().collect()
+    # the largest id keeps the line, in every copy of its row; a row without id is no document of the counts
+    kept = {1: "own text of one", 2: "two", 3: line, None: f"{line}\nnobody's", 4: None, 5: "", 6: "short\nshort", 7: "short", 8: "short"}
+    assert rows(out, "doc_id", "text") == sorted(((i, kept[i]) for i, _ in table), key=repr)
+    assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
