@@ -132,6 +132,7 @@ def cells_match(a: ColumnOrName, b: ColumnOrName) -> Column:
 _STRING = r'("(?:[^"\\]++|\\[\s\S])*+")'
 _NUMBER = r"(?<![\w.+-])-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?(?![\w.+-])"
 _TOKENS = _STRING + "|" + _NUMBER + r'|[^"0-9-]++|[\s\S]'
+_SPELLINGS = r'[0-9"{\[\s]|NaN|Infinity'  # two different texts without any of these are different JSON values
 _NUMERAL = "\ue000"  # before the text of a number: no string of the archive starts with it
 
 
@@ -165,8 +166,13 @@ def canonical_json(value: ColumnOrName) -> Column:
 
 
 def values_equal(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Structural equality of two JSON values, non-finite numbers equal in any spelling. Equal texts are not parsed."""
-    return F.when(_col(a).eqNullSafe(_col(b)), True).otherwise(canonical_json(a).eqNullSafe(canonical_json(b)))
+    """Structural equality of two JSON values, non-finite numbers equal in any spelling.
+
+    Equal texts are not parsed, nor is plain text, which has one spelling only.
+    """
+    a, b = _col(a), _col(b)
+    plain = ~a.rlike(_SPELLINGS) & ~b.rlike(_SPELLINGS)
+    return F.when(a.eqNullSafe(b), True).when(plain, False).otherwise(canonical_json(a).eqNullSafe(canonical_json(b)))
 
 
 # -- shapes and attribute maps --------------------------------------------------------------------

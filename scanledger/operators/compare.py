@@ -31,14 +31,18 @@ def compare_nodes(
     """Missing nodes, unexpected nodes and fields that differ: (keys..., problem, field, expected, found)."""
     pairs = _two_sided(expected, found, keys, fields)
 
-    def text(side: str, name: str) -> Column:
-        value, kind = F.col(f"{side}.{name}"), dict((expected if side == "want" else found).dtypes)[name]
+    def equal(name: str) -> Column:
+        want, got = F.col(f"want.{name}"), F.col(f"got.{name}")
+        kinds = {dict(side.dtypes)[name] for side in (expected, found)}
         # fill values and codecs are JSON texts themselves
-        if kind == "string":
-            return x.canonical_json(value)
-        if kind == "array<string>":
-            value = F.transform(value, x.canonical_json)
-        return F.to_json(F.struct(value.alias("v")))
+        if kinds == {"string"}:
+            return x.values_equal(want, got)
+        if kinds == {"array<string>"}:
+            parsed = F.transform(want, x.canonical_json).eqNullSafe(F.transform(got, x.canonical_json))
+            return F.when(want.eqNullSafe(got), True).otherwise(parsed)
+        if len(kinds) == 1:
+            return want.eqNullSafe(got)
+        return F.to_json(F.struct(want.alias("v"))).eqNullSafe(F.to_json(F.struct(got.alias("v"))))
 
     none = F.lit(None).cast("string")
 
@@ -52,11 +56,9 @@ def compare_nodes(
     if not allow_extra:
         issues.append(F.when(F.col("want").isNull(), issue("unexpected")))
     for name in fields:
-        # most fields are equal as they stand; only the others are parsed
-        same = F.when(F.col(f"want.{name}").eqNullSafe(F.col(f"got.{name}")), True).otherwise(text("want", name).eqNullSafe(text("got", name)))
         issues.append(
             F.when(
-                both & ~same,
+                both & ~equal(name),
                 issue(
                     "differs",
                     F.lit(name),

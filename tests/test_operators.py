@@ -43,6 +43,7 @@ def test_times(spark):
      ('"a"', '"b"', False), ("1e3", "1000", True), (None, None, True), (None, "1", False), ('"-Infinity"', "-Infinity", True), ('"say \\"NaN\\""', '"say NaN"', False),
      ("1e7", "10000000", True), ("-1e30", "-1" + "0" * 30, True), ("1e400", "Infinity", False), ("1e400", "1E+400", True), ("0.0", "-0", True),
      ("9007199254740993", "9007199254740992", False), ('{"a":1,"b":[1.0,2]}', '{"b":[1,2.00e0],"a":1}', True), ('"a1e7"', '"a10000000"', False),
+     ('true', ' true', True), ('true', 'false', False),
      ('[1e2,"1e2"]', '[100,"1e2"]', True), ("01", "1", False), ('"1"', "1", False), ('"' + "x" * 200_000 + '"', '"' + "x" * 200_000 + 'y"', False)],
 )
 def test_values_equal(spark, a, b, equal):
