@@ -12,8 +12,9 @@ their shingle sets is 0.8 or more; documents form classes by chains of links.
    the Jaccard similarity of the sets, however often either text repeats a shingle: a pair at 0.8 shares no bucket with probability 5e-5.
 3. Within a bucket all nodes are verified against one centre, the node with most bucket mates, not against each other. Nodes of buckets
    that then lie in several classes are compared across classes by prefix filtering, which is exact: two sets at the similarity share
-   a shingle among their rarest few. So no candidate of the bands is left out, and a large group of near copies costs a multiple of
-   its size instead of its square.
+   a shingle among their rarest few. Many nodes under one such shingle meet a centre first, in rounds; then only nodes of different
+   classes and of sizes that allow the similarity are paired. So no candidate of the bands is left out, and a large group of near
+   copies costs a multiple of its size instead of its square.
 4. Links become classes by alternating stars, in rounds that grow with the logarithm of the longest chain.
 
 Defined results: a null text is a class of its own; texts without words belong together only if they are equal. The class id is the
@@ -23,6 +24,7 @@ smallest doc_id in the class (null only if all are null). Rows with the same id
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,8 @@ WORDS = 5
 BANDS, BAND_SIZE = 25, 5
 SLOTS = 1 << 18  # counters of the shingle order, whatever the input
 CHUNK = 1 << 20  # bytes of one text that are hashed at a time
+GATHERED = 1_000  # about how many nodes of one bucket meet its centre in one task
+HOT, TURNS = 32, 4  # nodes under one shingle that meet a centre before each other, and how often; saves comparisons, changes no result
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -219,19 +223,19 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n, pull) of the buckets with two or more nodes; pull counts a node's bucket mates over all its bands."""
+    """(bucket, members, node, n, pull) of the buckets with two or more nodes; pull counts a node's bucket mates over all its bands."""
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     sizes = written(members.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "bucket-sizes")
     shared = written(members.join(lookup(sizes, pinned=False), "bucket"), "shared")
     pulls = shared.groupBy("node").agg(F.sum("members").alias("pull"))
-    return written(shared.join(pulls, "node").select("bucket", "node", "n", "pull"), "buckets")
+    return written(shared.join(pulls, "node").select("bucket", "members", "node", "n", "pull"), "buckets")
 
 
-def _prefix_pairs(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of ``mixed`` (node, root) with different roots that can reach the similarity, by prefix filtering.
+def _prefixes(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(shingle, at, n, size, node): the rarest shingles of each node, of which two sets at the similarity share one.
 
-    With shingles in one order, rare ones first, two sets of that similarity share one among their first few; where it can stand depends
-    on both sizes. Any common order gives the same pairs in the end; this one counts shingles in a fixed number of slots.
+    ``at`` is the place in the order, rare ones first, and ``size`` a class of set sizes: two sets at the similarity lie in one class or
+    in neighbouring ones. Any common order gives the same pairs in the end; this one counts shingles in a fixed number of slots.
     """
     own = written(mixed.join(sets, "node"), "mixed-shingles")
     slot = F.pmod(F.col("s"), F.lit(SLOTS))
@@ -249,29 +253,102 @@ def _prefix_pairs(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataF
                 order = np.lexsort((values, sent.value[values % SLOTS]))[:first]
                 rows += [(int(s), at, i, len(values)) for at, s in enumerate(values[order])]
             shingle, at, row, n = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [])
-            row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shingle, pa.int64()), pa.array(at, pa.int32()), pa.array(n, pa.int32()),
-                 batch.column("node").take(row), batch.column("root").take(row)],
-                ["shingle", "at", "n", "node", "root"],
+                 batch.column("node").take(pa.array(row, pa.int64()))],
+                ["shingle", "at", "n", "node"],
             )
 
-    prefixes = written(
-        own.select("node", "root", "shingles").mapInArrow(run, "shingle long, at int, n int, node binary, root binary"), "prefixes"
-    )
-    a, b = prefixes.alias("a"), prefixes.alias("b")
-    least = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
-    meets = (
-        (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
-        & (F.col("a.at") <= F.col("a.n") - least) & (F.col("b.at") <= F.col("b.n") - least)
+    width = max(-math.log(similarity), 1e-6) * (1 + 1e-9)
+    found = own.select("node", "shingles").mapInArrow(run, "shingle long, at int, n int, node binary")
+    return written(found.withColumn("size", F.floor(F.log("n") / width)), "prefixes")
+
+
+def _several(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups of ``rows`` (node, root, ...) whose nodes lie in several classes, with their number of members."""
+    return rows.groupBy(*keys).agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
+    ).filter("low != high").drop("low", "high")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, root), the roots of linked nodes being one."""
+    a, b = (labels.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in ("a", "b"))
+    between = links.join(a, "a").join(b, "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    moved = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return written(labels.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "labels")
+
+
+def _around_centres(
+    prefixes: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float
+) -> tuple[list[DataFrame], DataFrame]:
+    """Links found between nodes under a frequent shingle and one of them, and the labels after that.
+
+    In each round every group of a shingle and a size has a centre, and every node there that is in another class asks the centre of the
+    largest such group it is in. Ends when no group is left, a round finds nothing, or after ``TURNS`` rounds.
+    """
+    found = []
+    for turn in range(TURNS):
+        rows = prefixes.join(labels, "node")
+        hot = written(_several(rows, ["shingle", "size"]).filter(F.col("members") > HOT), "hot-shingles")
+        if hot.isEmpty():
+            break
+        rows = written(rows.join(lookup(hot, pinned=False), ["shingle", "size"]), "hot-rows")
+        drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "root")
+        centres = written(rows.groupBy("shingle", "size").agg(F.max(drawn).alias("c")), "hot-centres")
+        asked = rows.join(lookup(centres, pinned=False), ["shingle", "size"]).filter(
+            (F.col("root") != F.col("c.root")) & (F.least("n", "c.n") >= similarity * F.greatest("n", "c.n"))
+        )
+        pairs = asked.groupBy(F.col("node").alias("b")).agg(F.max(F.struct("members", "c.node")).alias("c"))
+        links = written(_verified(pairs.select(F.col("c.node").alias("a"), "b"), sets, similarity).select("a", "b"), "links-hot")
+        if links.isEmpty():
+            break
+        found.append(links)
+        labels = _merged(labels, links)
+    return found, labels
+
+
+def _prefix_pairs(prefixes: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of nodes with different roots that can reach the similarity, by prefix filtering.
+
+    Where a shared shingle can stand depends on both sizes. Under one shingle classes are paired first, so nodes of one class never meet.
+    """
+    rows = prefixes.join(labels, "node")
+    mixed = lookup(written(_several(rows, ["shingle"]).select("shingle"), "mixed-shingles"), pinned=False)
+    rows = written(rows.join(mixed, "shingle", "left_semi"), "mixed-prefixes")
+    groups = rows.select("shingle", "root", "size").distinct()
+    a, b = (
+        groups.select("shingle", F.col("root").alias(f"{x}_root"), F.col("size").alias(f"{x}_size")) for x in ("a", "b")
     )
-    return a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    met = a.join(b, "shingle").filter("a_root < b_root AND abs(a_size - b_size) <= 1")
+    for x in ("a", "b"):
+        own = rows.select(
+            "shingle", F.col("root").alias(f"{x}_root"), F.col("size").alias(f"{x}_size"), F.col("node").alias(x),
+            F.col("n").alias(f"{x}_n"), F.col("at").alias(f"{x}_at"),
+        )
+        met = met.join(own, ["shingle", f"{x}_root", f"{x}_size"])
+    least = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("a_n") + F.col("b_n")) - 1e-9)
+    near = met.filter((F.col("a_at") <= F.col("a_n") - least) & (F.col("b_at") <= F.col("b_n") - least))
+    return near.select("a", "b").distinct()
+
+
+def _across(labels: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join all classes of ``labels`` (node, root) in which two nodes reach the similarity."""
+    prefixes = _prefixes(labels, sets, similarity)
+    found, labels = _around_centres(prefixes, labels, sets, similarity)
+    links = _verified(_prefix_pairs(prefixes, labels, similarity), sets, similarity).select("a", "b")
+    for more in found:
+        links = links.unionByName(more)
+    return links
 
 
 def _classes(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(node, root) of all nodes with a link."""
-    centre = buckets.groupBy("bucket").agg(F.max(F.struct("pull", "node", "n")).alias("c"), F.count("*").alias("members"))
-    near = buckets.join(centre, "bucket").filter(
+    # a large bucket meets its centre in parts
+    parts = F.ceil(F.col("members") / GATHERED)
+    centre = buckets.groupBy("bucket").agg(F.max(F.struct("pull", "node", "n")).alias("c"), F.max("members").alias("members"))
+    centre = centre.select("bucket", "c", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    near = buckets.withColumn("part", F.pmod(F.xxhash64("node"), parts)).join(centre, ["bucket", "part"]).filter(
         (F.col("node") != F.col("c.node")) & (F.least("n", "c.n") >= similarity * F.greatest("n", "c.n"))
     )
     pairs = near.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b")).agg(F.max("c.pull").alias("pull"))
@@ -282,14 +359,12 @@ def _classes(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     above = under.select(F.col("node").alias("root"), F.col("root").alias("top"))
     label = under.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     labelled = written(buckets.join(label, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
-    mixed = labelled.groupBy("bucket").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
-    ).filter("low != high AND members > 2").select("bucket")
+    mixed = _several(labelled.drop("members"), ["bucket"]).filter("members > 2").select("bucket")
     mixed = lookup(written(mixed, "mixed-buckets"), pinned=False)
     rest = written(labelled.join(mixed, "bucket", "left_semi").groupBy("node").agg(F.first("root").alias("root")), "mixed")
     links = links.select("a", "b")
     if not rest.isEmpty():
-        links = links.unionByName(_verified(_prefix_pairs(rest, sets, similarity), sets, similarity).select("a", "b"))
+        links = links.unionByName(_across(rest, sets, similarity))
     return written(components(links), "classes")
 
 
