@@ -240,49 +240,6 @@ def test_a_large_group_of_near_copies(spark):
     assert rows(found, "doc_id", "class_id") == brute_classes(table)
 
 
-def hot_group(spark, count, common, own):
-    """(labels, sets) of nodes with ``common`` shared shingles and ``own`` of their own, each its own class."""
-    draw = np.random.default_rng(7)
-    shared = draw.integers(-(2**62), 2**62, common)
-    sets = [np.unique(np.r_[shared, draw.integers(-(2**62), 2**62, own)]).tolist() for _ in range(count)]
-    nodes = [hashlib.md5(str(i).encode()).digest() for i in range(count)]
-    labels = spark.createDataFrame([(x, x) for x in nodes], "node binary, root binary")
-    return labels, spark.createDataFrame(list(zip(nodes, sets)), "node binary, shingles array<long>")
-
-
-def test_one_shingle_in_many_near_copies_costs_few_pairs(spark):
-    near_dedup.with_python(spark)
-    labels, sets = hot_group(spark, 5_000, 40, 5)  # any two at 40 / 50
-    prefixes = near_dedup._prefixes(labels, sets, 0.8)
-    assert prefixes.groupBy("shingle").count().agg({"count": "max"}).first()[0] == 5_000
-    found, after = near_dedup._around_centres(prefixes, labels, sets, 0.8)
-    assert sum(x.count() for x in found) < 2 * 5_000
-    assert after.select("root").distinct().count() == 1
-    assert near_dedup._prefix_pairs(prefixes, after, 0.8).count() == 0
-
-
-def test_hot_shingles_lose_no_link(spark):
-    near_dedup.with_python(spark)
-    draw = np.random.default_rng(8)
-    shared = draw.integers(-(2**62), 2**62, 60)
-    sets = [set(draw.choice(shared, 52, replace=False).tolist()) for _ in range(150)]  # some pairs reach it, some don't
-    sets += [set(shared[:45].tolist()) | set(draw.integers(-(2**62), 2**62, 4).tolist()) for _ in range(60)]
-    nodes = [hashlib.md5(str(i).encode()).digest() for i in range(len(sets))]
-    root = list(range(len(sets)))
-    for i in range(len(sets)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    labels = spark.createDataFrame([(x, x) for x in nodes], "node binary, root binary")
-    links = near_dedup._across(labels, spark.createDataFrame([(x, list(y)) for x, y in zip(nodes, sets)], "node binary, shingles array<long>"), 0.8)
-    known = {bytes(r.node): bytes(r.root) for r in near_dedup.components(links).collect()}
-    classes = {}
-    for i, x in enumerate(nodes):
-        classes.setdefault(known.get(x, x), set()).add(root[i])
-    assert len(classes) == len(set(root)) and all(len(x) == 1 for x in classes.values())
-
-
 def test_near_copies_with_a_block_repeated_many_times(spark):
     table = []
     for i in range(30):
