@@ -250,3 +250,17 @@ def truncate_value(text: ColumnOrName, limit: int = 500) -> Column:
         F.substring(text, 1, limit), F.lit(" (cut from "), F.length(text).cast("string"), F.lit(" characters)")
     )
     return F.when(F.length(text) > limit, cut).otherwise(text)
+
+
+def interleaved(y: Column | str, x: Column | str) -> Column:
+    """Place of (y, x) on the Z-order curve: the bits of both, taken in turn. For numbers from 0 to 2**31 - 1."""
+
+    def spread(name: Column | str) -> Column:
+        value = (F.col(name) if isinstance(name, str) else name).cast("long")
+        for step in (16, 8, 4, 2, 1):  # halves move apart, then quarters, ... then single bits
+            run = (1 << step) - 1
+            mask = sum(run << at for at in range(0, 64, 2 * step))
+            value = value.bitwiseOR(F.shiftleft(value, step)).bitwiseAND(F.lit(mask))
+        return value
+
+    return F.shiftleft(spread(y), 1).bitwiseOR(spread(x))

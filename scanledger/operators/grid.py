@@ -31,14 +31,19 @@ def cells_of(chunks: DataFrame, shape: ChunkShape, keys: Sequence[str]) -> DataF
     return flat.select(*keys, y.cast("int").alias("y"), x.cast("int").alias("x"), "value")
 
 
+def touching(chunks: DataFrame, shape: ChunkShape, y0: int, x0: int, height: int, width: int) -> DataFrame:
+    """The chunks, or references of chunks, that a rectangle of cells touches; a pixel is one of height and width 1."""
+    return chunks.filter(
+        F.col("cy").between(y0 // shape.height, (y0 + height - 1) // shape.height)
+        & F.col("cx").between(x0 // shape.width, (x0 + width - 1) // shape.width)
+    )
+
+
 def window_slice(
     chunks: DataFrame, shape: ChunkShape, y0: int, x0: int, height: int, width: int, keys: Sequence[str]
 ) -> DataFrame:
     """Cells of one rectangle, for every slot and variable of ``chunks`` (filter those first)."""
-    touched = chunks.filter(
-        F.col("cy").between(y0 // shape.height, (y0 + height - 1) // shape.height)
-        & F.col("cx").between(x0 // shape.width, (x0 + width - 1) // shape.width)
-    )
+    touched = touching(chunks, shape, y0, x0, height, width)
     inside = F.col("y").between(y0, y0 + height - 1) & F.col("x").between(x0, x0 + width - 1)
     return cells_of(touched, shape, keys).filter(inside)
 

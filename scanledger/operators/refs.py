@@ -57,6 +57,14 @@ def count_references(refs: DataFrame) -> DataFrame:
     return refs.groupBy("collection", "granule_ur", "variable").agg(F.count(F.lit(1)).alias("n_refs"))
 
 
+def in_chunk_order(refs: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """References sorted inside their partitions by group and then along the Z-order curve of (cy, cx).
+
+    Written so, a row group holds a compact patch of chunks, and its statistics of cy and cx let readers of a window skip it.
+    """
+    return refs.sortWithinPartitions(*groups, x.interleaved("cy", "cx"))
+
+
 def overlapping_writes(writes: DataFrame, keys: Sequence[str], writer: str) -> DataFrame:
     """Keys written by more than one writer, with the number of writers."""
     return (

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from scanledger import schema
 from scanledger.operators.findings import InvalidData, require_valid
-from scanledger.operators.refs import count_references
+from scanledger.operators.refs import count_references, in_chunk_order
 from scanledger.operators.routing import with_changes
 from scanledger.operators.validate import validate_inventory
 from scanledger.session import lookup
@@ -274,10 +274,11 @@ class Store:
         rows.write.mode("errorifexists").parquet(f"{self.base}/stages/{stage}/{name}")
 
     def write_refs(self, stage: str, rows: DataFrame) -> None:
-        """References of the granules a job wrote; AQE splits hot (collection, variable) pairs."""
-        rows.select("collection", "granule_ur", "variable", "cy", "cx", "url", "offset", "length", "last_updated_at").hint(
-            "rebalance", "collection", "variable"
-        ).write.mode("errorifexists").partitionBy("collection", "variable").parquet(f"{self.base}/refs/stage={stage}")
+        """References of the granules a job wrote, in chunk order; AQE splits hot (collection, variable) pairs."""
+        balanced = rows.select(
+            "collection", "granule_ur", "variable", "cy", "cx", "url", "offset", "length", "last_updated_at"
+        ).hint("rebalance", "collection", "variable")
+        in_chunk_order(balanced, ["collection", "variable"]).write.mode("errorifexists").partitionBy("collection", "variable").parquet(f"{self.base}/refs/stage={stage}")
         written = self.spark.read.schema(schema.GRANULE_REFS).parquet(f"{self.base}/refs/stage={stage}")
         count_references(written).write.mode("errorifexists").parquet(f"{self.base}/ref_counts/stage={stage}")
 

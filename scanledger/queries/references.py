@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from scanledger.operators import refs as ops, slots as slot_ops
+from scanledger.operators.grid import ChunkShape, touching
 from scanledger.queries.axis import _MERGE_SQL, pinned_axes
 from scanledger.queries.registry import REF_KEY, REFS_SQL, line_refs, query, table
+from scanledger.session import ensure_checkpoint_dir
 
 _MERGED_SQL = f"""{REFS_SQL},
 merged_refs AS (
@@ -186,3 +190,20 @@ def append_slot(spark, sf):
     held, new = refs.filter("variable = 'F'"), refs.filter("variable = 'O'").drop("slot")
     lengths = held.groupBy("collection").agg(F.count_distinct("slot").alias("n_slots"))
     return ops.append_slot(held, lengths, new)
+
+
+@query(
+    "window_references",
+    """SELECT l_returnflag AS collection, l_linestatus AS variable, l_orderkey AS slot, l_linenumber AS cy,
+              CAST(l_suppkey % 64 AS INTEGER) AS cx, l_partkey AS "offset"
+       FROM lineitem WHERE l_linenumber BETWEEN 2 AND 4 AND l_suppkey % 64 BETWEEN 10 AND 17""",
+)
+def window_references(spark, sf):
+    # lineitem as references of a grid of 8 by 64 chunks of 10 by 5 cells, written in chunk order and read back by a window of cells
+    folder = f"{ensure_checkpoint_dir(spark)}/refs-{uuid.uuid4().hex}"
+    refs = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("collection"), F.col("l_linestatus").alias("variable"), F.col("l_orderkey").alias("slot"),
+        F.col("l_linenumber").cast("int").alias("cy"), (F.col("l_suppkey") % 64).cast("int").alias("cx"), F.col("l_partkey").alias("offset"),
+    )
+    ops.in_chunk_order(refs.hint("rebalance", "collection", "variable"), ["collection", "variable"]).write.parquet(folder)
+    return touching(spark.read.schema(refs.schema).parquet(folder), ChunkShape(10, 5), 25, 52, 20, 38)

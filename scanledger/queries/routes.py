@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from scanledger import schema
 from scanledger.operators import routing as ops
 from scanledger.operators.slots import stuck_pending, upsert_pending
-from scanledger.plans.poll import initial_watermark, poll_increment
+from scanledger.plans.poll import initial_watermark, poll_increment, poll_landed
 from scanledger.queries.registry import (
     ROUTE_SQL,
     arrivals,
@@ -20,7 +21,7 @@ from scanledger.queries.registry import (
 )
 from scanledger.queries.scalars import _MESSAGES_SQL, messages
 from scanledger.sources.catalogue import flatten_records
-from scanledger.session import pin
+from scanledger.session import ensure_checkpoint_dir, pin
 from scanledger.sources.messages import read_messages
 
 
@@ -196,3 +197,25 @@ def poll(spark, sf):
 def poll_unlinked(spark, sf):
     since = initial_watermark(datetime(2024, 1, 30, tzinfo=timezone.utc), "2024-01-20T00:00:00")
     return poll_increment(flatten_records(event_records(spark, sf)), F.lit(since))[1].select("position", "concept_id")
+
+
+@query(
+    "poll_landed",
+    """SELECT 's3://archive/E' || event_id || '.nc' AS url, event_type AS concept_id, 'E' || event_id AS granule_ur FROM events
+       WHERE ts >= TIMESTAMP '2024-01-14 12:00:00' AND event_type <> 'error'""",
+)
+def poll_landed_pages(spark, sf):
+    # events as pages of up to 500 records, landed on the day they are from; the poll starts in the middle of a day
+    base = f"{ensure_checkpoint_dir(spark)}/poll-{uuid.uuid4().hex}"
+    records = event_records(spark, sf).withColumn("day", F.to_date(F.col("meta.`revision-date`").substr(1, 10)))
+    pages = records.groupBy("day", F.floor(F.col("position") / 500).alias("page")).agg(
+        F.collect_list(F.struct("meta", "umm")).alias("items")
+    )
+    pages.select("day", "items").write.option("maxRecordsPerFile", 1).partitionBy("day").json(f"{base}/pages")
+
+    def send(urls, batch_id):
+        urls.select("url", "concept_id", "granule_ur").write.mode("overwrite").parquet(f"{base}/sent/batch={batch_id}")
+
+    now = datetime(2024, 1, 22, 12, tzinfo=timezone.utc)
+    poll_landed(spark, f"{base}/pages", f"{base}/progress", f"{base}/mark", send, now, "2024-01-15T12:00:00")
+    return spark.read.schema("url string, concept_id string, granule_ur string").parquet(f"{base}/sent")

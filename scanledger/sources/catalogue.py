@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,23 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_catalogue_days(
+    spark: SparkSession, path: str, since: datetime | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """Records of listing pages landed under ``path/day=YYYY-MM-DD``, the UTC day of landing, in listing order inside a day.
+
+    A record is not listed before it is revised, so folders of days before ``since`` hold nothing revised from then on and are not
+    read. With ``files_per_batch`` the pages are a stream of so many files a batch.
+    """
+    reader = spark.read if files_per_batch is None else spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    pages = reader.schema(f"{schema.CATALOGUE_PAGE}, day date").option("multiLine", True).json(path)
+    if since is not None:
+        pages = pages.filter(F.col("day") >= F.lit(since.astimezone(timezone.utc).date()))
+    items = pages.select("day", F.col("_metadata.file_name").alias("page"), F.posexplode("items").alias("index", "item"))
+    position = F.struct("day", _page_number("page").alias("number"), "page", "index")
+    return items.select(position.alias("position"), "item.meta", "item.umm")
+
+
 def _page_number(name: str) -> Column:
     """So that page 10 comes after page 2."""
     return F.regexp_extract(name, r"([0-9]+)[^0-9]*$", 1).try_cast("long")
@@ -78,9 +97,10 @@ def read_collections(spark: SparkSession, path: str) -> DataFrame:
 
 def audit_records(flat: DataFrame, collection: str, target_rows: int | None = None) -> DataFrame:
     """Flat records with a link, as ``nearest_granule`` takes them: times in axis seconds and the listing rank as a number."""
+    parts = {f"_{name}": F.col("position")[name] for name in flat.schema["position"].dataType.names}
     listed = flat.filter(F.col("url").isNotNull() & F.col("begin").isNotNull()).select(
         F.lit(collection).alias("collection"), x.axis_seconds("begin").alias("begin"),
         x.axis_seconds(F.coalesce("end", "begin")).alias("end"), "url", "granule_ur",
-        F.col("position.number").alias("_number"), F.col("position.page").alias("_page"), F.col("position.index").alias("_index"),
+        *(column.alias(name) for name, column in parts.items()),
     )
-    return ordered_position(listed, ["collection"], ["_number", "_page", "_index"], "rank", target_rows).drop("_number", "_page", "_index")
+    return ordered_position(listed, ["collection"], list(parts), "rank", target_rows).drop(*parts)

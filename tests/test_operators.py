@@ -293,3 +293,46 @@ def test_polygon_bounds_reach_the_scan(spark, tmp_path):
     assert sorted((r.y, r.x, r.value) for r in out.collect()) == sorted(
         (y, x, y // 2 * 100 + x // 2 * 10 + y % 2 * 2.0 + x % 2) for y in (4, 5, 6) for x in (4, 5, 6)
     )
+
+
+def test_references_in_chunk_order_are_read_by_row_groups(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from scanledger.operators.grid import touching
+    from scanledger.operators.refs import in_chunk_order
+
+    side = 128
+    refs = spark.range(side * side * 8).select(
+        F.lit("c").alias("collection"), F.lit("v").alias("variable"), (F.col("id") % 8).cast("int").alias("slot"),
+        (F.floor(F.col("id") / 8) % side).cast("int").alias("cy"), (F.floor(F.col("id") / (8 * side))).cast("int").alias("cx"),
+        F.concat(F.lit("s3://archive/"), F.sha2(F.col("id").cast("string"), 256)).alias("url"),
+    ).coalesce(1)
+
+    def needed(name, df, y, x):
+        folder = str(tmp_path / name)
+        df.write.option("parquet.block.size", 256 * 1024).parquet(folder)
+        groups = met = 0
+        for file in glob.glob(f"{folder}/*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            for i in range(meta.num_row_groups):
+                row = meta.row_group(i)
+                at = {row.column(j).path_in_schema: row.column(j).statistics for j in range(row.num_columns)}
+                groups += 1
+                met += at["cy"].min <= y <= at["cy"].max and at["cx"].min <= x <= at["cx"].max
+        window = touching(spark.read.parquet(folder), ChunkShape(1, 1), y, x, 3, 3)
+        assert "GreaterThanOrEqual(cy" in window._jdf.queryExecution().executedPlan().toString()
+        return groups, met, sorted(window.select("slot", "cy", "cx", "url").collect())
+
+    by_row = needed("plain", refs.sortWithinPartitions("slot", "cy", "cx"), 40, 70)
+    ordered = needed("ordered", in_chunk_order(refs, ["collection", "variable"]), 40, 70)
+    assert by_row[2] == ordered[2] and len(ordered[2]) == 72
+    assert ordered[0] > 16 and 4 * ordered[1] <= by_row[1]  # boxes of neighbouring stretches of the curve may overlap
+
+
+def test_the_curve_takes_bits_in_turn(spark):
+    pairs = [(0, 0), (0, 1), (1, 0), (5, 3), (2**31 - 1, 2**31 - 1), (2**31 - 1, 0), (12345, 678901)]
+    found = spark.createDataFrame(pairs, "y int, x int").select("y", "x", x.interleaved("y", "x").alias("z")).collect()
+    for r in found:
+        assert r.z == sum(((r.y >> i & 1) << (2 * i + 1)) | ((r.x >> i & 1) << (2 * i)) for i in range(31))

@@ -10,7 +10,7 @@ from scanledger import schema
 from scanledger.config import VOLATILE_ATTRIBUTES, CollectionConfig, load_collection
 from scanledger.operators import catalogue as ops
 from scanledger.operators.validate import validate_inventory
-from scanledger.plans.poll import OVERLAP, initial_watermark, poll
+from scanledger.plans.poll import OVERLAP, initial_watermark, poll, poll_landed
 from scanledger.sources import catalogue, files, inventory, template
 from scanledger.sources.messages import read_messages
 
@@ -223,6 +223,49 @@ def test_watermark_and_poll(spark, records, tmp_path):
     assert poll(spark, records, path, lambda df: df.collect(), later) == now - OVERLAP
 
 
+def test_landed_pages_are_polled_once_by_day(spark, tmp_path):
+    pages, progress, mark = (str(tmp_path / x) for x in ("pages", "progress", "mark"))
+
+    def land(day, name, *items):
+        folder = tmp_path / "pages" / f"day={day}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(json.dumps({"items": list(items)}, indent=1))
+
+    land("2026-07-30", "page-1.json", item("old", date="2026-07-30T10:00:00Z"))
+    land("2026-08-01", "page-1.json", item("early", date="2026-07-31T23:00:00Z"), item("a"), item("b", direct=False))
+    land("2026-08-02", "page-10.json", item("d", date="2026-08-02T01:00:00Z"))
+    land("2026-08-02", "page-2.json", item("c", date="2026-08-02T01:00:00Z"))
+    since = datetime.datetime(2026, 8, 1, tzinfo=UTC)
+    read = catalogue.flatten_records(catalogue.read_catalogue_days(spark, pages, since))
+    assert [r.granule_ur for r in read.orderBy("position").collect()] == ["early", "a", "b", "c", "d"]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2026-08-01" in plan
+    ranked = catalogue.audit_records(read, "X").orderBy("rank").collect()
+    assert [r.granule_ur for r in ranked] == ["early", "a", "c", "d"]
+
+    sent, batches = [], []
+
+    def send(urls, batch_id):
+        if not batches:
+            batches.append(("failed", batch_id))
+            raise RuntimeError("queue down")
+        batches.append(("sent", batch_id))
+        sent.extend(r.granule_ur for r in urls.collect())
+
+    now = datetime.datetime(2026, 8, 3, tzinfo=UTC)
+    first = "2026-08-02T00:00:00"
+    with pytest.raises(Exception, match="queue down"):
+        poll_landed(spark, pages, progress, mark, send, now, first, 1)
+    assert files.read_watermark(spark, mark) is None
+    assert poll_landed(spark, pages, progress, mark, send, now, first, 1) == since
+    assert batches[0] == ("failed", 0) and batches[1] == ("sent", 0)  # the same batch again
+    assert sorted(sent) == ["a", "c", "d"]
+    sent.clear()
+    land("2026-08-03", "page-1.json", item("e", date="2026-08-02T12:00:00Z"), item("d", date="2026-08-01T01:00:00Z"))
+    assert poll_landed(spark, pages, progress, mark, send, now + datetime.timedelta(hours=1), first, 1) == now - OVERLAP
+    assert sent == ["e"]  # pages read before are not read again
+
+
 def test_first_poll_start():
     now = datetime.datetime(2026, 8, 20, tzinfo=UTC)
     assert initial_watermark(now) == now - datetime.timedelta(days=8)
