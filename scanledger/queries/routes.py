@@ -218,4 +218,4 @@ def poll_landed_pages(spark, sf):
 
     now = datetime(2024, 1, 22, 12, tzinfo=timezone.utc)
     poll_landed(spark, f"{base}/pages", f"{base}/progress", f"{base}/mark", send, now, "2024-01-15T12:00:00")
-    return spark.read.schema("url string, concept_id string, granule_ur string").parquet(f"{base}/sent")
+    return spark.read.schema("url string, concept_id string, granule_ur string").parquet(f"{base}/sent/batch=*")
