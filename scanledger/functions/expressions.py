@@ -186,14 +186,14 @@ def expected_chunks(shape: ColumnOrName, chunk_shape: ColumnOrName) -> Column:
     return F.aggregate(counts, F.lit(1).cast("long"), lambda acc, n: acc * n)
 
 
-def resized_shape(dims: ColumnOrName, shape: ColumnOrName, sizes: dict[str, int | Column]) -> Column:
-    """Shape with the named dimensions set to new sizes."""
+def resized_shape(dims: ColumnOrName, shape: ColumnOrName, sizes: dict[str, int | Column], kind: str = "int") -> Column:
+    """Shape with the named dimensions set to new sizes; ``kind`` is the type of the shape's numbers."""
 
     def one(dim: Column, extent: Column) -> Column:
         out = extent
         for name, size in sizes.items():
             size = size if isinstance(size, Column) else F.lit(size)
-            out = F.when(dim == name, size.cast("int")).otherwise(out)
+            out = F.when(dim == name, size.cast(kind)).otherwise(out)
         return out
 
     return F.when(_col(dims).isNull(), _col(shape)).otherwise(F.zip_with(_col(dims), _col(shape), one))

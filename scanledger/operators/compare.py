@@ -372,7 +372,7 @@ def align_collections(
     if within_seconds is not None:
         near = near.filter(F.col("distance") <= within_seconds)
     return near.select(
-        F.col("id").cast("int").alias("slot"), F.col("at").alias("time"),
+        F.col("id").alias("slot"), F.col("at").alias("time"),
         F.col("nearest.s").alias("other_slot"), F.col("distance").alias("gap"),
     )
 

@@ -31,7 +31,7 @@ def expected_references(template: DataFrame, lengths: DataFrame, append_dim: str
         & F.array_contains("dims", append_dim)
         & ~F.ltrim(F.col("path"), F.lit("/")).isin(append_dim, *OWNER_ARRAYS)
     ).select("collection", F.ltrim(F.col("path"), F.lit("/")).alias("variable"), "dims", "shape", "chunk_shape")
-    shape = x.resized_shape("dims", "shape", {append_dim: F.col("n_slots")})
+    shape = x.resized_shape("dims", F.col("shape").cast("array<long>"), {append_dim: F.col("n_slots")}, "long")
     return arrays.join(lengths.select("collection", "n_slots"), "collection").select(
         "collection", "variable", x.expected_chunks(shape, "chunk_shape").alias("expected")
     )
@@ -121,7 +121,7 @@ def write_region(refs: DataFrame, new_refs: DataFrame) -> DataFrame:
 def append_slot(refs: DataFrame, lengths: DataFrame, new_refs: DataFrame) -> DataFrame:
     """Add references of one new granule per collection at the next free position."""
     placed = new_refs.join(lengths.select("collection", "n_slots"), "collection", "left").withColumn(
-        "slot", F.coalesce("n_slots", F.lit(0)).cast("int")
+        "slot", F.coalesce("n_slots", F.lit(0)).cast("long")
     )
     return refs.unionByName(placed.select(*refs.columns))
 

@@ -24,12 +24,11 @@ def assign_slots(
     entries: DataFrame, target_rows: int | None = None, sized_by: DataFrame | None = None
 ) -> DataFrame:
     """Add ``slot``: 0-based position by time inside the collection (UR breaks ties)."""
-    out = ordered_position(entries, ["collection"], ["time", "granule_ur"], "slot", target_rows, sized_by)
-    return out.withColumn("slot", F.col("slot").cast("int"))
+    return ordered_position(entries, ["collection"], ["time", "granule_ur"], "slot", target_rows, sized_by)
 
 
 def assign_partitions(slots: DataFrame, size: int = 500) -> DataFrame:
-    return slots.withColumn("partition_id", F.floor(F.col("slot") / size).cast("int"))
+    return slots.withColumn("partition_id", F.floor(F.col("slot") / size))
 
 
 def assign_batches(slots: DataFrame, size: int = 500, batch: int = 10) -> DataFrame:
@@ -142,7 +141,7 @@ def first_shift(slots: DataFrame, merged: DataFrame) -> DataFrame:
     )
     changed = F.when(~F.col("_old").eqNullSafe(F.col("_new")), F.col("slot"))
     out = pairs.groupBy("collection").agg(F.min(changed).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    return out.select("collection", F.coalesce("_first", F.col("_n").cast("int")).alias("first_shift"))
+    return out.select("collection", F.coalesce("_first", F.col("_n")).alias("first_shift"))
 
 
 def relocation_map(slots: DataFrame, merged: DataFrame, shifts: DataFrame | None = None) -> DataFrame:

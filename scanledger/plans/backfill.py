@@ -116,7 +116,7 @@ def gate_version(
     inventory = assign_slots(entries, target_rows).select(
         "collection", "slot", "time", "granule_ur", F.col("url").alias("granule_url")
     )
-    lengths = staged.groupBy("collection").agg(F.count(F.lit(1)).cast("int").alias("n_slots"))
+    lengths = staged.groupBy("collection").agg(F.count(F.lit(1)).alias("n_slots"))
     expected = expected_references(_of(store.template(), config.collection), lengths, config.append_dim)
     unchecked = as_findings(
         lengths.join(expected.select("collection").distinct(), "collection", "left_anti"), "references", F.col("collection"),

@@ -18,7 +18,7 @@ def _grid_slots(spark, sf):
     vectors = table(spark, sf, "embeddings")
     url = F.concat(F.lit("s3://archive/v"), F.col("vec_id").cast("string"), F.lit(".nc"))
     return vectors.select(
-        F.concat(F.lit("v"), F.col("label").cast("string")).alias("collection"), F.col("vec_id").cast("int").alias("slot"),
+        F.concat(F.lit("v"), F.col("label").cast("string")).alias("collection"), F.col("vec_id").cast("long").alias("slot"),
         (F.col("vec_id") * 3600.0).alias("time"), F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("granule_ur"),
         url.alias("granule_url"),
     )

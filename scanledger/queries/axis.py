@@ -172,7 +172,7 @@ def assign_slots(spark, sf):
 
 @query(
     "assign_partitions",
-    f"""WITH {AXIS_SQL} SELECT collection, CAST(slot // 500 AS INTEGER) AS partition_id, count(*) AS granules, min(time) AS first_time
+    f"""WITH {AXIS_SQL} SELECT collection, CAST(slot // 500 AS BIGINT) AS partition_id, count(*) AS granules, min(time) AS first_time
         FROM slots GROUP BY 1, 2""",
 )
 def assign_partitions(spark, sf):
@@ -182,7 +182,7 @@ def assign_partitions(spark, sf):
 
 @query(
     "assign_batches",
-    f"""WITH {AXIS_SQL} SELECT collection, slot, CAST(slot // 500 AS INTEGER) AS partition_id,
+    f"""WITH {AXIS_SQL} SELECT collection, slot, CAST(slot // 500 AS BIGINT) AS partition_id,
                CAST((slot % 500) // 10 AS INTEGER) AS batch_id FROM slots""",
 )
 def assign_batches(spark, sf):
@@ -233,7 +233,7 @@ def slot_owner(spark, sf):
 
 _MERGE_SQL = f"""{AXIS_SQL},
 old AS (
-  SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time) - 1 AS INTEGER) AS slot, time, granule_ur, granule_url
+  SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time) - 1 AS BIGINT) AS slot, time, granule_ur, granule_url
   FROM slots WHERE year(to_timestamp(time + 315964800)::TIMESTAMP) NOT IN (1996, 2000, 2001)
 ),
 pending AS (
@@ -244,13 +244,13 @@ fold AS (
   SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY collection ORDER BY time, seq) AS n FROM pending) WHERE n <= 500
 ),
 merged AS (
-  SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time, granule_ur) - 1 AS INTEGER) AS slot,
+  SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time, granule_ur) - 1 AS BIGINT) AS slot,
          time, granule_ur, granule_url, inserted
   FROM (SELECT collection, time, granule_ur, granule_url, false AS inserted FROM old
         UNION ALL SELECT collection, time, granule_ur, url, true FROM fold)
 ),
 shifts AS (
-  SELECT o.collection, coalesce(min(o.slot) FILTER (o.granule_ur <> m.granule_ur OR o.time <> m.time), CAST(count(*) AS INTEGER)) AS first_shift
+  SELECT o.collection, coalesce(min(o.slot) FILTER (o.granule_ur <> m.granule_ur OR o.time <> m.time), count(*)) AS first_shift
   FROM old o JOIN merged m ON o.collection = m.collection AND o.slot = m.slot GROUP BY 1
 ),
 moves AS (

@@ -324,20 +324,20 @@ def nearest(spark, sf):
         (micros / 1e6).alias("end"), url.alias("url"), F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("granule_ur"),
     )
     slots = events.select(
-        F.col("event_type").alias("collection"), F.col("event_id").cast("int").alias("slot"),
+        F.col("event_type").alias("collection"), F.col("event_id").cast("long").alias("slot"),
         (at + F.col("user_id") * 5.0).alias("time"), url.alias("granule_url"),
     )
     return ops.nearest_granule(slots, records)
 
 
-@query("nearest_granule", f"WITH {_NEAR_SQL} SELECT collection, CAST(slot AS INTEGER) AS slot, found_url FROM found")
+@query("nearest_granule", f"WITH {_NEAR_SQL} SELECT collection, CAST(slot AS BIGINT) AS slot, found_url FROM found")
 def nearest_granule(spark, sf):
     return nearest(spark, sf).select("collection", "slot", "found_url")
 
 
 @query(
     "url_drift",
-    f"WITH {_NEAR_SQL} SELECT collection, CAST(slot AS INTEGER) AS slot, granule_url, found_url FROM found WHERE found_url <> granule_url",
+    f"WITH {_NEAR_SQL} SELECT collection, CAST(slot AS BIGINT) AS slot, granule_url, found_url FROM found WHERE found_url <> granule_url",
 )
 def url_drift(spark, sf):
     return ops.url_drift(nearest(spark, sf)).select("collection", "slot", "granule_url", "found_url")
@@ -408,7 +408,7 @@ def granule_findings(spark, sf):
     "publish_gate",
     f"""WITH {_MERGE_SQL},
         listed AS (SELECT * FROM slots WHERE year(to_timestamp(time + 315964800)::TIMESTAMP) < 2000),
-        inv AS (SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time) - 1 AS INTEGER) AS slot, granule_ur FROM listed),
+        inv AS (SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time) - 1 AS BIGINT) AS slot, granule_ur FROM listed),
         held AS (SELECT m.collection, count(*) AS actual FROM lineitem JOIN merged m ON m.granule_ur = 'G' || l_orderkey GROUP BY 1),
         sizes AS (SELECT collection, count(*) AS n FROM merged GROUP BY 1)
         SELECT 'inventory' AS "check", count(*) AS n FROM inv i FULL JOIN merged s ON i.collection = s.collection AND i.slot = s.slot

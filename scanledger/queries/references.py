@@ -180,7 +180,7 @@ def write_region(spark, sf):
 
 @query(
     "append_slot",
-    f"""WITH {REFS_SQL}, ends AS (SELECT collection, CAST(count(DISTINCT slot) AS INTEGER) AS n FROM refs WHERE variable = 'F' GROUP BY 1)
+    f"""WITH {REFS_SQL}, ends AS (SELECT collection, count(DISTINCT slot) AS n FROM refs WHERE variable = 'F' GROUP BY 1)
         SELECT collection, variable, slot, cy, length FROM refs WHERE variable = 'F'
         UNION ALL
         SELECT collection, variable, coalesce(n, 0), cy, length FROM refs LEFT JOIN ends USING (collection) WHERE variable = 'O'""",

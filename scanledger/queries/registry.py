@@ -79,7 +79,7 @@ entries AS (
         FROM orders GROUP BY 1, 2)
 ),
 slots AS (
-  SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time) - 1 AS INTEGER) AS slot,
+  SELECT collection, CAST(row_number() OVER (PARTITION BY collection ORDER BY time) - 1 AS BIGINT) AS slot,
          time, granule_ur, url AS granule_url FROM entries
 )"""
 
@@ -122,7 +122,7 @@ done AS (
 committed AS (
   SELECT o_orderpriority AS collection, epoch(d) - 315964800 AS time, 'C' || c AS granule_ur,
          's3://archive/C' || c || '.nc' AS granule_url,
-         CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY d) - 1 AS INTEGER) AS slot
+         CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY d) - 1 AS BIGINT) AS slot
   FROM done
 ),
 arrivals AS (
@@ -182,7 +182,7 @@ def line_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as chunk references: order = slot, line number = chunk row, supplier = writer."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("collection"), F.col("l_linestatus").alias("variable"),
-        F.col("l_orderkey").cast("int").alias("slot"), F.col("l_linenumber").alias("cy"), F.lit(0).alias("cx"),
+        F.col("l_orderkey").cast("long").alias("slot"), F.col("l_linenumber").alias("cy"), F.lit(0).alias("cx"),
         F.concat(F.lit("s3://archive/"), F.col("l_orderkey").cast("string"), F.lit(".nc")).alias("url"),
         F.col("l_partkey").alias("offset"), F.col("l_quantity").cast("long").alias("length"),
         F.col("l_shipdate").alias("last_updated_at"), F.col("l_suppkey").alias("writer"),
@@ -191,7 +191,7 @@ def line_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REFS_SQL = """
 refs AS (
-  SELECT l_returnflag AS collection, l_linestatus AS variable, CAST(l_orderkey AS INTEGER) AS slot,
+  SELECT l_returnflag AS collection, l_linestatus AS variable, CAST(l_orderkey AS BIGINT) AS slot,
          l_linenumber AS cy, 0 AS cx, 's3://archive/' || l_orderkey || '.nc' AS url, l_partkey AS "offset",
          CAST(l_quantity AS BIGINT) AS length, l_shipdate AS last_updated_at, l_suppkey AS writer
   FROM lineitem
@@ -204,14 +204,14 @@ def grid_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice("embedding", r * 8 + 1, F.lit(8)))
     return table(spark, sf_dir, "embeddings").select(
         F.concat(F.lit("v"), F.col("label").cast("string")).alias("variable"),
-        F.col("vec_id").cast("int").alias("slot"),
+        F.col("vec_id").cast("long").alias("slot"),
         F.posexplode(rows).alias("cy", "values"),
     ).select("variable", "slot", "cy", F.lit(0).alias("cx"), "values")
 
 
 CELLS_SQL = """
 cells AS (
-  SELECT 'v' || label AS variable, CAST(vec_id AS INTEGER) AS slot, CAST(i // 8 AS INTEGER) AS y,
+  SELECT 'v' || label AS variable, CAST(vec_id AS BIGINT) AS slot, CAST(i // 8 AS INTEGER) AS y,
          CAST(i % 8 AS INTEGER) AS x, embedding[i + 1] AS value
   FROM (SELECT *, unnest(range(64)) AS i FROM embeddings)
 )"""

@@ -45,7 +45,7 @@ def route_arrivals(spark, sf):
         writes AS (SELECT collection, granule_ur, arg_max(url, delivery) AS url FROM routed WHERE outcome = 'written' GROUP BY 1, 2),
         axis AS (SELECT collection, time, granule_ur, granule_url FROM committed
                  UNION ALL SELECT collection, time, granule_ur, url FROM routed WHERE appended)
-        SELECT a.collection, CAST(row_number() OVER (PARTITION BY a.collection ORDER BY a.time) - 1 AS INTEGER) AS slot,
+        SELECT a.collection, CAST(row_number() OVER (PARTITION BY a.collection ORDER BY a.time) - 1 AS BIGINT) AS slot,
                a.time, a.granule_ur, coalesce(w.url, a.granule_url) AS granule_url,
                CASE WHEN w.url IS NOT NULL THEN 'second' ELSE 'first' END AS ref_stage
         FROM axis a LEFT JOIN writes w ON a.collection = w.collection AND a.granule_ur = w.granule_ur""",

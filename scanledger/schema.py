@@ -11,7 +11,7 @@ INVENTORY = (
 
 # one row per axis position; ref_stage names the write that holds the slot's references
 SLOTS = (
-    "collection string, slot int, time double, granule_ur string, granule_url string, ref_stage string"
+    "collection string, slot long, time double, granule_ur string, granule_url string, ref_stage string"
 )
 PENDING = "collection string, granule_ur string, url string, time double, seq long"
 STORE_META = (
@@ -22,7 +22,7 @@ GRANULE_REFS = (
     "offset long, length long, last_updated_at timestamp"
 )
 CHUNK_REFS = (
-    "collection string, variable string, slot int, cy int, cx int, url string, offset long, "
+    "collection string, variable string, slot long, cy int, cx int, url string, offset long, "
     "length long, last_updated_at timestamp"
 )
 TEMPLATE = (
