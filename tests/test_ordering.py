@@ -155,3 +155,34 @@ def test_lookup_counts_rows_and_bytes(spark, monkeypatch):
     assert not broadcasts(rows)
     monkeypatch.setattr(session, "BROADCAST_ROWS", 4)
     assert not broadcasts(spark.range(5))
+
+
+@pytest.mark.parametrize("target", [None, 60])
+def test_neighbours_of_rows(rows, target):
+    from scanledger.operators.ordering import ordered_neighbours
+
+    taken = F.when(F.col("id") % 3 == 0, F.col("id"))
+    earlier, later = W().rowsBetween(Window.unboundedPreceding, -1), W().rowsBetween(1, Window.unboundedFollowing)
+    want = rows.withColumns({"before": F.max(taken).over(earlier), "after": F.first(taken, ignorenulls=True).over(later)})
+    assert same(ordered_neighbours(rows, ["g"], ["at", "id"], taken, target), want)
+
+
+def test_nearest_granule_shuffles_no_urls(spark, monkeypatch):
+    """What is merged and sorted are times and ranks; before, urls and URs went through each stream twice."""
+    from scanledger.operators import compare
+
+    streams = []
+    for name in ("ordered_neighbours", "ordered_running_max"):
+        def seen(df, *args, run=getattr(compare, name), **kwargs):
+            streams.append(df.schema.simpleString())
+            return run(df, *args, **kwargs)
+
+        monkeypatch.setattr(compare, name, seen)
+    records = spark.createDataFrame(
+        [("c", 0.0, 5000.0, 1, "u1", "g1"), ("c", 100.0, 110.0, 2, "u2", "g2")],
+        "collection string, begin double, end double, rank long, url string, granule_ur string",
+    )
+    slots = spark.createDataFrame([("c", 0, 120.0), ("c", 1, 4000.0), ("c", 2, 9000.0)], "collection string, slot long, time double")
+    found = {r.slot: (r.found_url, r.found_ur) for r in nearest_granule(slots, records).collect()}
+    assert found == {0: ("u2", "g2"), 1: ("u1", "g1"), 2: (None, None)}
+    assert len(streams) == 3 and not [s for s in streams if "url" in s or "granule_ur" in s]
