@@ -50,6 +50,26 @@ def test_values_equal(spark, a, b, equal):
     assert one(spark, x.values_equal(F.lit(a).cast("string"), F.lit(b).cast("string"))) is equal
 
 
+def test_short_ways_agree_with_canonical_values(spark):
+    """Numbers, strings and texts that go straight to the parser are equal exactly if their canonical spellings are."""
+    texts = [
+        "0", "-0", "0.0", "-0.00", "1", "-1", "1.0", "10", "10.50", "10.5", "1e1", "1.0E+1", "01", "+1", ".5", "1.", "1\n", " 1", "NaN", '"NaN"', "-Infinity", '"-Infinity"',
+        '"1"', '""', '"', '"a', "red widget", '"red widget"', '"say \\"x\\""', '"\\u0061"', '"a"', "123456789012345678.5", "123456789012345678.50", "1234567890123456789",
+        "1234567890123456789.0", "0.000000000000000001", "0.0000000000000000010", "1e-18", "[1000]", "[1000.0]", "[1e3]", "[-0.0]", "[0]", "[100]", "[100.00]", "{}", "[]", "null", " null",
+        "[" + "9" * 36 + "]", "[" + "9" * 36 + ".0]", "[" + "9" * 45 + "]", "[" + "9" * 45 + ".0]", "[1" + "0" * 45 + "]", "[1e45]", '{"b":[1.50,"x"],"a":null}', '{"a":null,"b":[1.5,"x"]}',
+        '{"a":null,"b":[15e-1,"x"]}', '{"a":1,"a":1}', "[NaN]", '["NaN"]', "[1,]", None,
+    ]
+    rows = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    wrong = rows.withColumn("got", x.values_equal("a", "b")).filter(~F.col("got").eqNullSafe(x.canonical_json("a").eqNullSafe(x.canonical_json("b"))))
+    assert wrong.collect() == []
+
+
+def test_equality_computes_its_arguments_once(spark):
+    """Before, each argument was computed anew wherever the comparison named it."""
+    seen = spark.range(1).select(x.values_equal(F.col("id").cast("string"), F.lit("other argument")).alias("e"))
+    assert seen._jdf.queryExecution().analyzed().expressions().toString().count("other argument") == 1
+
+
 def test_fill_and_chunks(spark):
     assert one(spark, F.isnan(x.mask_fill(F.lit(-9999).cast("short"), F.lit(-9999.0)))) is True
     assert one(spark, x.mask_fill(F.lit(3), None)) == 3
@@ -119,6 +139,17 @@ def test_last_writer_wins(spark):
     assert [(r.slot, r.writers) for r in refs.overlapping_writes(writes, key, "writer_seq").collect()] == [(0, 2)]
 
 
+def test_overlaps_are_counted_without_holding_keys(spark):
+    """One shuffle of bare rows; before, the tasks that read held every key in memory and dealt them out twice."""
+    rows = [("v", 0, 1), ("v", 0, 1), ("v", 0, 3), ("v", 0, 2), ("v", 0, None), ("v", 1, 4), ("v", 1, 4), ("v", 2, None), ("v", 2, 5), (None, 3, 1), (None, 3, 2)]
+    writes = spark.createDataFrame(rows, "variable string, slot int, writer int")
+    out = refs.overlapping_writes(writes, ["variable", "slot"], "writer")
+    steps = out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.slot, r.writers) for r in out.collect()) == [(0, 3), (3, 2)]
+    assert "distinct" not in steps and steps.count("Exchange hashpartitioning") == 1
+    assert "HashAggregate" not in steps[steps.rindex("Exchange hashpartitioning"):]
+
+
 def test_arrays_of_several_slots_per_chunk_cannot_move(spark):
     assert refs.unmovable_arrays(tiny.template(spark)).count() == 0
     wide = tiny.template(spark).withColumn("chunk_shape", F.when(F.col("path") == "/weight", F.array(F.lit(2), F.lit(4), F.lit(6))).otherwise(F.col("chunk_shape")))
