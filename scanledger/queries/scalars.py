@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scanledger.config import CollectionConfig
 from scanledger.functions import expressions as x
 from scanledger.operators import template as tmpl
-from scanledger.queries.registry import event_records, query, table
+from scanledger.queries.registry import event_records, query, spread, table
 from scanledger.sources.catalogue import data_links, flatten_records, read_catalogue_window
 from scanledger.sources.messages import read_messages
 
@@ -103,7 +103,8 @@ def values_equal(spark, sf):
     ints = F.concat(F.lit("["), F.col("p_size").cast("string"), F.lit(",2]"))
     doubles = F.concat(F.lit("["), F.col("p_size").cast("string"), F.lit(".0,2.0]"))
     gone = F.when(F.col("p_size") >= 25, F.col("p_brand"))
-    return table(spark, sf, "part").select(
+    parts = spread(table(spark, sf, "part").select("p_partkey", "p_size", "p_brand"), "p_partkey")
+    return parts.select(
         "p_partkey",
         x.values_equal(spelled(size, True), spelled(key, False)).alias("same"),
         x.values_equal(ints, doubles).alias("same_list"),

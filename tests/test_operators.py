@@ -367,3 +367,11 @@ def test_the_curve_takes_bits_in_turn(spark):
     found = spark.createDataFrame(pairs, "y int, x int").select("y", "x", x.interleaved("y", "x").alias("z")).collect()
     for r in found:
         assert r.z == sum(((r.y >> i & 1) << (2 * i + 1)) | ((r.x >> i & 1) << (2 * i)) for i in range(31))
+
+
+def test_much_work_a_row_reaches_all_cores(spark):
+    """The table of parts is a few megabytes, which one or two tasks read."""
+    import __spark_entry__
+
+    found = __spark_entry__.queries()["values_equal"](spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
