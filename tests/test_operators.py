@@ -369,6 +369,18 @@ def test_the_curve_takes_bits_in_turn(spark):
         assert r.z == sum(((r.y >> i & 1) << (2 * i + 1)) | ((r.x >> i & 1) << (2 * i)) for i in range(31))
 
 
+def test_attributes_are_compared_once(spark):
+    """Before, errors and warnings each compared all attributes, and again for every condition on the outcome."""
+    schema = "path string, node_type string, data_type string, shape array<int>, chunk_shape array<int>, fill_value string, codecs array<string>, dims array<string>, attributes map<string,string>"
+    def nodes(attributes):
+        return spark.createDataFrame([("/v", "group", None, None, None, None, None, None, attributes)], schema)
+
+    found = validate_store(nodes({"a": "1", "b": "2"}), nodes({"a": "1.0", "b": "3", "c": "x"}))
+    assert {(f.detail, f.severity) for f in found.collect()} == {("attribute b differs", "error"), ("attribute c extra", "warning")}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_union(") == 1
+
+
 def test_much_work_a_row_reaches_all_cores(spark):
     """The table of parts is a few megabytes, which one or two tasks read."""
     import __spark_entry__
